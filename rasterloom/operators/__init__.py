@@ -1,0 +1 @@
+"""operators of the raster-as-table engine."""

@@ -1,0 +1 @@
+"""plans of the raster-as-table engine."""

@@ -1,0 +1 @@
+"""sources of the raster-as-table engine."""
