@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import decontam
+from rasterloom.llm import decontam, mixing, quality
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op2_suffix_decontam": decontam.op2_suffix_decontam,
+        "op3_ipf_mix": mixing.op3_ipf_mix,
+        "op6_quality_rules": quality.op6_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_suffix_decontam": decontam.ORACLE,
+        "op3_ipf_mix": mixing.ORACLE,
+        "op6_quality_rules": quality.ORACLE,
     }
