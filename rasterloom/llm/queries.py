@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import decontam, mixing, quality
+from rasterloom.llm import credentials, decontam, mixing, quality
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op2_suffix_decontam": decontam.op2_suffix_decontam,
         "op3_ipf_mix": mixing.op3_ipf_mix,
         "op6_quality_rules": quality.op6_quality_rules,
+        "op10_credential_links": credentials.op10_credential_links,
     }
 
 
@@ -20,4 +21,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_suffix_decontam": decontam.ORACLE,
         "op3_ipf_mix": mixing.ORACLE,
         "op6_quality_rules": quality.ORACLE,
+        "op10_credential_links": credentials.ORACLE,
     }
