@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import credentials, decontam, mixing, quality
+from rasterloom.llm import credentials, decontam, langid, mixing, quality, warczip
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,8 @@ def queries() -> dict[str, Callable]:
         "op2_suffix_decontam": decontam.op2_suffix_decontam,
         "op3_ipf_mix": mixing.op3_ipf_mix,
         "op6_quality_rules": quality.op6_quality_rules,
+        "op7_ppm_langid": langid.op7_ppm_langid,
+        "op9_zip_warc": warczip.op9_zip_warc,
         "op10_credential_links": credentials.op10_credential_links,
     }
 
@@ -21,5 +23,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_suffix_decontam": decontam.ORACLE,
         "op3_ipf_mix": mixing.ORACLE,
         "op6_quality_rules": quality.ORACLE,
+        "op9_zip_warc": warczip.ORACLE,
         "op10_credential_links": credentials.ORACLE,
     }
