@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import credentials, decontam, langid, mixing, quality, warczip
+from rasterloom.llm import credentials, decontam, langid, mixing, quality, store, warczip
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op2_suffix_decontam": decontam.op2_suffix_decontam,
         "op3_ipf_mix": mixing.op3_ipf_mix,
+        "op5_content_store": store.op5_content_store,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_ppm_langid": langid.op7_ppm_langid,
         "op9_zip_warc": warczip.op9_zip_warc,
