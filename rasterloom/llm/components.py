@@ -1,0 +1,44 @@
+"""Connected components of a table of links, by alternating large-star and small-star steps on the links alone."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rasterloom.llm import scratch
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each node's larger neighbours are linked to the least of its neighbourhood."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+    return both.where("b > a").join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Each node and its smaller neighbours are linked to the least of them. In edges, a > b."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+    joined = edges.join(least, F.col("a") == F.col("u"))
+    moved = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+
+
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """From links (a, b) of longs: node and label, the least node that can be reached; nodes without links are absent."""
+    spark = edges.sparkSession
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    now, path = scratch.written(now, "links")
+    mark = None
+    for _ in range(rounds):
+        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if tuple(state) == mark or state[0] == 0:
+            break
+        mark = tuple(state)
+        before = path
+        now, path = scratch.written(_small_star(_large_star(now)), "links")
+        scratch.delete(spark, before)
+    else:
+        raise RuntimeError("the components did not settle")
+    # each link goes from a node to its label now
+    labels = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    return labels.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
