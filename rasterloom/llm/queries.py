@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import credentials, decontam, langid, mixing, neardup, quality, store, warczip
+from rasterloom.llm import credentials, decontam, langid, lm, mixing, neardup, quality, store, warczip
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_deleted_interpolation": lm.op1_deleted_interpolation,
         "op2_suffix_decontam": decontam.op2_suffix_decontam,
         "op3_ipf_mix": mixing.op3_ipf_mix,
         "op4_bbit_minhash": neardup.op4_bbit_minhash,
