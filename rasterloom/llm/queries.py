@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from rasterloom.llm import credentials, decontam, langid, lm, mixing, neardup, quality, store, warczip
+from rasterloom.llm import credentials, decontam, langid, lm, mixing, neardup, quality, store, toxicity, warczip
 
 
 def queries() -> dict[str, Callable]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable]:
         "op5_content_store": store.op5_content_store,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_ppm_langid": langid.op7_ppm_langid,
+        "op8_weak_toxicity": toxicity.op8_weak_toxicity,
         "op9_zip_warc": warczip.op9_zip_warc,
         "op10_credential_links": credentials.op10_credential_links,
     }
