@@ -299,9 +299,22 @@ def op2_suffix_decontam(spark, sf_dir: str) -> DataFrame:
 
 
 def clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without any benchmark window, with all their columns."""
-    hits = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hits.withColumnRenamed("doc_id", "hit_id"), F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    """Pipeline stage: the documents without any benchmark window, with all their columns; map-only where one group
+    of the benchmark suffices."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    groups = list(_groups(benchmark, BENCHMARK_BYTES))
+    if len(groups) == 1:
+        shared = spark.sparkContext.broadcast(groups[0])
+        return docs.mapInArrow(lambda batches: _kept(batches, shared.value), docs.schema)
+    hits = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.lit(1).alias("hit")).distinct()
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+
+
+def _kept(batches: Iterator[pa.RecordBatch], test: Suffixes) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flags = [_hits(block, test)[1] == 0 for block in tb.blocks(iter([batch.select(["text"])]))]
+        if flags:
+            yield batch.filter(pa.array(np.concatenate(flags)))
 
 
 ORACLE = r"""
