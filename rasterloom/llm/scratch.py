@@ -24,11 +24,11 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """The DataFrame written as a Parquet table in the shared folder and read back, with its path."""
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -4,13 +4,13 @@ Each document's ids (with the end id) are cut into chunks where a rolling hash o
 bits clear, so equal passages give equal chunks wherever they stand. A chunk's address is the SHA-256 of its bytes.
 The store has four Parquet tables:
 
-* `chunks`: every distinct chunk once: digest, width (bytes an id), n, data;
+* `chunks`: every distinct chunk once: digest, width (bytes an id), n, data, the place of the first document that has
+  it and how many have it;
 * `recipes`: for each document its digests in order, doc_id, n_tokens, start, and the Merkle root of its digests;
 * `segments`: for each range of documents in doc_id order: first and last id, tokens, Merkle root of its documents;
 * `manifest`: the Merkle root over the segments, with counts and parameters.
 
-Reading joins recipes with chunks, puts the chunks of a document together by their places, and checks every chunk's
-SHA-256, and each recipe's root. Document order and `start` come from a range partitioning by doc_id and one small
+Reading brings each document's recipe and chunks together, and checks every chunk's SHA-256 and each recipe's root. Document order and `start` come from a range partitioning by doc_id and one small
 sum per range.
 A document without ids but the end id has one chunk. Chunks hold LEAST to MOST ids (the last may be shorter).
 
@@ -40,7 +40,9 @@ WINDOW = 8
 BITS = 8
 LEAST, MOST = 32, 2048
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_200_000
+#: Words encoded as one text, and the character between them.
+TOGETHER, _BETWEEN = 500, "\x01"
 BLOCK = 4 << 20
 #: A document of at most this many ids is one chunk.
 WHOLE = 64
@@ -50,9 +52,15 @@ _workers: dict = {}
 
 
 class Encoder:
-    """The ids of all words of a block, by the tokenizers library, with a bounded memory of words seen."""
+    """The ids of all words of a block, by the tokenizers library, with a bounded memory of words seen.
+
+    Words are encoded many at a time, with a control character of its own id between them; where the ids do not show
+    as many of these as expected, each word is encoded alone. A tokenizer that lower-cases may be given words whose
+    A-Z are folded, except in a block that could hold the text of a special token.
+    """
 
     def __init__(self, path: str):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,6 +68,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        with open(path) as f:
+            self.lowers = '"Lowercase"' in json.dumps(json.load(f).get("normalizer"))
+        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
@@ -68,33 +80,50 @@ class Encoder:
         self.count = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        flat: list = []
+        count: list = []
+        texts = [f" {_BETWEEN} ".join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            part = words[k * TOGETHER : (k + 1) * TOGETHER]
+            ids = np.array(e.ids, np.uint32)
+            marks = np.flatnonzero(ids == self.between) if self.between is not None else []
+            if len(marks) == len(part) - 1:
+                n = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+                ids = np.delete(ids, marks)
+            else:
+                alone = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                n = np.array([len(x) for x in alone], np.int64)
+                ids = np.array([i for x in alone for i in x], np.uint32)
+            flat.append(ids)
+            count.append(n)
+        return np.concatenate(flat), np.concatenate(count).astype(np.int64)
+
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) > KEPT_WORDS:
-            self._forget()
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        """keys: sorted, none of them known."""
+        ids, n = self._ids(words)
         begin = len(self.flat) + np.cumsum(n) - n
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(n.sum()))])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.begin, self.count = np.concatenate([self.begin, begin])[order], np.concatenate([self.count, n])[order]
+        self.flat = np.concatenate([self.flat, ids])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.begin, self.count = np.insert(self.begin, at, begin), np.insert(self.count, at, n)
 
     def encode(self, block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's documents, an end id after each, and where each document begins (n + 1)."""
-        starts, ends, hashes, at = tb.words(block, tb.SPACE, fold=False)
+        raw = block.buffer.tobytes()
+        fold = self.lowers and b"<" not in raw
+        starts, ends, hashes, at = tb.words(block, tb.SPACE, fold=fold)
+        if not fold:
+            hashes = ~hashes  # kept apart from folded words
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > KEPT_WORDS:
+            self._forget()
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         new = np.flatnonzero(self.keys[place] != keys) if len(self.keys) else np.arange(len(keys))
         if len(new):
-            buf = block.buffer.tobytes()
             w = first[new]
-            before = len(self.keys)
-            self._learn(keys[new], [buf[a:b].decode() for a, b in zip(starts[w].tolist(), ends[w].tolist())])
-            if len(self.keys) != before + len(new):  # it began anew
-                missing = keys[~np.isin(keys, self.keys)]
-                w = first[np.searchsorted(keys, missing)]
-                self._learn(missing, [buf[a:b].decode() for a, b in zip(starts[w].tolist(), ends[w].tolist())])
+            self._learn(keys[new], [raw[a:b].decode() for a, b in zip(starts[w].tolist(), ends[w].tolist())])
             place = np.searchsorted(self.keys, keys)
         begin, count = self.begin[place][inverse], self.count[place][inverse]
         docs = len(block)
@@ -102,9 +131,8 @@ class Encoder:
         total = np.concatenate([[0], np.cumsum(count)])
         offsets = total[at] + np.arange(docs + 1)
         out = np.empty(int(offsets[-1]), np.uint32)
-        shift = np.repeat(np.arange(docs), np.diff(at))
-        to = np.repeat(total[:-1] + shift, count) + _inner(count)
-        out[to] = self.flat[np.repeat(begin, count) + _inner(count)]
+        inner = _inner(count)
+        out[np.repeat(total[:-1] + np.repeat(np.arange(docs), np.diff(at)), count) + inner] = self.flat[np.repeat(begin, count) + inner]
         out[offsets[1:] - 1] = END_ID
         return out, offsets
 
@@ -188,21 +216,23 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     width = encoder(tokenizer).width
     kind = docs.schema["doc_id"].dataType.simpleString()
     both = docs.select("doc_id", "text").mapInArrow(lambda batches: _cut(batches, tokenizer), f"doc_id {kind}, n_tokens long, digests array<binary>, root binary, digest binary, data binary")
-    both, path = scratch.written(both, "cut")
-    chunks = both.where("digest IS NOT NULL").groupBy("digest").agg(F.first("data").alias("data"))
-    chunks.select("digest", F.lit(width).alias("width"), (F.octet_length("data") / width).cast("long").alias("n"), "data").write.parquet(f"{folder}/chunks")
+    both, path = scratch.written(both, "cut", compression="zstd")
     # ascending doc_id: ranges, with the tokens before each range from one small sum
     recipes = both.where("digests IS NOT NULL").select("doc_id", "n_tokens", "digests", "root")
     ranged = recipes.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("root")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     ordered, ordered_path = scratch.written(ranged.withColumn("segment", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "ordered")
     sums = ordered.groupBy("segment").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    before = sums.withColumn("before", F.sum("tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.withColumn("before", F.coalesce("before", F.lit(0)))
+    before = sums.withColumn("before", F.coalesce(F.sum("tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.sum("n_tokens").over(Window.partitionBy("segment").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    placed = ordered.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(before.select(F.col("segment").alias("s"), "before")), F.col("segment") == F.col("s"))
+    placed = ordered.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before.select(F.col("segment").alias("s"), "before"), F.col("segment") == F.col("s"))
     placed.select("doc_id", "n_tokens", (F.col("before") + F.col("inside")).alias("start"), "digests", "root", "segment", "place").write.parquet(f"{folder}/recipes")
-    roots = spark.read.parquet(f"{folder}/recipes").select("segment", "place", "root")
-    tree = roots.repartition("segment").sortWithinPartitions("segment", "place").mapInArrow(_segment_roots, "segment int, root binary")
+    # each chunk once, with the first document that has it and how many have it
+    places = spark.read.parquet(f"{folder}/recipes").select("segment", "place", "root", "digests")
+    owners = places.select("place", F.explode(F.array_distinct("digests")).alias("d")).groupBy("d").agg(F.min("place").alias("place"), F.count("*").alias("n_docs"))
+    once = both.where("digest IS NOT NULL").groupBy("digest").agg(F.first("data").alias("data"))
+    chunks = once.join(owners, F.col("digest") == F.col("d")).select("digest", F.lit(width).alias("width"), (F.octet_length("data") / width).cast("long").alias("n"), "place", "n_docs", "data")
+    chunks.write.option("compression", "zstd").parquet(f"{folder}/chunks")
+    tree = places.select("segment", "place", "root").repartition("segment").sortWithinPartitions("segment", "place").mapInArrow(_segment_roots, "segment int, root binary")
     before.join(tree, "segment").select("segment", "n_docs", "tokens", "before", "first_id", "last_id", "root").write.parquet(f"{folder}/segments")
     tops = spark.read.parquet(f"{folder}/segments").orderBy("segment").select("root", "n_docs", "tokens").collect()
     spark.createDataFrame(
@@ -222,40 +252,39 @@ def _segment_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of documents whose chunks come one after another."""
+    """The ids of documents: each one's recipe, then its chunks, come one after another."""
     held: dict = {}
+    had: dict[bytes, np.ndarray] = {}
+    out, size = [], 0
+    kind = None
 
-    def close() -> dict:
-        root = merkle(held["digests"])
-        if root != held["root"]:
+    def close() -> tuple:
+        if merkle(held["digests"]) != held["root"]:
             raise ValueError(f"document {held['doc_id']}: the recipe does not match its root")
-        ids = np.concatenate([np.frombuffer(d, f"<u{w}") for d, w in held["parts"]]).astype("<u4")
+        ids = np.concatenate([had[d] for d in held["digests"]])
         if len(ids) != held["n_tokens"]:
             raise ValueError(f"document {held['doc_id']}: {len(ids)} ids, the recipe has {held['n_tokens']}")
-        return {"doc_id": held["doc_id"], "start": held["start"], "ids": ids.tobytes()}
-
-    out, size = [], 0
-    schema = None
+        return held["doc_id"], held["start"], ids.tobytes()
 
-    def batch_of(rows: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r["doc_id"] for r in rows], schema.field("doc_id").type), pa.array([r["start"] for r in rows], pa.int64()), pa.array([r["ids"] for r in rows], pa.binary())], ["doc_id", "start", "ids"])
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "start", "ids"])
 
     for b in batches:
-        schema = b.schema
-        for r in b.to_pylist():
-            if held and held["place"] != r["place"]:
-                out.append(close())
-                size += len(out[-1]["ids"])
-                held = {}
+        kind = b.schema.field("doc_id").type
+        columns = [b.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "digests", "digest", "width", "data")]
+        for doc_id, start, n_tokens, root, digests, digest, width, data in zip(*columns):
+            if digests is not None:
+                if held:
+                    out.append(close())
+                    size += len(out[-1][2])
+                held, had = {"doc_id": doc_id, "start": start, "n_tokens": n_tokens, "root": root, "digests": digests}, {}
                 if size > BLOCK:
                     yield batch_of(out)
                     out, size = [], 0
-            if not held:
-                held = {k: r[k] for k in ("place", "doc_id", "start", "n_tokens", "root")} | {"digests": [], "parts": []}
-            if hashlib.sha256(r["data"]).digest() != r["digest"]:
-                raise ValueError("a chunk does not match its address")
-            held["digests"].append(r["digest"])
-            held["parts"].append((r["data"], r["width"]))
+            else:
+                if hashlib.sha256(data).digest() != digest:
+                    raise ValueError("a chunk does not match its address")
+                had[digest] = np.frombuffer(data, f"<u{width}").astype("<u4")
     if held:
         out.append(close())
     if out:
@@ -263,14 +292,25 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_store(spark, folder: str) -> DataFrame:
-    """doc_id, start and ids (little-endian unsigned 32-bit integers) of each document, checked against the hashes."""
+    """doc_id, start and ids (little-endian unsigned 32-bit integers) of each document, checked against the hashes.
+
+    A chunk goes straight to the first document that has it; only chunks of several documents are joined with the
+    recipes of the others.
+    """
     recipes = spark.read.parquet(f"{folder}/recipes")
+    chunks = spark.read.parquet(f"{folder}/chunks")
     kind = recipes.schema["doc_id"].dataType.simpleString()
-    chunks = spark.read.parquet(f"{folder}/chunks").select("digest", "width", "data")
-    refs = recipes.select("doc_id", "start", "n_tokens", "root", "place", F.posexplode("digests").alias("k", "digest"))
-    got = refs.join(chunks, "digest")
-    together = got.repartition("place").sortWithinPartitions("place", "k")
-    return together.select("doc_id", "start", "n_tokens", "root", "place", "digest", "width", "data").mapInArrow(_joined, f"doc_id {kind}, start long, ids binary")
+    heads = recipes.select("place", "doc_id", "start", "n_tokens", "root", "digests", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("binary").alias("data"))
+
+    def part(rows: DataFrame) -> DataFrame:
+        none = [F.lit(None).cast(recipes.schema[c].dataType).alias(c) for c in ("doc_id", "start", "n_tokens", "root", "digests")]
+        return rows.select("place", *none, "digest", "width", "data")
+
+    shared = chunks.where("n_docs > 1").select("digest", "width", "data", F.col("place").alias("owner"))
+    others = recipes.select("place", F.explode(F.array_distinct("digests")).alias("d")).join(shared, F.col("d") == F.col("digest")).where("place <> owner")
+    together = heads.unionByName(part(chunks)).unionByName(part(others))
+    spread = together.repartition("place").sortWithinPartitions("place", F.col("digests").isNull())
+    return spread.mapInArrow(_joined, f"doc_id {kind}, start long, ids binary")
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
