@@ -604,9 +604,9 @@ def _gray(spark, d):
 
 def _axis_sql(name: str, n: str, m: str, kind: str) -> str:
     if kind == "bilinear":
-        at = f"greatest(0.0, least((d + 0.5) * ({n} / CAST({m} AS DOUBLE)) - 0.5, {n} - 1.0))"
-        rows = f"(SELECT d, {at} AS at, {n} AS nn FROM dims, range(1000) t(d) WHERE d < {m})"
-        return f"{name} AS (SELECT d, CAST(floor(at) AS INTEGER) AS s, 1 - (at - floor(at)) AS k FROM {rows} UNION ALL SELECT d, least(CAST(floor(at) AS INTEGER) + 1, nn - 1), at - floor(at) FROM {rows})"
+        pos = f"greatest(0.0, least((d + 0.5) * ({n} / CAST({m} AS DOUBLE)) - 0.5, {n} - 1.0))"
+        rows = f"(SELECT d, {pos} AS pos, {n} AS nn FROM dims, range(1000) t(d) WHERE d < {m})"
+        return f"{name} AS (SELECT d, CAST(floor(pos) AS INTEGER) AS s, 1 - (pos - floor(pos)) AS k FROM {rows} UNION ALL SELECT d, least(CAST(floor(pos) AS INTEGER) + 1, nn - 1), pos - floor(pos) FROM {rows})"
     if kind == "gaussian":
         return f"{name} AS (SELECT d, CASE WHEN i < nn THEN i ELSE 2 * nn - 1 - i END AS s, k FROM (SELECT d, {n} AS nn, ((d + o) % (2 * {n}) + 2 * {n}) % (2 * {n}) AS i, exp(-0.5 * pow(o / 1.5, 2)) / (SELECT sum(exp(-0.5 * pow(q / 1.5, 2))) FROM range(-6, 7) z(q)) AS k FROM dims, range(1000) t(d), range(-6, 7) u(o) WHERE d < {n}))"
     x = "abs((s + 0.5 - centre) / wide)"
