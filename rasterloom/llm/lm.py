@@ -37,7 +37,7 @@ from rasterloom.llm import textblocks as tb
 ORDER = 2
 BUCKETS = 26
 ITERATIONS = 15
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 #: Keys that one range's task is meant to hold.
 RANGE_TOKENS = 1_500_000
 HELD, DELETED, RETAINED = 0, 1, 2
@@ -55,7 +55,10 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(parts: list[pa.RecordBatch], deleted: bool) -> Iterator[pa.RecordBatch]:
         for block in tb.blocks(iter(parts), most=BLOCK):
             _, _, h, at = tb.words(block, tb.SPACE)
-            vocabulary, numbers = np.unique(h, return_inverse=True)
+            vocabulary, numbers, n = np.unique(h, return_inverse=True, return_counts=True)
+            frequent = np.argsort(-n, kind="stable")  # small numbers for frequent words: the high bytes are mostly 0
+            rank = np.empty(len(n), np.uint32)
+            rank[frequent] = np.arange(len(n), dtype=np.uint32)
             name = (task << 24) + made[0]
             made[0] += 1
             kind = parts[0].schema.field("doc_id").type
@@ -66,8 +69,8 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([block.columns["doc_id"]], pa.list_(kind)),
                     pa.array([block.columns["fold"]], pa.list_(pa.int32())),
                     pa.array([np.diff(at).tolist()], pa.list_(pa.int64())),
-                    pa.array([vocabulary.tobytes()], pa.binary()),
-                    pa.array([numbers.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([vocabulary[frequent].tobytes()], pa.binary()),
+                    pa.array([planes(rank[numbers])], pa.binary()),
                 ],
                 ["block", "deleted", "doc_ids", "folds", "n_words", "vocabulary", "words"],
             )
@@ -87,6 +90,27 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows(waiting, True)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes, all first bytes before all second ones and so on, which compresses well."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, in planes."""
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    return planes(steps)
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+
+
 class Grams:
     """The n-grams of a block: for each order a key for every place. A begin stands before and an end after a text."""
 
@@ -96,7 +120,7 @@ class Grams:
         self.begin = np.cumsum(n + 2) - (n + 2)
         total = int((n + 2).sum())
         self.keys = [np.empty(total, np.uint64)]
-        words = np.frombuffer(row["vocabulary"], np.uint64)[np.frombuffer(row["words"], np.int32)]
+        words = np.frombuffer(row["vocabulary"], np.uint64)[from_planes(row["words"], np.uint32)]
         body = np.ones(total, bool)
         body[self.begin] = False
         self.predicted = np.flatnonzero(body)
@@ -135,8 +159,8 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterat
                         pa.array([row["block"]] * len(used), pa.int64()),
                         pa.array([row["deleted"]] * len(used), pa.bool_()),
                         pa.array([k] * len(used), pa.int32()),
-                        pa.array([keys[at[r] : at[r + 1]].tobytes() for r in used], pa.binary()),
-                        pa.array([n[at[r] : at[r + 1]].tobytes() for r in used], pa.binary()),
+                        pa.array([packed_keys(keys[at[r] : at[r + 1]]) for r in used], pa.binary()),
+                        pa.array([planes(n[at[r] : at[r + 1]]) for r in used], pa.binary()),
                     ],
                     ["range", "block", "deleted", "order", "keys", "counts"],
                 )
@@ -153,9 +177,9 @@ def _answered(table: pa.Table) -> pa.Table:
     order_of = np.asarray(table.column("order"))
     for k in np.unique(order_of):
         part = table.filter(pa.array(order_of == k))
-        arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("keys")]
+        arrays = [unpacked_keys(x.as_buffer()) for x in part.column("keys")]
         keys, of = np.unique(np.concatenate(arrays), return_inverse=True)
-        n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in part.column("counts")]).astype(np.float64)
+        n = np.concatenate([from_planes(x.as_buffer(), np.uint32) for x in part.column("counts")]).astype(np.float64)
         deleted = np.asarray(part.column("deleted"))
         lengths = np.array([len(a) for a in arrays])
         left_out = np.repeat(deleted, lengths)
@@ -165,8 +189,8 @@ def _answered(table: pa.Table) -> pa.Table:
         for i, block in enumerate(part.column("block").to_pylist()):
             mine = of[ends[i] - lengths[i] : ends[i]]
             out["block"].append(block)
-            out["total"].append(total[mine].astype(np.uint64).tobytes())
-            out["retained"].append(kept[mine].astype(np.uint64).tobytes() if deleted[i] else None)
+            out["total"].append(planes(total[mine].astype(np.uint64)))
+            out["retained"].append(planes(kept[mine].astype(np.uint64)) if deleted[i] else None)
             for c in ("tokens", "types", "tokens_kept", "types_kept"):
                 out[c].append(0)
         if k == 1:
@@ -191,7 +215,7 @@ _ANSWER = "block long, order int, range long, total binary, retained binary, tok
 def _counts(right: pa.Table, k: int, column: str) -> np.ndarray:
     """A block's counts of one order, in the order of its keys."""
     part = right.filter(pa.array(np.asarray(right.column("order")) == k)).sort_by("range")
-    return np.frombuffer(b"".join(part.column(column).to_pylist()), np.uint64).astype(np.float64)
+    return np.concatenate([from_planes(x.as_buffer(), np.uint64) for x in part.column(column)]).astype(np.float64)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -282,11 +306,11 @@ def scored(docs: DataFrame, fold, order: int = ORDER) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     spark = docs.sparkSession
     rows = docs.select("doc_id", fold.cast("int").alias("fold"), "text")
-    blocks, _ = scratch.written(rows.mapInArrow(_blocked, f"block long, deleted boolean, doc_ids array<{kind}>, folds array<int>, n_words array<long>, vocabulary binary, words binary"), "blocks")
+    blocks, _ = scratch.written(rows.mapInArrow(_blocked, f"block long, deleted boolean, doc_ids array<{kind}>, folds array<int>, n_words array<long>, vocabulary binary, words binary"), "blocks", compression="zstd")
     size = blocks.select(F.aggregate("n_words", F.lit(0).cast("long"), lambda a, x: a + x + 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranges = max(8, -(-int(size) // RANGE_TOKENS))
     asked = blocks.mapInArrow(lambda b: _asked(b, order, ranges), "range long, block long, deleted boolean, order int, keys binary, counts binary")
-    answers, _ = scratch.written(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "answers")
+    answers, _ = scratch.written(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "answers", compression="zstd")
     sums = answers.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("tokens", "types", "tokens_kept", "types_kept")]).first()
     replies = answers.where("block >= 0").select("block", "order", "range", "total", "retained")
     schema = ", ".join(["bucket int", *[f"p{k + 1} double" for k in range(order)], "n long"])
