@@ -37,15 +37,15 @@ from rasterloom.llm import textblocks as tb
 END_ID = 2
 WINDOW = 8
 #: A cut falls on one id in 2 ** BITS on average.
-BITS = 8
-LEAST, MOST = 32, 2048
+BITS = 9
+LEAST, MOST = 64, 4096
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 1_200_000
+KEPT_WORDS = 2_000_000
 #: Words encoded as one text, and the character between them.
 TOGETHER, _BETWEEN = 500, "\x01"
 BLOCK = 4 << 20
 #: A document of at most this many ids is one chunk.
-WHOLE = 64
+WHOLE = 128
 
 _MULTIPLIERS = tb.mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
 _workers: dict = {}
@@ -221,11 +221,12 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     recipes = both.where("digests IS NOT NULL").select("doc_id", "n_tokens", "digests", "root")
     ranged = recipes.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("root")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     ordered, ordered_path = scratch.written(ranged.withColumn("segment", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "ordered")
-    sums = ordered.groupBy("segment").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    sums = ordered.groupBy("segment").agg(F.sum("n_tokens").alias("tokens"))
     before = sums.withColumn("before", F.coalesce(F.sum("tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.sum("n_tokens").over(Window.partitionBy("segment").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
     placed = ordered.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before.select(F.col("segment").alias("s"), "before"), F.col("segment") == F.col("s"))
     placed.select("doc_id", "n_tokens", (F.col("before") + F.col("inside")).alias("start"), "digests", "root", "segment", "place").write.parquet(f"{folder}/recipes")
+    scratch.delete(spark, ordered_path)
     # each chunk once, with the first document that has it and how many have it
     places = spark.read.parquet(f"{folder}/recipes").select("segment", "place", "root", "digests")
     owners = places.select("place", F.explode(F.array_distinct("digests")).alias("d")).groupBy("d").agg(F.min("place").alias("place"), F.count("*").alias("n_docs"))
@@ -233,13 +234,14 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     chunks = once.join(owners, F.col("digest") == F.col("d")).select("digest", F.lit(width).alias("width"), (F.octet_length("data") / width).cast("long").alias("n"), "place", "n_docs", "data")
     chunks.write.option("compression", "zstd").parquet(f"{folder}/chunks")
     tree = places.select("segment", "place", "root").repartition("segment").sortWithinPartitions("segment", "place").mapInArrow(_segment_roots, "segment int, root binary")
-    before.join(tree, "segment").select("segment", "n_docs", "tokens", "before", "first_id", "last_id", "root").write.parquet(f"{folder}/segments")
+    stats = spark.read.parquet(f"{folder}/recipes").groupBy("segment").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("tokens"), F.min("start").alias("before"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    stats.join(tree, "segment").select("segment", "n_docs", "tokens", "before", "first_id", "last_id", "root").write.parquet(f"{folder}/segments")
     tops = spark.read.parquet(f"{folder}/segments").orderBy("segment").select("root", "n_docs", "tokens").collect()
     spark.createDataFrame(
         [(merkle([bytes(r.root) for r in tops]), sum(r.n_docs for r in tops), sum(r.tokens for r in tops), len(tops), width, END_ID, BITS)],
         "root binary, n_docs long, n_tokens long, n_segments long, width int, end_id int, bits int",
     ).coalesce(1).write.parquet(f"{folder}/manifest")
-    scratch.delete(spark, path, ordered_path)
+    scratch.delete(spark, path)
 
 
 def _segment_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
