@@ -146,15 +146,19 @@ def words(block: Block, separators: np.ndarray = SPACE, fold: bool = True) -> tu
     after[-1] = False
     after[:-1] = inside[1:]
     ends = np.flatnonzero(inside & (~after | first[1:])) + 1
+    return starts, ends, hash_spans(buf, starts, ends, fold), np.searchsorted(starts, offsets).astype(np.int64)
+
+
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """The hashes of spans of the buffer, in ascending order of place and without overlaps; as `words` gives to words."""
     table, power, inverse = _powers(fold)
     hashes = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         low = int(starts[at])
         upto = int(np.searchsorted(ends, low + PIECE, "right"))
-        if upto == at:  # a word longer than a piece
-            w = _long_word(buf[low : int(ends[at])], table, power)
-            hashes[at] = w
+        if upto == at:  # longer than a piece
+            hashes[at] = _long_word(buf[low : int(ends[at])], table, power)
             at += 1
             continue
         high = int(ends[upto - 1])
@@ -163,7 +167,7 @@ def words(block: Block, separators: np.ndarray = SPACE, fold: bool = True) -> tu
         s, e = starts[at:upto] - low, ends[at:upto] - low
         hashes[at:upto] = (sums[e] - sums[s]) * inverse[s]
         at = upto
-    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets).astype(np.int64)
+    return mix(hashes + (ends - starts).astype(np.uint64))
 
 
 def _long_word(piece: np.ndarray, table: np.ndarray, power: np.ndarray) -> np.uint64:
