@@ -1,16 +1,18 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Each text's distinct five-word shingles are hashed; K minima are taken. Minima in BANDS groups of ROWS give band
-   keys; of each minimum the low B bits are kept, packed into WORDS longs. Texts with equal sets are one class from
+1. Each text's distinct five-word shingles are hashed; K minima are taken. The first of them, in BANDS groups of ROWS,
+   give band keys; of each minimum the low B bits are kept, packed into WORDS longs. Texts with equal sets are one class from
    here on, so exact copies cost nothing further.
-2. Candidates: classes that share a band key. First each class meets only the pivot (least class) of each of its
-   bands. The bit counts of the packed signatures give a similarity, corrected for chance collisions of B bits; a
+2. Candidates: classes that share a band key. First each class meets only the pivot of each of its bands: the class
+   that meets most others over all bands, which among edited copies is the one nearest to their source. The bit counts of the packed signatures give a similarity, corrected for chance collisions of B bits; a
    pair goes on if that is within MARGIN of the threshold and its sizes allow the threshold.
 3. Links are confirmed on the full shingle sets, read from the texts of the classes concerned.
 4. Components of the confirmed links. Then, in each band key that still holds several components, every class
    outside the pivot's component meets every class of another component, with the size and bit-count tests inside
-   the join. So no pair of different components that shares a band key goes untested, while groups that the pivots
-   have already joined make no pairs.
+   the join, and a bound: shingles that no other of these classes has cannot be shared, so the rest of a class's
+   shingles limits its similarity with any other. So no pair of different components that shares a band key goes
+   untested, while groups that the pivots have already joined make no pairs, and copies edited beyond the threshold
+   make hardly any.
 5. Components of all links; the least doc_id of a component names it.
 
 At similarity 0.75 a pair misses all bands with probability (1 - 0.75 ** ROWS) ** BANDS, 2.5e-7, and the margin is
@@ -36,12 +38,14 @@ from rasterloom.llm import textblocks as tb
 from rasterloom.llm.components import components
 
 SHINGLE = 5
-ROWS, BANDS, B = 4, 40, 4
-K = ROWS * BANDS
+ROWS, BANDS, B = 4, 40, 2
+K = 480
 WORDS = K * B // 64
 PERCENT = 75
-MARGIN = 0.18
+MARGIN = 0.12
 BLOCK = 4 << 20
+#: Texts or shingle sets that go to Python at once.
+WIDE = 1000
 
 _M = tb.mix(np.arange(11, 11 + SHINGLE, dtype=np.uint64)) | np.uint64(1)
 _A = (tb.mix(np.arange(101, 101 + K, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -95,7 +99,7 @@ def packed(least: np.ndarray) -> np.ndarray:
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    g = least.astype(np.uint64).reshape(len(least), BANDS, ROWS)
+    g = least[:, : BANDS * ROWS].astype(np.uint64).reshape(len(least), BANDS, ROWS)
     h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(least), BANDS))
     for r in range(ROWS):
         h = tb.combine(h, g[:, :, r])
@@ -121,14 +125,14 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def differing() -> Column:
     """How many of the K low-bit groups of the signatures s0.. and t0.. differ."""
-    ones = int("1" * 16, 16)
+    ones = sum(1 << k for k in range(0, 64, B))
     total = None
     for k in range(WORDS):
         x = F.col(f"s{k}").bitwiseXOR(F.col(f"t{k}"))
         y = x
         for s in range(1, B):
             y = y.bitwiseOR(F.shiftrightunsigned(x, s))
-        n = F.bit_count(y.bitwiseAND(F.lit(ones)))
+        n = F.bit_count(y.bitwiseAND(F.lit(ones).cast("long")))
         total = n if total is None else total + n
     return total
 
@@ -173,20 +177,55 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
 
 
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """cid and shingles (packed) of the classes in the column c of distinct wanted, from their texts."""
+    who = classes.select("cid", "rep", "name").join(wanted, F.col("cid") == F.col("c"), "left_semi")
+    texts = docs.select("doc_id", "text").join(who, F.col("doc_id") == F.col("rep")).select("cid", "name", "text")
+    sets = texts.mapInArrow(_sets, "cid long, shingles binary")
+    return sets.dropDuplicates(["cid"]) if _repeats(classes) else sets
+
+
+def _shareable(cids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of classes: `of` and `most`, how many of its shingles another of them has too; without those too few for a link."""
+    lists = _texts(cids.withColumnRenamed("cid", "c"), classes, docs).mapInArrow(_unpacked, "cid long, shingles array<long>")
+    single = lists.select("cid", F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("cid").alias("cid")).where("n = 1")
+    alone = single.groupBy("cid").agg(F.count("*").alias("alone")).withColumnRenamed("cid", "c")
+    sizes = classes.select("cid", "n").join(cids.withColumnRenamed("cid", "d"), F.col("cid") == F.col("d"), "left_semi")
+    most = F.col("n") - F.coalesce("alone", F.lit(0))
+    return sizes.join(alone, F.col("cid") == F.col("c"), "left").select(F.col("cid").alias("of"), most.alias("most"), "n").where(100 * F.col("most") >= PERCENT * F.col("n")).select("of", "most")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, 200):
+            part = batch.slice(k, 200)
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("cid"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], ["cid", "shingles"])
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs (a, b) of classes, written down: those whose full sets reach the threshold."""
     needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    who = classes.select("cid", "rep", "name").join(needed, F.col("cid") == F.col("c"), "left_semi")
-    texts = docs.select("doc_id", "text").join(who, F.col("doc_id") == F.col("rep")).select("cid", "name", "text")
-    sets = texts.mapInArrow(_sets, "cid long, shingles binary").dropDuplicates(["cid"]) if _repeats(classes) else texts.mapInArrow(_sets, "cid long, shingles binary")
-    sets, path = scratch.written(sets, "sets")
+    sets, path = scratch.written(_texts(needed, classes, docs), "sets", batch=WIDE)
     one = pairs.join(sets.select(F.col("cid").alias("c1"), F.col("shingles").alias("x")), F.col("a") == F.col("c1")).select("a", "b", "x")
     two = one.join(sets.select(F.col("cid").alias("c2"), F.col("shingles").alias("y")), F.col("b") == F.col("c2")).select("a", "b", "x", "y")
-    links, _ = scratch.written(two.mapInArrow(_confirmed, "a long, b long"), "confirmed")
+    links, _ = scratch.written(two.mapInArrow(_confirmed, "a long, b long"), "confirmed", batch=WIDE)
     scratch.delete(pairs.sparkSession, path)
     return links
 
 
+def _open(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
+    """Of rows (key, cid, pivot): those of band keys that hold several components, as key, cid, comp and main (the
+    pivot's component), written down."""
+    label = components(links)
+    own, path = scratch.written(rows.join(label, F.col("cid") == F.col("node"), "left").select("key", "cid", "pivot", F.coalesce("label", "cid").alias("comp")), "own")
+    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main")).where("low <> high").select(F.col("key").alias("k"), "main")
+    still, still_path = scratch.written(own.join(mixed, F.col("key") == F.col("k")).select("key", "cid", "comp", "main"), "still")
+    scratch.delete(rows.sparkSession, path)
+    return still, still_path
+
+
 def _repeats(classes: DataFrame) -> bool:
     """Whether a doc_id stands for several rows, so that a class may find its text twice."""
     return bool(classes.agg(F.max("repeated")).first()[0])
@@ -195,40 +234,44 @@ def _repeats(classes: DataFrame) -> bool:
 def clustered(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, class_size (rows with an equal set)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed, signed_path = scratch.written(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed")
+    signed, signed_path = scratch.written(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed", batch=WIDE)
     repeated = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     known = signed.where("name IS NOT NULL AND doc_id IS NOT NULL")
     firsts = known.groupBy("name").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes, _ = scratch.written(firsts.withColumn("cid", F.monotonically_increasing_id()).withColumn("repeated", F.lit(repeated)), "classes")
     bands = classes.select("cid", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("m"), F.min("cid").alias("pivot")).where("m > 1").select(F.col("key").alias("k"), "pivot")
-    rows, rows_path = scratch.written(bands.join(shared, F.col("key") == F.col("k")).select("key", "cid", "pivot"), "bands")
+    shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select(F.col("key").alias("k"), "m")
+    rows, first_path = scratch.written(bands.join(shared, F.col("key") == F.col("k")).select("key", "cid", "m"), "bands")
+    met = rows.groupBy("cid").agg(F.sum("m").alias("met")).withColumnRenamed("cid", "c")
+    weighed = rows.join(met, F.col("cid") == F.col("c")).select("key", "cid", "met")
+    pivots = weighed.groupBy("key").agg(F.max(F.struct("met", "cid"))["cid"].alias("pivot")).withColumnRenamed("key", "k")
+    rows, rows_path = scratch.written(rows.join(pivots, F.col("key") == F.col("k")).select("key", "cid", "pivot"), "pivots")
     signature = [F.col("sig")[k] for k in range(WORDS)]
-    left = classes.select(F.col("cid").alias("c1"), F.col("n").alias("n1"), *[x.alias(f"s{k}") for k, x in enumerate(signature)])
-    right = classes.select(F.col("cid").alias("c2"), F.col("n").alias("n2"), *[x.alias(f"t{k}") for k, x in enumerate(signature)])
+    left = classes.select(F.col("cid").alias("c1"), F.col("n").alias("n1"), F.col("bands").alias("bands1"), *[x.alias(f"s{k}") for k, x in enumerate(signature)])
+    right = classes.select(F.col("cid").alias("c2"), F.col("n").alias("n2"), F.col("bands").alias("bands2"), *[x.alias(f"t{k}") for k, x in enumerate(signature)])
     close = _sizes_allow("n1", "n2") & (differing() <= MOST_DIFFERING)
     stars = rows.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
     near = stars.join(left, F.col("a") == F.col("c1")).join(right, (F.col("b") == F.col("c2")) & close).select("a", "b")
     near, _ = scratch.written(near, "pairs")
     links = confirmed(near, classes, docs)
-    label = components(links).select(F.col("node"), F.col("label"))
-    # band keys that still hold several components
-    own = rows.join(label, F.col("cid") == F.col("node"), "left").select("key", "cid", "pivot", F.coalesce("label", "cid").alias("comp"))
-    own, own_path = scratch.written(own, "own")
-    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main")).where("low <> high").select(F.col("key").alias("k"), "main")
-    still = own.join(mixed, F.col("key") == F.col("k")).select("key", "cid", "comp", "main")
-    still, still_path = scratch.written(still, "still")
-    outside = still.where("comp <> main").join(left, F.col("cid") == F.col("c1")).select("key", F.col("comp").alias("comp1"), "c1", "n1", *[f"s{k}" for k in range(WORDS)])
-    every = still.join(right, F.col("cid") == F.col("c2")).select(F.col("key").alias("k"), F.col("comp").alias("comp2"), "main", "c2", "n2", *[f"t{k}" for k in range(WORDS)])
+    still, still_path = _open(rows, links)
+    bound, bound_path = scratch.written(_shareable(still.select("cid").distinct(), classes, docs), "bounds", batch=WIDE)
+    possible = still.join(bound, F.col("cid") == F.col("of")).select("key", "cid", "comp", "main", "most")
+    outside = possible.where("comp <> main").join(left, F.col("cid") == F.col("c1")).select("key", F.col("comp").alias("comp1"), F.col("most").alias("most1"), "c1", "n1", "bands1", *[f"s{k}" for k in range(WORDS)])
+    every = possible.join(right, F.col("cid") == F.col("c2")).select(F.col("key").alias("k"), F.col("comp").alias("comp2"), F.col("most").alias("most2"), "main", "c2", "n2", "bands2", *[f"t{k}" for k in range(WORDS)])
     once = (F.col("comp2") == F.col("main")) | (F.col("c1") < F.col("c2"))
-    rest = outside.join(every, (F.col("key") == F.col("k")) & (F.col("comp1") != F.col("comp2")) & once & close).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
+    common = F.least("most1", "most2")
+    allowed = 100 * common >= PERCENT * (F.col("n1") + F.col("n2") - common)
+    # a pair is made in the first band that both have in common
+    here = F.array_position(F.zip_with("bands1", "bands2", lambda x, y: x == y), True) == F.array_position("bands1", F.col("key"))
+    rest = outside.join(every, (F.col("key") == F.col("k")) & (F.col("comp1") != F.col("comp2")) & once & allowed & close & here).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
     rest, _ = scratch.written(rest, "rest")
     more = confirmed(rest, classes, docs)
     all_labels = components(links.unionByName(more))
     each = classes.select("cid", "rep", "name", "class_size").join(all_labels, F.col("cid") == F.col("node"), "left").select("cid", "rep", "name", "class_size", F.coalesce("label", "cid").alias("comp"))
     least = each.groupBy("comp").agg(F.min("rep").alias("component"))
     named = each.join(least.withColumnRenamed("comp", "c"), F.col("comp") == F.col("c")).select(F.col("name").alias("class_name"), "component", "class_size")
-    scratch.delete(docs.sparkSession, rows_path, own_path, still_path)
+    scratch.delete(docs.sparkSession, first_path, rows_path, still_path, bound_path)
     slim = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("name")).alias("name"))
     out = slim.join(named, F.col("name") == F.col("class_name"), "left")
     component = F.coalesce("component", "doc_id")
@@ -242,8 +285,9 @@ def op4_bbit_minhash(spark, sf_dir: str) -> DataFrame:
 def deduplicated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group, with all columns."""
     found, _ = scratch.written(clustered(docs), "clusters")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    out = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone_id = scratch.fresh(docs, "gone_id")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    out = docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti")
     again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if not again:
         return out
