@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
 
 WINDOW = 10
@@ -190,6 +191,7 @@ SCHEMA = "doc_id {kind}, n_words long, n_hit long, item_ids array<string>"
 
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = BENCHMARK_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside any occurrence of a window), item_ids (sorted)."""
+    scratch.bounded(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text")
     groups = list(_groups(benchmark, most))
@@ -301,13 +303,15 @@ def op2_suffix_decontam(spark, sf_dir: str) -> DataFrame:
 def clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without any benchmark window, with all their columns; map-only where one group
     of the benchmark suffices."""
+    scratch.bounded(docs.sparkSession)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     groups = list(_groups(benchmark, BENCHMARK_BYTES))
     if len(groups) == 1:
         shared = spark.sparkContext.broadcast(groups[0])
         return docs.mapInArrow(lambda batches: _kept(batches, shared.value), docs.schema)
-    hits = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.lit(1).alias("hit")).distinct()
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    hit_id = scratch.fresh(docs, "hit_id")
+    hits = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(hit_id)).distinct()
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits[hit_id]), "left_anti")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], test: Suffixes) -> Iterator[pa.RecordBatch]:

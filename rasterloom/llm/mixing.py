@@ -112,12 +112,14 @@ def op3_ipf_mix(spark, sf_dir: str) -> DataFrame:
 
 def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the sampled documents with all their columns."""
-    columns = docs.columns
-    topic = topic_of(F.coalesce(F.col("text"), F.lit("")))
+    topic = topic_of(F.coalesce(docs["text"], F.lit("")))
     cells, _ = scratch.written(described(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    rates, _ = scratch.written(probabilities(fitted(cells)).select(*[F.col(d).alias(f"cell_{d}") for d in DIMENSIONS], F.col("probability").alias("cell_probability")), "rates")
-    on = (F.coalesce(docs["source"], F.lit("(none)")) == F.col("cell_source")) & (F.coalesce(docs["lang"], F.lit("(none)")) == F.col("cell_lang")) & (topic == F.col("cell_topic"))
-    return docs.join(rates, on).where(draw(docs["doc_id"]) < F.col("cell_probability")).select(*[docs[c] for c in columns])
+    fit = probabilities(fitted(cells))
+    at, rate = [scratch.fresh(docs, f"cell_{d}") for d in DIMENSIONS], scratch.fresh(docs, "cell_probability")
+    rates, _ = scratch.written(fit.select(*[F.col(d).alias(a) for d, a in zip(DIMENSIONS, at)], F.col("probability").alias(rate)), "rates")
+    own = (F.coalesce(docs["source"], F.lit("(none)")), F.coalesce(docs["lang"], F.lit("(none)")), topic)
+    on = (own[0] == rates[at[0]]) & (own[1] == rates[at[1]]) & (own[2] == rates[at[2]])
+    return docs.join(rates, on).where(draw(docs["doc_id"]) < rates[rate]).select(*[docs[c] for c in docs.columns])
 
 
 def _oracle() -> str:

@@ -24,11 +24,21 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
-    """The DataFrame written as a Parquet table in the shared folder and read back, with its path."""
+def written(df: DataFrame, name: str, batch: int | None = None, **options: str) -> tuple[DataFrame, str]:
+    """The DataFrame written as a Parquet table in the shared folder and read back, with its path.
+
+    batch: rows that go to Python at once while it is written, where they are wide.
+    """
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.options(**options).parquet(path)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        if batch:
+            spark.conf.set(key, batch)
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -38,3 +48,19 @@ def delete(spark: SparkSession, *paths: str) -> None:
     for p in paths:
         at = jvm.org.apache.hadoop.fs.Path(p)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def bounded(spark: SparkSession) -> None:
+    """Has texts go to Python about 8 MB at a time, unless the session sets a size of its own: long texts in batches
+    counted by rows alone could take more memory than an executor has for Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) == "67108864b":
+        spark.conf.set(key, "8m")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of the DataFrame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
