@@ -83,3 +83,13 @@ def vector_format(path: Column) -> Column:
     """The output format that a file name's extension asks for; unknown ones mean GPKG."""
     ext = F.lower(F.concat(F.lit("."), F.element_at(F.split(path, r"\."), -1)))
     return F.when(ext == ".shp", "ESRI Shapefile").when(ext == ".geojson", "GeoJSON").otherwise("GPKG")
+
+
+def humanized(seconds: Column) -> Column:
+    """A duration in words: seconds, then minutes, hours and days, each rounded down."""
+    n = lambda unit: F.floor(seconds / unit).cast("long")
+
+    def words(unit: int, one: str, name: str) -> Column:
+        return F.when(n(unit) == 1, one).otherwise(F.concat(n(unit).cast("string"), F.lit(f" {name}")))
+
+    return F.when(seconds < 1, "a moment").when(seconds < 60, words(1, "a second", "seconds")).when(seconds < 3600, words(60, "a minute", "minutes")).when(seconds < 86400, words(3600, "an hour", "hours")).otherwise(words(86400, "a day", "days"))

@@ -171,6 +171,17 @@ def mosaic_mode_clipped(spark, d):
     return mosaic.merged(_pixels(spark, d), nodata=3, clip_range=(1, 3))
 
 
+@query(f"WITH {A.META}, {A.PIXELS} " + _MODE.format(empty="vote", votes="SELECT grow, gcol, value AS vote FROM px"))
+def incremental_mosaic(spark, d):
+    from rasterloom.functions import scratch
+    from rasterloom.streaming import incremental
+
+    _, arrived = scratch.written(_pixels(spark, d).select("grow", "gcol", "value"), "arrived")
+    stream = spark.readStream.schema("grow int, gcol int, value smallint").option("maxFilesPerTrigger", 2).parquet(arrived)
+    incremental.start(stream, f"{arrived}-state", f"{arrived}-offsets").awaitTermination()
+    return incremental.mosaic(incremental.read_state(spark, f"{arrived}-state"))
+
+
 @query(f"WITH {A.META}, {A.PIXELS} SELECT grow, gcol, CAST(arg_max(value, path) AS SMALLINT) AS value FROM px GROUP BY grow, gcol")
 def mosaic_last(spark, d):
     return mosaic.merged(_pixels(spark, d), "last")
@@ -680,6 +691,41 @@ def checkpoint_keys(spark, d):
     return patches.checkpoint_keys(_parameters(spark, d)).select("position", "name")
 
 
+@query(f"WITH {A.scores_sql()}, t AS (SELECT * FROM (VALUES (0, 0), (5, 3), (9, 17)) v(py, px)) SELECT 't#' || py || '#' || px AS patch_id, CAST(row - py AS INTEGER) AS pr, CAST(col - px AS INTEGER) AS pc, row, col FROM img JOIN t ON row BETWEEN py AND py + 7 AND col BETWEEN px AND px + 7")
+def patch_pixels(spark, d):
+    corners = spark.createDataFrame([("t", y, x, f"t#{y}#{x}") for y, x in ((0, 0), (5, 3), (9, 17))], "tile_id string, y int, x int, patch_id string")
+    img = A.scores(spark, d).select(F.lit("t").alias("tile_id"), "row", "col")
+    return patches.pixels_of(corners, img, 8).select("patch_id", "pr", "pc", "row", "col")
+
+
+@query("SELECT * FROM (VALUES (1, 'herbaceous'), (2, 'hedge'), (3, 'trees')) v(code, name)")
+def training_class_list(spark, d):
+    return classes.training_classes(spark)
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 19 ELSE 4 END AS outputs FROM part")
+def checkpoint_outputs(spark, d):
+    path = F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, F.lit(".safetensors")).otherwise(F.lit(".pth")))
+    return A.table(spark, d, "part").select("p_partkey", classes.outputs_of_checkpoint(path).alias("outputs"))
+
+
+@query("SELECT doc_id, substr(text, 1, 500) AS preview FROM documents")
+def error_preview(spark, d):
+    return A.table(spark, d, "documents").select("doc_id", names.preview(F.col("text")).alias("preview"))
+
+
+@query("SELECT o_orderkey, CASE WHEN s < 1 THEN 'a moment' WHEN s < 60 THEN CASE WHEN s // 1 = 1 THEN 'a second' ELSE s // 1 || ' seconds' END WHEN s < 3600 THEN CASE WHEN s // 60 = 1 THEN 'a minute' ELSE s // 60 || ' minutes' END WHEN s < 86400 THEN CASE WHEN s // 3600 = 1 THEN 'an hour' ELSE s // 3600 || ' hours' END ELSE CASE WHEN s // 86400 = 1 THEN 'a day' ELSE s // 86400 || ' days' END END AS took FROM (SELECT o_orderkey, o_orderkey * 13 AS s FROM orders)")
+def humanized_time(spark, d):
+    return A.table(spark, d, "orders").select("o_orderkey", names.humanized(F.col("o_orderkey") * 13).alias("took"))
+
+
+@query(f"WITH {A.scores_sql()}, dims AS (SELECT CAST(max(row) + 1 AS INTEGER) AS h, {A.SIDE} AS w FROM img), e AS (SELECT row, col, list_transform(l, lambda v: exp(v - list_max(l))) AS e FROM img), g AS (SELECT row, col, e[3] / list_sum(e) AS v FROM e), " + "{axes} SELECT CAST(ar.d AS INTEGER) AS row, CAST(ac.d AS INTEGER) AS col, CAST(round(sum(v * ar.k * ac.k), 6) >= 0.25 AS SMALLINT) AS value FROM g JOIN ar ON ar.s = g.row JOIN ac ON ac.s = g.col GROUP BY ar.d, ac.d".format(axes=f"{_axis_sql('ar', 'h', 'h', 'gaussian')}, {_axis_sql('ac', 'w', 'w', 'gaussian')}"))
+def binary_smoothed(spark, d):
+    p = A.scores(spark, d).select("row", "col", pixels.softmax(F.col("logits"))[2].alias("value"))
+    smooth = resample.gaussian(p, A.height(spark, d), A.SIDE, 1.5)
+    return smooth.withColumn("value", pixels.thresholded(F.round("value", 6), 0.25))
+
+
 # the stages together
 
 _LAND = f"{_FUSED}, m2 AS (SELECT tile_id, row + (CASE tile_id WHEN 'A' THEN 0 WHEN 'N' THEN 10 ELSE 20 END) AS grow, col + (CASE tile_id WHEN 'A' THEN 0 WHEN 'N' THEN 5 ELSE 10 END) AS gcol, least(greatest(value, 0), 3) AS v FROM fus), w AS (SELECT grow, gcol, v, row_number() OVER (PARTITION BY grow, gcol ORDER BY count(*) DESC, v) AS k FROM m2 GROUP BY grow, gcol, v) SELECT CAST(grow AS INTEGER) AS grow, CAST(gcol AS INTEGER) AS gcol, CAST(v AS SMALLINT) AS value FROM w WHERE k = 1"
