@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
 
 ORDER = 3
@@ -31,6 +32,8 @@ DOCS_PER_LANGUAGE = 600
 TEXT_BYTES = 100_000
 SCORE_BYTES = 64
 BLOCK = 2 << 20
+#: Byte pairs that the table of costs covers; costs of others are worked out for each block.
+PAIRS = 1023
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
@@ -69,16 +72,20 @@ class Trees:
                 escape = -np.log2(distinct / (total + distinct))
                 orders.append((mask, keys, hit, contexts, escape))
             self.tables.append(orders)
-        every = np.unique(np.concatenate([np.zeros(0, np.uint32), *(c[0] for c in counts.values())]))
-        self.high = self._dense(every >> np.uint32(16))
-        self.low = self._dense(every & np.uint32(0xFFFF))
+        every = np.concatenate([np.zeros(0, np.uint32), *(c[0] for c in counts.values())])
+        weight = np.concatenate([np.zeros(0), *(c[1] for c in counts.values())])
+        self.high = self._dense(every >> np.uint32(16), weight)
+        self.low = self._dense(every & np.uint32(0xFFFF), weight)
         self.n_low = int(self.low.max()) + 1
         self.memo: np.ndarray | None = None
 
     @staticmethod
-    def _dense(values: np.ndarray) -> np.ndarray:
-        out = np.zeros(65536, np.int32)  # 0: never seen
-        v = np.unique(values)
+    def _dense(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Small numbers for the PAIRS most frequent byte pairs; 0 for the others."""
+        out = np.zeros(65536, np.int32)
+        total = np.bincount(values, weights=weight, minlength=65536)
+        v = np.argsort(-total, kind="stable")[:PAIRS]
+        v = v[total[v] > 0]
         out[v] = np.arange(1, len(v) + 1)
         return out
 
@@ -195,6 +202,7 @@ def _remainder(most: int) -> F.Column:
 
 
 def op7_ppm_langid(spark, sf_dir: str) -> DataFrame:
+    scratch.bounded(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     trees = learned(docs.where(_remainder(4) != 2))
     return predicted(docs, trees).select("doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
@@ -206,25 +214,17 @@ LEAST_SCORE = 0.5
 
 def identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that have a language, with all their columns as they came."""
+    scratch.bounded(spark)
     trees = learned(docs.where(_remainder(4) != 2))
-    verdict = predicted_rows(docs, trees)
-    return verdict.where((F.col("_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    shared = spark.sparkContext.broadcast(trees)
+    return docs.mapInArrow(lambda batches: _kept(batches, shared.value), docs.schema)
 
 
-def predicted_rows(docs: DataFrame, trees: Trees) -> DataFrame:
-    """All columns of the rows with _pred and _score."""
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slim = batch.select(["doc_id", "text"])
-            got = list(_predicted(iter([slim]), shared.value))
-            if not got:
-                continue
-            add = pa.Table.from_batches(got).combine_chunks().to_batches()[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, add.column("lang_pred"), add.column("score")], [*batch.schema.names, "_pred", "_score"])
-
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("_pred", T.StringType()), T.StructField("_score", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+def _kept(batches: Iterator[pa.RecordBatch], trees: Trees) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flags = [
+            np.array([p != "und" and s >= LEAST_SCORE for p, s in zip(got.column("lang_pred").to_pylist(), got.column("score").to_pylist())], bool)
+            for got in _predicted(iter([batch.select(["doc_id", "text"])]), trees)
+        ]
+        if flags:
+            yield batch.filter(pa.array(np.concatenate(flags)))

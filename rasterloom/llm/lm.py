@@ -305,6 +305,7 @@ def scored(docs: DataFrame, fold, order: int = ORDER) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     spark = docs.sparkSession
+    scratch.bounded(spark)
     rows = docs.select("doc_id", fold.cast("int").alias("fold"), "text")
     blocks, _ = scratch.written(rows.mapInArrow(_blocked, f"block long, deleted boolean, doc_ids array<{kind}>, folds array<int>, n_words array<long>, vocabulary binary, words binary"), "blocks", compression="zstd")
     size = blocks.select(F.aggregate("n_words", F.lit(0).cast("long"), lambda a, x: a + x + 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -11,8 +11,8 @@
    outside the pivot's component meets every class of another component, with the size and bit-count tests inside
    the join, and a bound: shingles that no other of these classes has cannot be shared, so the rest of a class's
    shingles limits its similarity with any other. So no pair of different components that shares a band key goes
-   untested, while groups that the pivots have already joined make no pairs, and copies edited beyond the threshold
-   make hardly any.
+   untested, while groups that the pivots have already joined make no pairs, and copies edited well beyond the
+   threshold make few. A pair with several keys in common is made at the first of them.
 5. Components of all links; the least doc_id of a component names it.
 
 At similarity 0.75 a pair misses all bands with probability (1 - 0.75 ** ROWS) ** BANDS, 2.5e-7, and the margin is
@@ -233,6 +233,7 @@ def _repeats(classes: DataFrame) -> bool:
 
 def clustered(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, class_size (rows with an equal set)."""
+    scratch.bounded(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed, signed_path = scratch.written(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed", batch=WIDE)
     repeated = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0

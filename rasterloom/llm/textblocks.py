@@ -7,13 +7,14 @@ word's place. Python never loops over words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; longer texts are cut between words.
-PIECE = 1 << 21
+PIECE = 1 << 20
 BLOCK_BYTES = 8 << 20
 
 _BASE = 0x9E3779B97F4A7C15
@@ -36,7 +37,7 @@ _cache: dict = {}
 
 
 def _powers(fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if not _cache:
+    if fold not in _cache:
         exact = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
         inverse = pow(_BASE, -1, 1 << 64)
         out = []
@@ -122,31 +123,47 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = BL
                 held, size = [], 0
     if held:
         yield close()
+        held = []
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on, and what one stage freed would count in the next."""
+    pa.default_memory_pool().release_unused()
+    if "trim" not in _cache:
+        try:
+            _cache["trim"] = ctypes.CDLL(None).malloc_trim
+        except (OSError, AttributeError):  # another C library
+            _cache["trim"] = lambda _: 0
+    _cache["trim"](0)
 
 
 def _offsets(a: pa.Array) -> np.ndarray:
     return np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1] if len(a) else np.zeros(1, np.int64)
 
 
-def words(block: Block, separators: np.ndarray = SPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """starts, ends (places in the buffer) and hashes of all words, and for each document where its words begin (n + 1). fold: A-Z count as a-z."""
+def spans(block: Block, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """starts and ends (places in the buffer) of all words."""
     buf, offsets = block.buffer, block.offsets
     n = len(buf)
     if not n:
-        e = np.zeros(0, np.int64)
-        return e, e, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = ~separators[buf]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = inside[:-1]
-    starts = np.flatnonzero(inside & (~before | first[:n]))
     after = np.empty(n, bool)
     after[-1] = False
     after[:-1] = inside[1:]
-    ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    return starts, ends, hash_spans(buf, starts, ends, fold), np.searchsorted(starts, offsets).astype(np.int64)
+    return np.flatnonzero(inside & (~before | first[:n])), np.flatnonzero(inside & (~after | first[1:])) + 1
+
+
+def words(block: Block, separators: np.ndarray = SPACE, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """starts, ends and hashes of all words, and for each document where its words begin (n + 1). fold: A-Z count as a-z."""
+    starts, ends = spans(block, separators)
+    return starts, ends, hash_spans(block.buffer, starts, ends, fold), np.searchsorted(starts, block.offsets).astype(np.int64)
 
 
 def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:

@@ -230,6 +230,7 @@ def packed(pages: DataFrame, folder: str, least: int = LEAST, most: int = ARCHIV
     """Writes all pages to archives in the folder; returns the table of archives (archive, n_records)."""
     rows = pages.select("page_id", "url", "html")
     spark = pages.sparkSession
+    scratch.bounded(spark)
     # of each payload the largest page_id; the hash is of the whole payload, and small sums meet, not pages
     keyed = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("long_enough", F.octet_length(F.coalesce("html", F.lit(""))) >= least)
     top = keyed.where("long_enough AND page_id IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1").select(F.col("digest").alias("d"), "top")
