@@ -40,7 +40,7 @@ WINDOW = 8
 BITS = 9
 LEAST, MOST = 64, 4096
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_600_000
 #: Words encoded as one text, and the character between them.
 TOGETHER, _BETWEEN = 500, "\x01"
 BLOCK = 4 << 20
@@ -148,23 +148,42 @@ def encoder(path: str) -> Encoder:
     return _workers[path]
 
 
-def cuts(ids: np.ndarray, bits: int = BITS, least: int = LEAST, most: int = MOST) -> list[int]:
-    """Ends of the chunks of one document's ids."""
+def marks(ids: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Places after which a chunk may end: where the rolling hash of the last WINDOW ids has its low bits clear."""
     n = len(ids)
-    if n <= WHOLE:
-        return [n]
     rolled = np.zeros(n, np.uint64)
+    wide = ids.astype(np.uint64) + np.uint64(1)
     for k in range(min(WINDOW, n)):
-        rolled[k:] += (ids[: n - k].astype(np.uint64) + np.uint64(1)) * _MULTIPLIERS[k]
-    marks = np.flatnonzero((tb.mix(rolled) & np.uint64((1 << bits) - 1)) == 0) + 1
-    out, last = [], 0
-    for m in [*marks.tolist(), n]:
-        while m - last > most:
-            last += most
-            out.append(last)
-        if m - last >= least or m == n and m > last:
-            out.append(m)
-            last = m
+        rolled[k:] += wide[: n - k] * _MULTIPLIERS[k]
+    return np.flatnonzero((tb.mix(rolled) & np.uint64((1 << bits) - 1)) == 0) + 1
+
+
+def cuts(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST, most: int = MOST) -> list[list[int]]:
+    """Ends of the chunks of each document, counted from its begin; offsets: where documents begin in ids (n + 1).
+
+    As no chunk ends before `least` ids, which is more than WINDOW, marks that look back into the document before
+    are never used.
+    """
+    every = marks(ids)
+    first = np.searchsorted(every, offsets, "right")
+    out = []
+    for i in range(len(offsets) - 1):
+        begin = int(offsets[i])
+        n = int(offsets[i + 1]) - begin
+        if n <= WHOLE:
+            out.append([n])
+            continue
+        ends, last = [], 0
+        for m in (*(every[first[i] : first[i + 1]] - begin).tolist(), n):
+            if m > n or m == last:
+                continue
+            while m - last > most:
+                last += most
+                ends.append(last)
+            if m - last >= least or m == n and m > last:
+                ends.append(m)
+                last = m
+        out.append(ends)
     return out
 
 
@@ -185,9 +204,9 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             packed = ids.astype("<u2" if e.width == 2 else "<u4")
             lists, roots = [], []
             had: dict[bytes, bytes] = {}
-            for i in range(len(block)):
+            for i, ends in enumerate(cuts(ids, at)):
                 low, here, last = int(at[i]), [], 0
-                for c in cuts(ids[low : int(at[i + 1])]):
+                for c in ends:
                     data = packed[low + last : low + c].tobytes()
                     d = hashlib.sha256(data).digest()
                     had.setdefault(d, data)
@@ -213,6 +232,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
 def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """Writes the store's four tables below the folder."""
     spark = docs.sparkSession
+    scratch.bounded(spark)
     width = encoder(tokenizer).width
     kind = docs.schema["doc_id"].dataType.simpleString()
     both = docs.select("doc_id", "text").mapInArrow(lambda batches: _cut(batches, tokenizer), f"doc_id {kind}, n_tokens long, digests array<binary>, root binary, digest binary, data binary")
