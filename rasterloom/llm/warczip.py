@@ -32,6 +32,8 @@ LEAST = 0
 ARCHIVE_BYTES = 64 << 20
 #: Records that lie together are fetched by one read of about so many bytes.
 READ_BYTES = 4 << 20
+#: Payloads with copies that may be broadcast, about 50 MB.
+TOP_ROWS = 500_000
 DATA, INDEX = "data.warc", "index.cdxj"
 
 # Signatures and layouts of the ZIP format.
@@ -234,6 +236,9 @@ def packed(pages: DataFrame, folder: str, least: int = LEAST, most: int = ARCHIV
     # of each payload the largest page_id; the hash is of the whole payload, and small sums meet, not pages
     keyed = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("long_enough", F.octet_length(F.coalesce("html", F.lit(""))) >= least)
     top = keyed.where("long_enough AND page_id IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1").select(F.col("digest").alias("d"), "top")
+    top, _ = scratch.written(top, "tops")
+    if top.count() <= TOP_ROWS:  # small: the pages need not move; beyond it the join shuffles them
+        top = F.broadcast(top)
     # a page_id that repeats: one row is the response
     repeats = keyed.where("page_id IS NOT NULL").groupBy("page_id", "digest").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     known = keyed.join(top, (keyed["digest"] == top["d"]) & keyed["long_enough"], "left")
