@@ -3,9 +3,10 @@
 One pass over each text finds the base kinds (assign, access, hex) with their places, and the weak parts:
 identifiers, opaque strings and endpoints. A text's matches and the gaps between them come from the same pattern,
 so running lengths give every place. Texts that hold parts of complementary roles are exploded, and identifiers
-meet secrets in an interval join: an equality on text and scope cell with its neighbours, then the distance. Only
-parts within SCOPE of their complement are reported; endpoints are reported near a linked pair. Built-in functions
-only. A cell is SCOPE characters long, so it holds a bounded number of parts however long the text is.
+meet secrets in an interval join: an equality on text and scope cell, each part standing in the cells of its start
+and its stop or in their neighbours, then the distance. Only parts within SCOPE of their complement are reported;
+endpoints are reported near a linked pair. Built-in functions only. A cell is SCOPE characters long, so it holds a
+bounded number of parts however long the text is.
 
 Defined results: a null or empty text has no findings; a null doc_id stays null; each input row gives a row;
 other columns are not read.
@@ -75,16 +76,18 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Of (row, base, weak): row and the weak parts that a complement confirms, as array `more`."""
     roles = "array(" + ", ".join(f"'{k[4]}'" for k in KINDS) + ")"
     one = parts.where("size(weak) > 0").select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*", F.expr(f"{roles}[p.rank]").alias("role"))
-    cell = F.floor(F.col("start") / F.lit(scope)).cast("long")
-    here = one.withColumn("cell", cell)
+    # parts within scope do not overlap, so the end of one and the start of the other stand in the same cell or in neighbours
+    cell = lambda c: f"CAST(floor({c} / {scope}) AS BIGINT)"
+    around = lambda x: F.explode(F.expr(f"array_distinct(array({cell(x + '.start')} - 1, {cell(x + '.start')}, {cell(x + '.stop')}, {cell(x + '.stop')} + 1))")).alias("cell")
+    both = F.explode(F.expr(f"array_distinct(array({cell('start')}, {cell('stop')}))")).alias("cell")
     # an opaque string inside a base span is the same secret
-    identifiers = here.where("role = 'identifier'").select("row", F.struct("start", "rank", "stop").alias("i"), F.explode(F.expr("sequence(cell - 2, cell + 2)")).alias("cell"))
-    secrets = here.where("role = 'secret'").select("row", F.struct("start", "rank", "stop").alias("s"), "cell")
+    identifiers = one.where("role = 'identifier'").select("row", F.struct("start", "rank", "stop").alias("i")).select("row", "i", around("i"))
+    secrets = one.where("role = 'secret'").select("row", F.struct("start", "rank", "stop").alias("s"), both)
     apart = F.greatest(F.col("i.start"), F.col("s.start")) - F.least(F.col("i.stop"), F.col("s.stop"))
     pairs = identifiers.join(secrets, ["row", "cell"]).where(apart.between(0, scope)).select("row", "i", "s")
     ends = pairs.select("row", F.explode(F.array("i", "s")).alias("x")).distinct()
-    near = ends.select("row", "x", F.explode(F.expr(f"sequence(CAST(floor(x.start / {scope}) AS BIGINT) - 2, CAST(floor(x.start / {scope}) AS BIGINT) + 2)")).alias("cell"))
-    points = here.where("role = 'endpoint'").select("row", F.struct("start", "rank", "stop").alias("e"), "cell")
+    near = ends.select("row", "x", around("x"))
+    points = one.where("role = 'endpoint'").select("row", F.struct("start", "rank", "stop").alias("e"), both)
     far = F.greatest(F.col("e.start"), F.col("x.start")) - F.least(F.col("e.stop"), F.col("x.stop"))
     reached = points.join(near, ["row", "cell"]).where(far.between(0, scope)).select("row", F.col("e").alias("x"))
     weak = ends.unionByName(reached).distinct().where(F.col("x.rank") >= len(BASE))

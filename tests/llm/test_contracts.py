@@ -471,6 +471,19 @@ def test_linked_credentials(spark, odd):
     assert got[14] == "" and [s.split(":")[0] for s in got[12].split(",")] == ["assign", "access", "hex"]
 
 
+def test_long_parts_are_linked(spark, tmp_path):
+    """Secrets and endpoints of more than a few scope cells, before and after their complement, and just out of scope."""
+    secret, url, name = "aB3+" * 250, "https://api.example.com/" + "x1" * 500, "client_id=someone"
+    texts = [t for gap in (1, 50, 199, 200, 201) for pad in ("", "- " * 95) for s in (secret, "token=" + secret) for t in (pad + s + " " * gap + name, pad + name + " " * gap + s)]
+    texts += [pad + " ".join(p) for pad in ("", "- " * 95) for p in ((url, name, secret), (secret, name, url), (name, secret, url), (url, secret, name))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = credentials.op10_credential_links(spark, str(tmp_path))
+    spans = {r.doc_id: r.spans for r in got.collect()}
+    assert spans[0] == f"opaque:0:1000,identifier:1001:{1001 + len(name)}" and all("identifier" in spans[i] and "endpoint" in spans[i] for i in range(len(texts) - 8, len(texts)))
+    oracle.same(got, oracle.connection(str(tmp_path)), SQL["op10_credential_links"])
+
+
 def test_base_digest(spark, odd):
     row = {r.doc_id: r for r in credentials.op10_credential_links(spark, odd).collect()}
     assert row[4].base_sha256 == hashlib.sha256(b"").hexdigest()
