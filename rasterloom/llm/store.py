@@ -10,8 +10,10 @@ The store has four Parquet tables:
 * `segments`: for each range of documents in doc_id order: first and last id, tokens, Merkle root of its documents;
 * `manifest`: the Merkle root over the segments, with counts and parameters.
 
-Reading brings each document's recipe and chunks together, and checks every chunk's SHA-256 and each recipe's root. Document order and `start` come from a range partitioning by doc_id and one small
-sum per range.
+Reading counts each segment again from the recipes (documents, tokens, first and last id, order, starts, Merkle
+root) and compares it with `segments`, and these with `manifest`; then it brings each document's recipe and chunks
+together, and checks every chunk's SHA-256 and each recipe's root. Document order and `start` come from a range
+partitioning by doc_id and one small sum per range.
 A document without ids but the end id has one chunk. Chunks hold LEAST to MOST ids (the last may be shorter).
 
 Encoding: words between ASCII spaces never share a token, so a block's distinct words are encoded once by the
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -273,6 +276,69 @@ def _segment_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([merkle(v) for v in found.values()], pa.binary())], ["segment", "root"])
 
 
+def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What `segments` should hold, and the faults within each segment; a partition holds whole segments, in order."""
+    found: list[dict] = []
+    roots: list[bytes] = []
+    kind = pa.null()
+    for b in batches:
+        kind = b.schema.field("doc_id").type
+        for segment, doc_id, n_tokens, start, root in zip(*[b.column(c).to_pylist() for c in ("segment", "doc_id", "n_tokens", "start", "root")]):
+            if not found or found[-1]["segment"] != segment:
+                if found:
+                    found[-1]["root"] = merkle(roots)
+                found.append({"segment": segment, "n_docs": 0, "tokens": 0, "before": start, "first_id": None, "last_id": None, "nulls": 0, "fault": None})
+                roots = []
+            one = found[-1]
+            if start != one["before"] + one["tokens"]:
+                one["fault"] = one["fault"] or f"document {doc_id} starts at {start}, not {one['before'] + one['tokens']}"
+            if one["last_id"] is not None and (doc_id is None or doc_id < one["last_id"]):
+                one["fault"] = one["fault"] or f"document {doc_id} is out of order"
+            if doc_id is None:
+                one["nulls"] += 1
+            else:
+                one["first_id"] = doc_id if one["first_id"] is None else one["first_id"]
+                one["last_id"] = doc_id
+            one["n_docs"] += 1
+            one["tokens"] += n_tokens
+            roots.append(root)
+    if found:
+        found[-1]["root"] = merkle(roots)
+        kinds = {"segment": pa.int32(), "n_docs": pa.int64(), "tokens": pa.int64(), "before": pa.int64(), "first_id": kind, "last_id": kind, "nulls": pa.int64(), "fault": pa.string(), "root": pa.binary()}
+        yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], k) for c, k in kinds.items()], list(kinds))
+
+
+def _compare(recipes: DataFrame, segments: DataFrame, manifest: DataFrame) -> None:
+    """Raises an error where recipes, segments and manifest do not agree. A row a segment comes to the driver."""
+    kind = recipes.schema["doc_id"].dataType.simpleString()
+    inside = recipes.select("segment", "place", "doc_id", "n_tokens", "start", "root").repartition("segment").sortWithinPartitions("segment", "place")
+    again = inside.mapInArrow(_recounted, f"segment int, n_docs long, tokens long, before long, first_id {kind}, last_id {kind}, nulls long, fault string, root binary").collect()
+    counted = {r.segment: r for r in again}
+    rows = segments.collect()
+    listed = {r.segment: r for r in rows}
+    if sorted(counted) != sorted(r.segment for r in rows):
+        raise ValueError(f"the recipes have {len(counted)} segments, the store lists {len(rows)}, or others")
+    at, last, ids = 0, None, False
+    for k in sorted(counted):
+        one = counted[k]
+        if one.fault:
+            raise ValueError(f"segment {k}: {one.fault}")
+        for c in ("n_docs", "tokens", "before", "first_id", "last_id", "root"):
+            if one[c] != listed[k][c] and not (one[c] != one[c] and listed[k][c] != listed[k][c]):
+                raise ValueError(f"segment {k}: the recipes do not match its {c}")
+        if one.before != at:
+            raise ValueError(f"segment {k} begins at {one.before}, not {at}")
+        if ids and (one.nulls or one.first_id < last):
+            raise ValueError(f"segment {k} is out of order")
+        at += one.tokens
+        if one.last_id is not None:
+            last, ids = one.last_id, True
+    tops = manifest.select("root", "n_docs", "n_tokens", "n_segments").collect()
+    want = (merkle([bytes(counted[k].root) for k in sorted(counted)]), sum(r.n_docs for r in again), at, len(again))
+    if [(bytes(r.root), r.n_docs, r.n_tokens, r.n_segments) for r in tops] != [want]:
+        raise ValueError("the segments do not match the manifest")
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of documents: each one's recipe, then its chunks, come one after another."""
     held: dict = {}
@@ -316,7 +382,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_store(spark, folder: str) -> DataFrame:
     """doc_id, start and ids (little-endian unsigned 32-bit integers) of each document, checked against the hashes.
 
-    A chunk goes straight to the first document that has it; only chunks of several documents are joined with the
+    The recipes are checked against segments and manifest at once, the rest as rows are read. A chunk goes straight to the first document that has it; only chunks of several documents are joined with the
     recipes of the others.
     """
     recipes = spark.read.parquet(f"{folder}/recipes")
@@ -332,7 +398,14 @@ def read_store(spark, folder: str) -> DataFrame:
     others = recipes.select("place", F.explode(F.array_distinct("digests")).alias("d")).join(shared, F.col("d") == F.col("digest")).where("place <> owner")
     together = heads.unionByName(part(chunks)).unionByName(part(others))
     spread = together.repartition("place").sortWithinPartitions("place", F.col("digests").isNull())
-    return spread.mapInArrow(_joined, f"doc_id {kind}, start long, ids binary")
+    out = spread.mapInArrow(_joined, f"doc_id {kind}, start long, ids binary")
+    try:
+        segments, manifest = (spark.read.parquet(f"{folder}/{t}") for t in ("segments", "manifest"))
+    except AnalysisException as missing:
+        out.write.format("noop").mode("overwrite").save()  # a damaged document is named first
+        raise ValueError(f"the store in {folder} lacks segments or manifest") from missing
+    _compare(recipes, segments, manifest)
+    return out
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -327,6 +327,37 @@ def test_store_notices_damage(spark, tmp_path):
         store.read_store(spark, f"file://{tmp_path}/t").collect()
 
 
+def test_store_notices_what_is_missing(spark, tmp_path):
+    """Recipes, segments and manifest are compared: lost, repeated or moved documents, lost segments, other counts."""
+    folder = f"file://{tmp_path}/s"
+    rows = [(None, "no id"), *[(k, f"some words {k} " * (k + 1)) for k in range(40)]]
+    store.write_store(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, store.tokenizer_path())
+    assert store.read_store(spark, folder).count() == len(rows)
+    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in ("recipes", "chunks", "segments", "manifest")}
+    gone = F.col("doc_id").eqNullSafe(F.lit(39))
+    damage = [
+        ("recipes", lambda t: t.where(~gone)),
+        ("recipes", lambda t: t.where("doc_id IS NOT NULL")),
+        ("recipes", lambda t: t.where("false")),
+        ("recipes", lambda t: t.unionByName(t.where(gone))),
+        ("recipes", lambda t: t.withColumn("start", F.col("start") + F.when(gone, 1).otherwise(0))),
+        ("recipes", lambda t: t.withColumn("doc_id", F.when(F.col("doc_id") == 20, F.lit(3)).otherwise(F.col("doc_id")))),
+        ("segments", lambda t: t.where("segment > 0")),
+        ("segments", lambda t: t.withColumn("last_id", F.col("last_id") + 1)),
+        ("manifest", lambda t: t.withColumn("root", F.unhex(F.lit("00" * 32)))),
+        ("manifest", lambda t: t.withColumn("n_docs", F.col("n_docs") + 1)),
+        ("manifest", lambda t: t.where("false")),
+        ("segments", None),
+        ("manifest", None),
+    ]
+    for k, (name, change) in enumerate(damage):
+        for t, df in tables.items():
+            if t != name or change:
+                (change(df) if t == name else df).coalesce(1).write.parquet(f"file://{tmp_path}/t{k}/{t}")
+        with pytest.raises(ValueError):
+            store.read_store(spark, f"file://{tmp_path}/t{k}").collect()
+
+
 def test_cuts_follow_the_content():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 49000, 20000).astype(np.uint32)
