@@ -7,7 +7,7 @@ all of them at once: each step narrows its range of the suffix array by binary s
 range that isn't empty is the longest verbatim match, and the range holds its locations.
 
 The scan is map-only. What each task gets of the benchmark is bounded: beyond BENCHMARK_BYTES it is taken in
-groups of items, one scan each, whose hit intervals are merged by document.
+groups of items, one scan each, whose hit intervals are merged by document (`clean` drops rows scan by scan).
 
 Defined results: a null or empty text has no words and no hits; items without words are ignored; repeated document
 rows give a row each (where the benchmark needs several groups, rows that repeat both doc_id and text are merged
@@ -301,17 +301,20 @@ def op2_suffix_decontam(spark, sf_dir: str) -> DataFrame:
 
 
 def clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without any benchmark window, with all their columns; map-only where one group
-    of the benchmark suffices."""
+    """Pipeline stage: the documents without any benchmark window, with all their columns; map-only, and each row is
+    judged by its own text. A further group of the benchmark scans what the one before kept, from a table, so that a
+    task holds one group."""
     scratch.bounded(docs.sparkSession)
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    groups = list(_groups(benchmark, BENCHMARK_BYTES))
-    if len(groups) == 1:
-        shared = spark.sparkContext.broadcast(groups[0])
-        return docs.mapInArrow(lambda batches: _kept(batches, shared.value), docs.schema)
-    hit_id = scratch.fresh(docs, "hit_id")
-    hits = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias(hit_id)).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits[hit_id]), "left_anti")
+    path = None
+    for k, group in enumerate(_groups(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), BENCHMARK_BYTES)):
+        if k:
+            before = path
+            docs, path = scratch.written(docs, "clean")
+            if before:
+                scratch.delete(spark, before)
+        shared = spark.sparkContext.broadcast(group)
+        docs = docs.mapInArrow(lambda batches, s=shared: _kept(batches, s.value), docs.schema)
+    return docs
 
 
 def _kept(batches: Iterator[pa.RecordBatch], test: Suffixes) -> Iterator[pa.RecordBatch]:

@@ -197,6 +197,18 @@ def test_decontamination_keeps_columns(spark, odd):
     assert out.columns == docs.columns and not {1, 6, 16} & {r.doc_id for r in out.collect()} and out.where("doc_id = 8").count() == 2
 
 
+def test_decontamination_in_groups(spark, tmp_path, monkeypatch):
+    """Rows are judged by their own text, whatever the size of the benchmark: ids that are null or occur twice."""
+    bad, good = " ".join(W[5:16]), "nothing of it in here"
+    rows = [(None, bad), (None, good), (None, None), (1, bad), (1, good), (1, good), (2, "so one two it is"), (3, good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(k, f"x{k} y{k} z{k}") for k in range(20)] + BENCH, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = Counter([(None, good), (None, None), (1, good), (1, good), (3, good)])
+    for most in (decontam.BENCHMARK_BYTES, 200, 100, 10):  # from one group to one for every few words
+        monkeypatch.setattr(decontam, "BENCHMARK_BYTES", most)
+        assert Counter((r.doc_id, r.text) for r in decontam.clean(spark, docs, str(tmp_path)).collect()) == want, most
+
+
 # 3
 
 
