@@ -1,4 +1,5 @@
-"""Connected components of a link table by alternating star contractions; no group is ever gathered in one task."""
+"""Connected components of a link table by alternating star contractions, and a join in which one key may hold a large
+share of the rows; no group is ever gathered in one task."""
 
 from __future__ import annotations
 
@@ -7,27 +8,44 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions import scratch
 
+#: A key with more rows than this, and more than one in HUBS of all rows, is a hub; so there are fewer than HUBS hubs.
+HUB_ROWS, HUBS = 1000, 50_000
 
-def _least_of(links: DataFrame) -> DataFrame:
-    return links.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "of")
 
+def joined(big: DataFrame, key: str, small: DataFrame, name: str, times: str, total: int, how: str = "inner") -> DataFrame:
+    """big with the columns of small where big's key equals small's name.
 
-def _contract_up(links: DataFrame) -> DataFrame:
+    small has one row a key, with the number of big's rows of that key in `times`; total: at least the rows of big. The
+    rows of hubs stay where they are and meet a broadcast of fewer than HUBS rows; the others are shuffled by key. how:
+    inner or left (rows with a null key stay where they are, too).
+    """
+    limit = max(HUB_ROWS, total // HUBS)
+    hubs = small.where(F.col(times) > limit)
+    at_hubs = big.join(F.broadcast(hubs), F.col(key) == F.col(name))
+    elsewhere = big.join(F.broadcast(hubs.select(F.col(name).alias("hub"))), F.col(key) == F.col("hub"), "left_anti")
+    met = elsewhere.where(F.col(key).isNotNull()).join(small.where(F.col(times) <= limit), F.col(key) == F.col(name), how)
+    out = at_hubs.unionByName(met)
+    if how == "left":
+        out = out.unionByName(big.where(F.col(key).isNull()), allowMissingColumns=True)
+    return out
+
+
+def _contract_up(links: DataFrame, total: int) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hub = _least_of(both).select("of", F.least("of", "least").alias("hub"))
-    return both.where("b > a").join(hub, F.col("a") == F.col("of")).where("b <> hub").select(F.col("b").alias("a"), F.col("hub").alias("b")).distinct()
+    hub = both.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")).select(F.col("a").alias("of"), F.least("a", "least").alias("least"), "degree")
+    return joined(both.where("b > a"), "a", hub, "of", "degree", 2 * total).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def _contract_down(links: DataFrame) -> DataFrame:
+def _contract_down(links: DataFrame, total: int) -> DataFrame:
     """Links a node and its smaller neighbours to the least of these; in links a > b."""
-    hub = _least_of(links)
-    moved = links.join(hub, F.col("a") == F.col("of")).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    hub = links.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")).withColumnRenamed("a", "of")
+    moved = joined(links, "a", hub, "of", "degree", total).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(hub.select(F.col("of").alias("a"), F.col("least").alias("b"))).distinct()
 
 
 def labels(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """node and label (the least node reached) of all nodes in links (a, b)."""
+    """node and label (the least node reached) of all nodes in links (a, b); nodes without links are absent."""
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, path = scratch.written(now, "links")
     last = None
@@ -36,6 +54,7 @@ def labels(links: DataFrame, rounds: int = 60) -> DataFrame:
         if state == last or not state[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         last, old = state, path
-        now, path = scratch.written(_contract_down(_contract_up(now)), "links")
+        # each step keeps the number of links or lowers it
+        now, path = scratch.written(_contract_down(_contract_up(now, state[0]), state[0]), "links")
         scratch.delete(links.sparkSession, old)
     raise RuntimeError("the components did not settle")
