@@ -4,14 +4,16 @@ A shard is a block of documents. Its words become numbers of the benchmark's voc
 suffixes that begin with as many vocabulary words as the shortest window needs can hold a match, so the shard's
 suffix array is built over those alone, by prefix doubling. Every benchmark suffix is searched in it word by word,
 all of them at once: each step narrows its range of the suffix array by binary search. The last depth with a
-range that isn't empty is the longest verbatim match, and the range holds its locations.
+range that isn't empty is the longest verbatim match, and the range holds its locations. For contamination the search
+ends at the longest window, as every occurrence of a window begins at a suffix; `longest_matches` goes on to the end.
 
-The scan is map-only. What each task gets of the benchmark is bounded: beyond BENCHMARK_BYTES it is taken in
-groups of items, one scan each, whose hit intervals are merged by document (`clean` drops rows scan by scan).
+The scan is map-only. What each task and the driver get of the benchmark is bounded: beyond BENCHMARK_BYTES it is taken
+in groups of items, one after the other, whose hit words are merged by document (`clean` drops rows scan by scan).
 
-Defined results: a null or empty text has no words and no hits; items without words are ignored; repeated document
-rows give a row each (where the benchmark needs several groups, rows that repeat both doc_id and text are merged
-and given back as often as they came); a null item_id is named `null`; other columns of the inputs are not read.
+Defined results: a null or empty text has no words and no hits; items without words are ignored; several items with one
+item_id count as one; repeated document rows give a row each (where the benchmark needs several groups, rows that
+repeat both doc_id and text are merged and given back as often as they came); a null item_id is named `null`; texts
+are searched whole, however long; other columns of the inputs are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
+from rasterloom.operators.graph import joined
 
 WINDOW = 10
 #: Text of the benchmark that one task may hold.
@@ -54,6 +57,7 @@ class Suffixes:
         #: Words of the window that begins at a suffix; 0 if none does.
         self.window = np.where(whole, need, 0)
         self.shortest = int(need.min()) if len(flat) else 0
+        self.widest = int(need.max()) if len(flat) else 0
         self.longest = int(lengths.max()) if len(flat) else 0
         classes: dict[bytes, int] = {}
         self.of_class: list[list[int]] = []
@@ -71,7 +75,8 @@ class Suffixes:
 class Shard:
     """The suffix array of a block of documents over the places where a benchmark suffix can match."""
 
-    def __init__(self, block: tb.Block, test: Suffixes):
+    def __init__(self, block: tb.Block, test: Suffixes, depth: int):
+        """depth: words by which the suffixes are told apart, the longest match that is searched."""
         _, _, hashes, self.at = tb.words(block, tb.PUNCTUATION)
         n = len(hashes)
         v = test.vocabulary
@@ -95,7 +100,8 @@ class Shard:
         self.stream = np.zeros(total + 1, np.int64)
         body = inner < np.repeat(ends - starts, size)
         self.stream[:total][body] = number[self.place[body]]
-        self.array = self._sorted(test.longest)
+        self.array = self._sorted(depth)
+        self.depth = depth
 
     def _sorted(self, depth: int) -> np.ndarray:
         s = self.stream
@@ -120,7 +126,7 @@ class Shard:
         low = np.zeros(len(active), np.int64)
         high = np.full(len(active), len(array))
         depth = 0
-        while len(active):
+        while len(active) and depth < self.depth:
             on = test.left[active] > depth
             active, low, high = active[on], low[on], high[on]
             want = test.stream[active + depth]
@@ -152,7 +158,7 @@ def _expand(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _hits(block: tb.Block, test: Suffixes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[set[int]]]:
     """Of each document: words, hit words; for each word if it is hit; items found."""
-    shard = Shard(block, test)
+    shard = Shard(block, test, test.widest)
     n = int(shard.at[-1])
     change = np.zeros(n + 1, np.int64)
     found: list[set[int]] = [set() for _ in range(len(block))]
@@ -175,15 +181,19 @@ def _hits(block: tb.Block, test: Suffixes) -> tuple[np.ndarray, np.ndarray, np.n
     return np.diff(shard.at), counts[shard.at[1:]] - counts[shard.at[:-1]], hit, found
 
 
-def _groups(benchmark: DataFrame, most: int) -> Iterator[Suffixes]:
-    """The benchmark in groups of at most about `most` bytes."""
+def _groups(benchmark: DataFrame, most: int) -> tuple[int, Iterator[Suffixes]]:
+    """The benchmark in groups of at most about `most` bytes: their number, and each when it is asked for."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), F.coalesce("text", F.lit("")).alias("t"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-size // most))
-    for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        got = part.collect()
-        yield Suffixes([r.i for r in got], [r.t.encode() for r in got])
+
+    def each() -> Iterator[Suffixes]:
+        for k in range(n):
+            part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
+            got = part.collect()
+            yield Suffixes([r.i for r in got], [r.t.encode() for r in got])
+
+    return n, each()
 
 
 SCHEMA = "doc_id {kind}, n_words long, n_hit long, item_ids array<string>"
@@ -194,29 +204,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most: int = BENCHMARK_B
     scratch.bounded(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text")
-    groups = list(_groups(benchmark, most))
-    if len(groups) == 1:
-        shared = docs.sparkSession.sparkContext.broadcast(groups[0])
-        return texts.mapInArrow(lambda batches: _scan(batches, shared.value), SCHEMA.format(kind=kind))
-    # several groups: intervals of hit words are merged by document
     sc = docs.sparkSession.sparkContext
+    n, groups = _groups(benchmark, most)
+    if n == 1:
+        shared = sc.broadcast(next(groups))
+        return texts.mapInArrow(lambda batches: _scan(batches, shared.value), SCHEMA.format(kind=kind))
+    # several groups: the hit words are merged by document
     keyed = texts.withColumn("k", F.xxhash64("doc_id", "text"))
     parts = None
     for g in groups:
         shared = sc.broadcast(g)
-        part = keyed.mapInArrow(lambda batches, s=shared: _scan_bits(batches, s.value), f"doc_id {kind}, k long, n_words long, bits binary, item_ids array<string>")
+        part, _ = scratch.written(keyed.mapInArrow(lambda batches, s=shared: _scan_bits(batches, s.value), f"doc_id {kind}, k long, n_words long, bits binary, item_ids array<string>"), "hits")
+        shared.destroy()
+        part = part.dropDuplicates(["doc_id", "k"])  # equal rows have equal hits
         parts = part if parts is None else parts.unionByName(part)
     merged = parts.groupBy("doc_id", "k").applyInArrow(_merge_bits, f"doc_id {kind}, k long, n_words long, n_hit long, item_ids array<string>")
-    counted = keyed.groupBy("doc_id", "k").agg(F.count("*").alias("times"))
-    both = counted.withColumnsRenamed({"doc_id": "d", "k": "kk"})
-    return merged.join(both, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).select(*[c for c in merged.columns if c != "k"], F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).drop("copy")
+    counted = keyed.groupBy("doc_id", "k").agg(F.count("*").alias("times")).withColumnsRenamed({"doc_id": "d", "k": "kk"})
+    known, _ = scratch.written(merged.withColumnRenamed("doc_id", "id").join(counted, F.col("id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("kk"))).drop("k", "id"), "merged")
+    n_rows = known.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    out = joined(keyed.select("doc_id", "k"), "k", known, "kk", "times", n_rows).where(F.col("doc_id").eqNullSafe(F.col("d")))
+    return out.select("doc_id", "n_words", "n_hit", "item_ids")
 
 
 def _scan(batches: Iterator[pa.RecordBatch], test: Suffixes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in tb.blocks(iter([batch])):
             n_words, n_hit, _, found = _hits(block, test)
-            items = [sorted(test.ids[i] for i in f) for f in found]
+            items = [sorted({test.ids[i] for i in f}) for f in found]
             ids = batch.schema.field("doc_id").type
             yield pa.RecordBatch.from_arrays([pa.array(block.columns["doc_id"], ids), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "item_ids"])
 
@@ -227,7 +241,7 @@ def _scan_bits(batches: Iterator[pa.RecordBatch], test: Suffixes) -> Iterator[pa
             n_words, _, hit, found = _hits(block, test)
             at = np.concatenate([[0], np.cumsum(n_words)])
             bits = [np.packbits(hit[at[i] : at[i + 1]]).tobytes() for i in range(len(block))]
-            items = [sorted(test.ids[i] for i in f) for f in found]
+            items = [sorted({test.ids[i] for i in f}) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(block.columns["doc_id"], batch.schema.field("doc_id").type), pa.array(block.columns["k"], pa.int64()), pa.array(n_words, pa.int64()), pa.array(bits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
                 ["doc_id", "k", "n_words", "bits", "item_ids"],
@@ -253,9 +267,11 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = 5, most:
     kind = docs.schema["doc_id"].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
     parts = None
-    for g in _groups(benchmark, most):
+    for g in _groups(benchmark, most)[1]:
         shared = sc.broadcast(g)
-        part = docs.select("doc_id", "text").mapInArrow(lambda batches, s=shared: _longest(batches, s.value, least), f"item_id string, word_offset long, length long, doc_id {kind}, position long, n_places long")
+        found = docs.select("doc_id", "text").mapInArrow(lambda batches, s=shared: _longest(batches, s.value, least), f"item_id string, word_offset long, length long, doc_id {kind}, position long, n_places long")
+        part, _ = scratch.written(found, "matches")
+        shared.destroy()
         parts = part if parts is None else parts.unionByName(part)
     best = parts.groupBy("item_id", "word_offset", "length").agg(F.sum("n_places").alias("n_places"), F.min(F.struct("doc_id", "position")).alias("first"))
     top = best.groupBy("item_id", "word_offset").agg(F.max_by(F.struct("length", "n_places", "first"), "length").alias("m"))
@@ -265,7 +281,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = 5, most:
 def _longest(batches: Iterator[pa.RecordBatch], test: Suffixes, least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in tb.blocks(iter([batch])):
-            shard = Shard(block, test)
+            shard = Shard(block, test, test.longest)
             length = np.zeros(len(test.start), np.int64)
             low, high = length.copy(), length.copy()
             for depth, active, lo, hi in shard.search(test):
@@ -306,7 +322,7 @@ def clean(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     task holds one group."""
     scratch.bounded(docs.sparkSession)
     path = None
-    for k, group in enumerate(_groups(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), BENCHMARK_BYTES)):
+    for k, group in enumerate(_groups(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), BENCHMARK_BYTES)[1]):
         if k:
             before = path
             docs, path = scratch.written(docs, "clean")

@@ -1,8 +1,10 @@
 """Language-model scoring by deleted interpolation.
 
-Maximum-likelihood estimates of orders ORDER to 1 and an even distribution are mixed; the weights depend on how often
-the context was seen (buckets by powers of two) and are learned by expectation-maximisation on counts of a part of
-the training texts that the estimates leave out (the deleted part). The final estimates use the whole training part.
+Maximum-likelihood estimates of orders ORDER to 1 and an even distribution are mixed; the weights depend on the
+longest context that was seen and on how often (buckets by powers of two), and are learned by expectation-maximisation
+on counts of a part of the training texts that the estimates leave out (the deleted part). In a bucket the orders whose
+context was not seen have no weight, so each context's probabilities sum to 1. The final estimates use the whole
+training part.
 
 Counts go through the cluster in blocks, not word by word:
 
@@ -10,16 +12,19 @@ Counts go through the cluster in blocks, not word by word:
    has blocks of its own. The table is written, so the later steps need no text.
 2. Each block sends the distinct n-grams of every order with its own counts, sorted and sliced by key range, to the
    range's task, which adds them up and answers every block with the totals in the order asked. A frequent n-gram
-   is one entry a block. The number of ranges follows the number of tokens, so a task's share is bounded.
+   is one entry a block. The number of ranges follows the number of tokens, so a task's share is bounded. Blocks and
+   ranges both follow the tokens, so slices get shorter; a slice holds at least one n-gram, so there are at most as
+   many rows as distinct n-grams of blocks. Words are known by 64 bits, longer n-grams by log2(tokens) + KEY_BITS: at
+   any size one meets another by chance with probability 2 ** -KEY_BITS, and the sorted keys' differences stay short.
 3. Blocks meet their answers. Those of the deleted part give the events for expectation-maximisation, summed by
    bucket in Spark, an aggregate an iteration; then all blocks are scored.
 
 Tokens: words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased, then one end. Unknown words share the even part,
 1 / (V + 1).
 
-Defined results: a null or empty text is the end alone; a null doc_id is held out (not trained on); repeated rows
-give a row each and train as often as they come; with no training text every estimate but the even one is 0 (base:
-counts of 0); other columns are not read.
+Defined results: a null or empty text is the end alone; a null doc_id is neither trained on nor held out; repeated
+rows give a row each and train as often as they come; with no training text every estimate but the even one is 0
+(base: counts of 0); very long texts are whole, a block holds one at least; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,13 +39,16 @@ from pyspark.sql import functions as F
 from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
 
-ORDER = 2
+ORDER = 3
+#: Buckets of each order above 1; bucket 0 is that of order 1 alone.
 BUCKETS = 26
 ITERATIONS = 15
 BLOCK = 8 << 20
-#: Keys that one range's task is meant to hold.
-RANGE_TOKENS = 1_500_000
-HELD, DELETED, RETAINED = 0, 1, 2
+#: Keys of all orders that one range's task is meant to hold.
+RANGE_KEYS = 3_000_000
+#: Bits of a key beyond those that number the tokens.
+KEY_BITS = 24
+HELD, DELETED, RETAINED, UNUSED = 0, 1, 2, 3
 
 _BEGIN, _END = np.uint64(0x51ED270B5F2D6A17), np.uint64(0xA24BAED4963EE407)
 
@@ -112,9 +120,12 @@ def unpacked_keys(data: bytes) -> np.ndarray:
 
 
 class Grams:
-    """The n-grams of a block: for each order a key for every place. A begin stands before and an end after a text."""
+    """The n-grams of a block: for each order a key for every place. A begin stands before and an end after a text.
 
-    def __init__(self, row: dict, order: int):
+    bits: of a key of the orders above 1; words keep all 64.
+    """
+
+    def __init__(self, row: dict, order: int, bits: int = 64):
         n = np.array(row["n_words"], np.int64)
         self.docs = len(n)
         self.begin = np.cumsum(n + 2) - (n + 2)
@@ -133,8 +144,10 @@ class Grams:
             longer[1:] = tb.combine(self.keys[-1][:-1], first[1:])
             longer[self.begin] = _BEGIN + np.uint64(k)
             self.keys.append(longer)
+        if bits < 64:
+            self.keys[1:] = [k >> np.uint64(64 - bits) for k in self.keys[1:]]
         fold = np.array(row["folds"], np.int64)
-        self.training = np.repeat(fold != HELD, n + 2)
+        self.training = np.repeat((fold == DELETED) | (fold == RETAINED), n + 2)
         self.order = order
 
     def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,16 +155,15 @@ class Grams:
         return np.unique(self.keys[k - 1], return_inverse=True)
 
 
-def _asked(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterator[pa.RecordBatch]:
+def _asked(batches: Iterator[pa.RecordBatch], order: int, bits: int, ranges: int) -> Iterator[pa.RecordBatch]:
     """A row for each block, order and key range that has keys."""
     for batch in batches:
         for row in batch.to_pylist():
-            g = Grams(row, order)
+            g = Grams(row, order, bits)
             for k in range(1, order + 1):
                 keys, of = g.distinct(k)
                 n = np.bincount(of[g.training], minlength=len(keys)).astype(np.uint32)
-                edges = np.searchsorted(keys, _edges(ranges))
-                at = np.concatenate([[0], edges, [len(keys)]])
+                at = np.concatenate([[0], np.searchsorted(keys, _edges(ranges, 64 if k == 1 else bits)), [len(keys)]])
                 used = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -164,10 +176,11 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, ranges: int) -> Iterat
                     ],
                     ["range", "block", "deleted", "order", "keys", "counts"],
                 )
+                g.keys[k - 1] = None  # a longer order needs it no more
 
 
-def _edges(ranges: int) -> np.ndarray:
-    return np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+def _edges(ranges: int, bits: int) -> np.ndarray:
+    return np.array([(i << bits) // ranges for i in range(1, ranges)], np.uint64)
 
 
 def _answered(table: pa.Table) -> pa.Table:
@@ -178,10 +191,11 @@ def _answered(table: pa.Table) -> pa.Table:
     for k in np.unique(order_of):
         part = table.filter(pa.array(order_of == k))
         arrays = [unpacked_keys(x.as_buffer()) for x in part.column("keys")]
+        lengths = np.array([len(a) for a in arrays])
         keys, of = np.unique(np.concatenate(arrays), return_inverse=True)
+        del arrays
         n = np.concatenate([from_planes(x.as_buffer(), np.uint32) for x in part.column("counts")]).astype(np.float64)
         deleted = np.asarray(part.column("deleted"))
-        lengths = np.array([len(a) for a in arrays])
         left_out = np.repeat(deleted, lengths)
         total = np.bincount(of, weights=n, minlength=len(keys))
         kept = total - np.bincount(of[left_out], weights=n[left_out], minlength=len(keys))
@@ -218,9 +232,14 @@ def _counts(right: pa.Table, k: int, column: str) -> np.ndarray:
     return np.concatenate([from_planes(x.as_buffer(), np.uint64) for x in part.column(column)]).astype(np.float64)
 
 
-def bucket_of(context: np.ndarray) -> np.ndarray:
-    """0 for a context never seen, else 1 + the power of two that its count reaches."""
-    return np.where(context > 0, np.minimum(1 + np.floor(np.log2(np.maximum(context, 1))), BUCKETS - 1), 0).astype(np.int64)
+def bucket_of(context: np.ndarray, order: int) -> np.ndarray:
+    """The bucket of a context of this order's estimate (above 1) that was seen so often."""
+    return 1 + (order - 2) * BUCKETS + np.minimum(np.floor(np.log2(np.maximum(context, 1))), BUCKETS - 1).astype(np.int64)
+
+
+def order_of(bucket: int) -> int:
+    """The highest order that has a weight in a bucket."""
+    return 1 if bucket == 0 else 2 + (bucket - 1) // BUCKETS
 
 
 def estimates(g: Grams, counts: list[np.ndarray], tokens: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,16 +248,18 @@ def estimates(g: Grams, counts: list[np.ndarray], tokens: float) -> tuple[np.nda
     at = [c[g.distinct(k + 1)[1]] for k, c in enumerate(counts)]
     p = np.zeros((g.order, len(place)))
     p[0] = at[0][place] / max(tokens, 1.0)
-    context = np.full(len(place), tokens)
+    bucket = np.zeros(len(place), np.int64)
     for k in range(1, g.order):
         context = at[k - 1][place - 1]
-        p[k] = np.divide(at[k][place], context, out=np.zeros(len(place)), where=context > 0)
-    return bucket_of(context), p, at[0][place]
+        seen = context > 0
+        p[k] = np.divide(at[k][place], context, out=np.zeros(len(place)), where=seen)
+        bucket[seen] = bucket_of(context[seen], k + 1)
+    return bucket, p, at[0][place]
 
 
-def _events(left: pa.Table, right: pa.Table, order: int, tokens: float) -> pa.Table:
+def _events(left: pa.Table, right: pa.Table, order: int, bits: int, tokens: float) -> pa.Table:
     row = left.to_pylist()[0]
-    g = Grams(row, order)
+    g = Grams(row, order, bits)
     bucket, p, _ = estimates(g, [_counts(right, k + 1, "retained") for k in range(order)], tokens)
     sort = np.lexsort([*p, bucket])
     s = np.vstack([bucket[sort], p[:, sort]])
@@ -250,7 +271,10 @@ def _events(left: pa.Table, right: pa.Table, order: int, tokens: float) -> pa.Ta
 
 def weights_learned(events: DataFrame, order: int, even: float, iterations: int = ITERATIONS) -> np.ndarray:
     """Mixture weights by bucket (rows): of the even distribution and orders 1 to n. Each iteration is one aggregate."""
-    lam = np.full((BUCKETS, order + 1), 1.0 / (order + 1))
+    n = 1 + (order - 1) * BUCKETS
+    may = np.array([[k <= order_of(b) for k in range(order + 1)] for b in range(n)])
+    lam = may / may.sum(axis=1, keepdims=True)
+    smoothed = lambda share, b: (share + 0.1) * may[b] / ((share + 0.1) * may[b]).sum()
     last = None
     for _ in range(iterations):
         parts = []
@@ -266,12 +290,12 @@ def weights_learned(events: DataFrame, order: int, even: float, iterations: int
         for r in rows:
             share = np.array([r[f"r{k}"] for k in range(order + 1)])
             whole += share
-            lam[r.bucket] = (share + 0.1) / (share + 0.1).sum()
+            lam[r.bucket] = smoothed(share, r.bucket)
         seen = {r.bucket for r in rows}
         if seen:
-            for b in set(range(BUCKETS)) - seen:  # no event: the nearest bucket below that has some, else all events
-                below = [s for s in seen if s < b and s > 0]
-                lam[b] = lam[max(below)] if below else (whole + 0.1) / (whole + 0.1).sum()
+            for b in set(range(n)) - seen:  # no event: the nearest bucket below of that order that has some, else all events
+                below = [s for s in seen if s < b and order_of(s) == order_of(b)]
+                lam[b] = lam[max(below)] if below else smoothed(whole, b)
         ll = sum(r.ll for r in rows)
         if last is not None and abs(ll - last) <= 1e-5 * abs(last):
             break
@@ -279,9 +303,9 @@ def weights_learned(events: DataFrame, order: int, even: float, iterations: int
     return lam
 
 
-def _scored(left: pa.Table, right: pa.Table, order: int, tokens: int, types: int, lam: np.ndarray) -> pa.Table:
+def _scored(left: pa.Table, right: pa.Table, order: int, bits: int, tokens: int, types: int, lam: np.ndarray) -> pa.Table:
     row = left.to_pylist()[0]
-    g = Grams(row, order)
+    g = Grams(row, order, bits)
     bucket, p, count = estimates(g, [_counts(right, k + 1, "total") for k in range(order)], float(tokens))
     mix = lam[bucket, 0] / (types + 1)
     for k in range(order):
@@ -299,7 +323,8 @@ def _scored(left: pa.Table, right: pa.Table, order: int, tokens: int, types: int
 
 
 def scored(docs: DataFrame, fold, order: int = ORDER) -> DataFrame:
-    """Scores of all texts by a model of those whose fold is not HELD. fold: an int column, HELD, DELETED or RETAINED.
+    """Scores of all texts by a model of those whose fold is DELETED or RETAINED. fold: an int column; UNUSED texts are
+    neither trained on nor held out.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities).
     """
@@ -309,28 +334,29 @@ def scored(docs: DataFrame, fold, order: int = ORDER) -> DataFrame:
     rows = docs.select("doc_id", fold.cast("int").alias("fold"), "text")
     blocks, _ = scratch.written(rows.mapInArrow(_blocked, f"block long, deleted boolean, doc_ids array<{kind}>, folds array<int>, n_words array<long>, vocabulary binary, words binary"), "blocks", compression="zstd")
     size = blocks.select(F.aggregate("n_words", F.lit(0).cast("long"), lambda a, x: a + x + 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranges = max(8, -(-int(size) // RANGE_TOKENS))
-    asked = blocks.mapInArrow(lambda b: _asked(b, order, ranges), "range long, block long, deleted boolean, order int, keys binary, counts binary")
+    ranges = max(8, -(-int(size) * order // RANGE_KEYS))
+    bits = min(64, max(1, int(size)).bit_length() + KEY_BITS)
+    asked = blocks.mapInArrow(lambda b: _asked(b, order, bits, ranges), "range long, block long, deleted boolean, order int, keys binary, counts binary")
     answers, _ = scratch.written(asked.groupBy("range").applyInArrow(_answered, _ANSWER), "answers", compression="zstd")
     sums = answers.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("tokens", "types", "tokens_kept", "types_kept")]).first()
     replies = answers.where("block >= 0").select("block", "order", "range", "total", "retained")
     schema = ", ".join(["bucket int", *[f"p{k + 1} double" for k in range(order)], "n long"])
     kept = float(sums.tokens_kept)
-    events = blocks.where("deleted").groupBy("block").cogroup(replies.where("retained IS NOT NULL").drop("total").groupBy("block")).applyInArrow(lambda a, b: _events(a, b, order, kept), schema)
+    events = blocks.where("deleted").groupBy("block").cogroup(replies.where("retained IS NOT NULL").drop("total").groupBy("block")).applyInArrow(lambda a, b: _events(a, b, order, bits, kept), schema)
     events, events_path = scratch.written(events, "events")
     lam = weights_learned(events, order, 1.0 / (sums.types_kept + 1))
     scratch.delete(spark, events_path)
     tokens, types = int(sums.tokens), int(sums.types)
     return blocks.groupBy("block").cogroup(replies.drop("retained").groupBy("block")).applyInArrow(
-        lambda a, b: _scored(a, b, order, tokens, types, lam),
+        lambda a, b: _scored(a, b, order, bits, tokens, types, lam),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
 
 def fold_of(doc_id) -> F.Column:
-    """By the remainder of the id's checksum: 0 held out, 1 deleted, else retained; a null id is held out."""
+    """By the remainder of the id's checksum: 0 held out, 1 deleted, else retained; a null id is not used."""
     r = F.crc32(doc_id.cast("string").cast("binary")) % 10
-    return F.when(r.isNull() | (r == 0), HELD).when(r == 1, DELETED).otherwise(RETAINED)
+    return F.when(r.isNull(), UNUSED).when(r == 0, HELD).when(r == 1, DELETED).otherwise(RETAINED)
 
 
 def op1_deleted_interpolation(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,11 @@ five standard deviations of the estimate; a link is lost only by these.
 
 Defined results: a null or empty text, or one without words, has n_shingles 0 and is linked with nothing; a text of
 fewer than five words has its whole sequence as one shingle; a null doc_id is linked with nothing and kept; rows
-that repeat a doc_id give a row each; other columns are not read.
+that repeat a doc_id give a row each, judged by its own text; other columns are not read. Very long texts are whole:
+a block holds one at least. `deduplicated` keeps one row of each component also where several rows carry its doc_id.
+
+Keys that many rows share (band keys of a large group of copies, hubs, large components) are joined by broadcast of
+the few such keys, see `graph.joined`.
 """
 
 from __future__ import annotations
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
-from rasterloom.llm.components import components
+from rasterloom.operators.graph import joined, labels
 
 SHINGLE = 5
 ROWS, BANDS, B = 4, 40, 2
@@ -119,7 +123,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row[full] = np.arange(len(full))
             pick = lambda m: pa.array([m[r].tolist() if r >= 0 else None for r in row], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block.columns["doc_id"], batch.schema.field("doc_id").type), pa.array(size, pa.int64()), pa.array(names, pa.binary()), pick(bands), pick(sig)], ["doc_id", "n_shingles", "name", "bands", "sig"]
+                [pa.array(block.columns["doc_id"], batch.schema.field("doc_id").type), pa.array(block.columns["mark"], pa.int64()), pa.array(size, pa.int64()), pa.array(names, pa.binary()), pick(bands), pick(sig)],
+                ["doc_id", "mark", "n_shingles", "name", "bands", "sig"],
             )
 
 
@@ -215,13 +220,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return links
 
 
-def _open(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
+def _open(rows: DataFrame, links: DataFrame, total: int) -> tuple[DataFrame, str]:
     """Of rows (key, cid, pivot): those of band keys that hold several components, as key, cid, comp and main (the
     pivot's component), written down."""
-    label = components(links)
+    label = labels(links)
     own, path = scratch.written(rows.join(label, F.col("cid") == F.col("node"), "left").select("key", "cid", "pivot", F.coalesce("label", "cid").alias("comp")), "own")
-    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main")).where("low <> high").select(F.col("key").alias("k"), "main")
-    still, still_path = scratch.written(own.join(mixed, F.col("key") == F.col("k")).select("key", "cid", "comp", "main"), "still")
+    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main"), F.count("*").alias("m")).where("low <> high").select(F.col("key").alias("k"), "main", "m")
+    still, still_path = scratch.written(joined(own, "key", mixed, "k", "m", total).select("key", "cid", "comp", "main"), "still")
     scratch.delete(rows.sparkSession, path)
     return still, still_path
 
@@ -231,22 +236,24 @@ def _repeats(classes: DataFrame) -> bool:
     return bool(classes.agg(F.max("repeated")).first()[0])
 
 
-def clustered(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept, class_size (rows with an equal set)."""
-    scratch.bounded(docs.sparkSession)
+def _named(docs: DataFrame, keep) -> tuple[DataFrame, DataFrame, int]:
+    """The signed rows; class_name, component and class_size of each class; the number of rows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed, signed_path = scratch.written(docs.select("doc_id", "text").mapInArrow(_signed, f"doc_id {kind}, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed", batch=WIDE)
+    signed, signed_path = scratch.written(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_signed, f"doc_id {kind}, mark long, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed", batch=WIDE)
     repeated = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     known = signed.where("name IS NOT NULL AND doc_id IS NOT NULL")
     firsts = known.groupBy("name").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes, _ = scratch.written(firsts.withColumn("cid", F.monotonically_increasing_id()).withColumn("repeated", F.lit(repeated)), "classes")
+    n_classes = classes.count()
+    total = n_classes * BANDS
     bands = classes.select("cid", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select(F.col("key").alias("k"), "m")
-    rows, first_path = scratch.written(bands.join(shared, F.col("key") == F.col("k")).select("key", "cid", "m"), "bands")
+    rows, first_path = scratch.written(joined(bands, "key", shared, "k", "m", total).select("key", "cid", "m"), "bands")
     met = rows.groupBy("cid").agg(F.sum("m").alias("met")).withColumnRenamed("cid", "c")
     weighed = rows.join(met, F.col("cid") == F.col("c")).select("key", "cid", "met")
-    pivots = weighed.groupBy("key").agg(F.max(F.struct("met", "cid"))["cid"].alias("pivot")).withColumnRenamed("key", "k")
-    rows, rows_path = scratch.written(rows.join(pivots, F.col("key") == F.col("k")).select("key", "cid", "pivot"), "pivots")
+    pivots = weighed.groupBy("key").agg(F.max(F.struct("met", "cid"))["cid"].alias("pivot"), F.count("*").alias("n_rows")).withColumnRenamed("key", "k")
+    rows, _ = scratch.written(joined(rows, "key", pivots, "k", "n_rows", total).select("key", "cid", "pivot"), "pivots")
+    scratch.delete(docs.sparkSession, first_path)
     signature = [F.col("sig")[k] for k in range(WORDS)]
     left = classes.select(F.col("cid").alias("c1"), F.col("n").alias("n1"), F.col("bands").alias("bands1"), *[x.alias(f"s{k}") for k, x in enumerate(signature)])
     right = classes.select(F.col("cid").alias("c2"), F.col("n").alias("n2"), F.col("bands").alias("bands2"), *[x.alias(f"t{k}") for k, x in enumerate(signature)])
@@ -255,8 +262,8 @@ def clustered(docs: DataFrame) -> DataFrame:
     near = stars.join(left, F.col("a") == F.col("c1")).join(right, (F.col("b") == F.col("c2")) & close).select("a", "b")
     near, _ = scratch.written(near, "pairs")
     links = confirmed(near, classes, docs)
-    still, still_path = _open(rows, links)
-    bound, bound_path = scratch.written(_shareable(still.select("cid").distinct(), classes, docs), "bounds", batch=WIDE)
+    still, _ = _open(rows, links, total)
+    bound, _ = scratch.written(_shareable(still.select("cid").distinct(), classes, docs), "bounds", batch=WIDE)
     possible = still.join(bound, F.col("cid") == F.col("of")).select("key", "cid", "comp", "main", "most")
     outside = possible.where("comp <> main").join(left, F.col("cid") == F.col("c1")).select("key", F.col("comp").alias("comp1"), F.col("most").alias("most1"), "c1", "n1", "bands1", *[f"s{k}" for k in range(WORDS)])
     every = possible.join(right, F.col("cid") == F.col("c2")).select(F.col("key").alias("k"), F.col("comp").alias("comp2"), F.col("most").alias("most2"), "main", "c2", "n2", "bands2", *[f"t{k}" for k in range(WORDS)])
@@ -268,32 +275,51 @@ def clustered(docs: DataFrame) -> DataFrame:
     rest = outside.join(every, (F.col("key") == F.col("k")) & (F.col("comp1") != F.col("comp2")) & once & allowed & close & here).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
     rest, _ = scratch.written(rest, "rest")
     more = confirmed(rest, classes, docs)
-    all_labels = components(links.unionByName(more))
+    all_labels = labels(links.unionByName(more))
     each = classes.select("cid", "rep", "name", "class_size").join(all_labels, F.col("cid") == F.col("node"), "left").select("cid", "rep", "name", "class_size", F.coalesce("label", "cid").alias("comp"))
-    least = each.groupBy("comp").agg(F.min("rep").alias("component"))
-    named = each.join(least.withColumnRenamed("comp", "c"), F.col("comp") == F.col("c")).select(F.col("name").alias("class_name"), "component", "class_size")
-    scratch.delete(docs.sparkSession, first_path, rows_path, still_path, bound_path)
-    slim = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("name")).alias("name"))
-    out = slim.join(named, F.col("name") == F.col("class_name"), "left")
+    least = each.groupBy("comp").agg(F.min("rep").alias("component"), F.count("*").alias("n_classes")).withColumnRenamed("comp", "c")
+    named, named_path = scratch.written(joined(each, "comp", least, "c", "n_classes", n_classes).select(F.col("name").alias("class_name"), "component", "class_size"), "named")
+    keep(signed_path, named_path)
+    return signed, named, signed.count()
+
+
+def clustered(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, mark (a hash of its text), n_shingles, component_id, kept, class_size (rows with an equal set)."""
+    scratch.bounded(docs.sparkSession)
+    with scratch.swept(docs.sparkSession) as keep:
+        signed, named, n_rows = _named(docs, keep)
+    slim = signed.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("name")).alias("name"))
+    out = joined(slim, "name", named, "class_name", "class_size", n_rows, "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
+    return out.select("doc_id", "mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
 def op4_bbit_minhash(spark, sf_dir: str) -> DataFrame:
-    return clustered(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_size")
+    return clustered(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_size", "mark")
 
 
 def deduplicated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group, with all columns."""
-    found, _ = scratch.written(clustered(docs), "clusters")
-    gone_id = scratch.fresh(docs, "gone_id")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
-    out = docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti")
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if not again:
+    """Pipeline stage: one row of each component, with all columns; each row is judged by its own text.
+
+    Where several rows carry the doc_id that names their component, the one with the least hash of its text stays, and
+    one of those with that text. Rows with a null doc_id stay.
+    """
+    found, _ = scratch.written(clustered(docs).where("doc_id IS NOT NULL").select("doc_id", "mark", "component_id", "kept"), "clusters")
+    gone = found.where("NOT kept").select("doc_id", "mark")
+    again = found.where("kept").groupBy("doc_id").agg(F.min("mark").alias("stays"), F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("named"), "stays")
+    again, _ = scratch.written(again, "again")
+    repeated = again.limit(1).count() > 0
+    if repeated:
+        gone = gone.unionByName(found.where("kept").join(again, F.col("doc_id") == F.col("named")).where("mark <> stays").select("doc_id", "mark"))
+    gone_id, gone_mark = (scratch.fresh(docs, c) for c in ("gone_id", "gone_mark"))
+    gone = gone.distinct().toDF(gone_id, gone_mark)
+    out = docs.join(gone, (docs["doc_id"] == gone[gone_id]) & (F.xxhash64(docs["text"]) == gone[gone_mark]), "left_anti")
+    if not repeated:
         return out
-    # rows that repeat a kept doc_id: one stays of each text
-    return out.where("doc_id IS NULL").unionByName(out.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    # what is left of the repeated doc_ids has one text each
+    ids = again.select(F.col("named").alias(gone_id))
+    several = out.join(ids, F.col("doc_id") == F.col(gone_id), "left_semi").dropDuplicates(["doc_id"])
+    return out.join(ids, F.col("doc_id") == F.col(gone_id), "left_anti").unionByName(several)
 
 
 ORACLE = r"""

@@ -1,27 +1,13 @@
-"""Folders that driver and executors share, for tables that cut lineage."""
+"""Tables that cut lineage, in the folder that driver and executors share, and other help for the operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from rasterloom.functions import scratch as shared
+from rasterloom.functions.scratch import delete, folder, root, swept
 
-def root(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests, local mode), one of our own is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="rasterloom-")
-        spark.sparkContext.setCheckpointDir(named)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
-    return named
-
-
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+__all__ = ["bounded", "delete", "folder", "fresh", "root", "swept", "written"]
 
 
 def written(df: DataFrame, name: str, batch: int | None = None, **options: str) -> tuple[DataFrame, str]:
@@ -30,31 +16,23 @@ def written(df: DataFrame, name: str, batch: int | None = None, **options: str)
     batch: rows that go to Python at once while it is written, where they are wide.
     """
     spark = df.sparkSession
-    path = folder(spark, name)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     try:
         if batch:
             spark.conf.set(key, batch)
-        df.write.options(**options).parquet(path)
+        return shared.written(df, name, **options)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def delete(spark: SparkSession, *paths: str) -> None:
-    """Removes tables that nothing needs any more."""
-    jvm = spark.sparkContext._jvm
-    for p in paths:
-        at = jvm.org.apache.hadoop.fs.Path(p)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bounded(spark: SparkSession) -> None:
     """Has texts go to Python about 8 MB at a time, unless the session sets a size of its own: long texts in batches
-    counted by rows alone could take more memory than an executor has for Python."""
+    counted by rows alone could take more memory than an executor has for Python. The setting stays, as results are
+    planned when they are used."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) == "67108864b":
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key, "64m"))
+    if size == 64 << 20:
         spark.conf.set(key, "8m")
 
 

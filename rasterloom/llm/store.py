@@ -79,9 +79,9 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.begin = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.begin, self.count, self.spelt, self.size = (np.zeros(0, np.int32) for _ in range(4))
         self.flat = np.zeros(0, np.uint32)
+        self.letters = np.zeros(0, np.uint8)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has."""
@@ -103,35 +103,54 @@ class Encoder:
             count.append(n)
         return np.concatenate(flat), np.concatenate(count).astype(np.int64)
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
         """keys: sorted, none of them known."""
-        ids, n = self._ids(words)
-        begin = len(self.flat) + np.cumsum(n) - n
+        ids, n = self._ids([w.decode() for w in words])
+        size = np.array([len(w) for w in words], np.int64)
+        new = {"begin": len(self.flat) + np.cumsum(n) - n, "count": n, "spelt": len(self.letters) + np.cumsum(size) - size, "size": size}
         self.flat = np.concatenate([self.flat, ids])
+        self.letters = np.concatenate([self.letters, np.frombuffer(b"".join(words), np.uint8)])
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
-        self.begin, self.count = np.insert(self.begin, at, begin), np.insert(self.count, at, n)
+        for name, values in new.items():
+            setattr(self, name, np.insert(getattr(self, name), at, values.astype(np.int32)))
 
     def encode(self, block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's documents, an end id after each, and where each document begins (n + 1)."""
+        return self._by_words(block) or self._by_texts(block)
+
+    def _by_texts(self, block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
+        """Each text as a whole: for blocks in which two words have the same hash."""
+        each = [np.array([*self.tokenizer.encode(block.bytes_of(i).decode(), add_special_tokens=False).ids, END_ID], np.uint32) for i in range(len(block))]
+        return np.concatenate(each), np.cumsum([0, *map(len, each)])
+
+    def _by_words(self, block: tb.Block) -> tuple[np.ndarray, np.ndarray] | None:
+        """By the memory of words; a word is known by its hash and its bytes. None where two words have one hash."""
         raw = block.buffer.tobytes()
         fold = self.lowers and b"<" not in raw
         starts, ends, hashes, at = tb.words(block, tb.SPACE, fold=fold)
         if not fold:
             hashes = ~hashes  # kept apart from folded words
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        letters, size = tb.FOLD[block.buffer] if fold else block.buffer, ends - starts
+        if not _same_bytes(letters, starts, size, letters, starts[first][inverse], size[first][inverse]):
+            return None
         if len(self.keys) > KEPT_WORDS:
             self._forget()
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        new = np.flatnonzero(self.keys[place] != keys) if len(self.keys) else np.arange(len(keys))
+        known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        old, w = place[known], first[known]
+        if not _same_bytes(letters, starts[w], size[w], self.letters, self.spelt[old], self.size[old]):
+            return None
+        new = np.flatnonzero(~known)
         if len(new):
-            w = first[new]
-            self._learn(keys[new], [raw[a:b].decode() for a, b in zip(starts[w].tolist(), ends[w].tolist())])
+            w, spelt = first[new], letters.tobytes()
+            self._learn(keys[new], [spelt[a:b] for a, b in zip(starts[w].tolist(), ends[w].tolist())])
             place = np.searchsorted(self.keys, keys)
         begin, count = self.begin[place][inverse], self.count[place][inverse]
         docs = len(block)
         # ids before each word, and an end id after each document
-        total = np.concatenate([[0], np.cumsum(count)])
+        total = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
         offsets = total[at] + np.arange(docs + 1)
         out = np.empty(int(offsets[-1]), np.uint32)
         inner = _inner(count)
@@ -140,6 +159,25 @@ class Encoder:
         return out, offsets
 
 
+def _same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray, most: int = 1 << 19) -> bool:
+    """Whether each span of x equals its span of y; about `most` bytes are laid side by side at once."""
+    if not np.array_equal(x_size, y_size):
+        return False
+    apart = np.flatnonzero(x_at != y_at) if x is y else np.arange(len(x_at))
+    ends = np.cumsum(x_size[apart])
+    low = 0
+    while low < len(apart):
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
+        k = apart[low:high]
+        n = x_size[k]
+        inner = _inner(n)
+        if not np.array_equal(x[np.repeat(x_at[k], n) + inner], y[np.repeat(y_at[k], n) + inner]):
+            return False
+        low = high
+    return True
+
+
 def _inner(count: np.ndarray) -> np.ndarray:
     """0 .. n - 1 for each n."""
     return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)

@@ -1,8 +1,9 @@
 """Blocks of documents as one byte buffer, and their words as arrays of 64-bit hashes.
 
 Words are found and hashed for a whole block at once: a byte's term is a random 64-bit value (equal for both cases
-of a letter) times a power of an odd base, prefix sums give each word's sum, and the inverse power removes the
-word's place. Python never loops over words.
+of a letter) times a random odd multiplier of its place in the word, and prefix sums give each word's sum. The
+multipliers are unrelated to each other, so regular words (runs, Thue-Morse sequences) do not cancel as they do under
+powers of one base. Python never loops over words.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import pyarrow as pa
 PIECE = 1 << 20
 BLOCK_BYTES = 8 << 20
 
-_BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 #: `[^\x20\x09-\x0D]+`
@@ -36,24 +36,23 @@ FOLD[0x41:0x5B] += 0x20
 _cache: dict = {}
 
 
-def _powers(fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _terms(fold: bool = True) -> np.ndarray:
+    """The value of each byte; fold: the same for both cases of a letter."""
     if fold not in _cache:
         exact = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-        inverse = pow(_BASE, -1, 1 << 64)
-        out = []
-        for base in (_BASE, inverse):
-            p = np.empty(PIECE + 1, np.uint64)
-            p[0] = 1
-            done = 1
-            while done <= PIECE:
-                n = min(done, PIECE + 1 - done)
-                p[done : done + n] = p[:n] * np.uint64(pow(base, done, 1 << 64))
-                done += n
-            out.append(p)
-        _cache[True], _cache[False] = (exact[FOLD], *out), (exact, *out)
+        _cache[True], _cache[False] = exact[FOLD], exact
     return _cache[fold]
 
 
+def _multipliers(most: int) -> np.ndarray:
+    """The multipliers of at least the first `most` places in a word; the table grows with the longest word met."""
+    have = _cache.get("places")
+    if have is None or len(have) < most:
+        size = 1 << max(12, (most - 1).bit_length())
+        have = _cache["places"] = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return have
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -168,30 +167,35 @@ def words(block: Block, separators: np.ndarray = SPACE, fold: bool = True) -> tu
 
 def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
     """The hashes of spans of the buffer, in ascending order of place and without overlaps; as `words` gives to words."""
-    table, power, inverse = _powers(fold)
+    table = _terms(fold)
     hashes = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         low = int(starts[at])
         upto = int(np.searchsorted(ends, low + PIECE, "right"))
         if upto == at:  # longer than a piece
-            hashes[at] = _long_word(buf[low : int(ends[at])], table, power)
+            hashes[at] = _long_word(buf[low : int(ends[at])], table)
             at += 1
             continue
-        high = int(ends[upto - 1])
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(table[buf[low:high]] * power[: high - low], out=sums[1:])
         s, e = starts[at:upto] - low, ends[at:upto] - low
-        hashes[at:upto] = (sums[e] - sums[s]) * inverse[s]
+        high = int(e[-1])
+        # places count from the word's begin on; what follows a word up to the next one falls out of the differences
+        place = np.arange(high, dtype=np.int32)
+        place -= np.repeat(s.astype(np.int32), np.diff(np.append(s, high)))
+        multipliers = _multipliers(int(place.max()) + 1)
+        sums = np.zeros(high + 1, np.uint64)
+        np.cumsum(table[buf[low : low + high]] * multipliers[place], out=sums[1:])
+        hashes[at:upto] = sums[e] - sums[s]
         at = upto
     return mix(hashes + (ends - starts).astype(np.uint64))
 
 
-def _long_word(piece: np.ndarray, table: np.ndarray, power: np.ndarray) -> np.uint64:
+def _long_word(piece: np.ndarray, table: np.ndarray) -> np.uint64:
     total = 0
     for k in range(0, len(piece), PIECE):
         part = piece[k : k + PIECE]
-        total += int(np.sum(table[part] * power[: len(part)], dtype=np.uint64)) * pow(_BASE, k, 1 << 64)
+        places = mix(np.arange(k + 1, k + len(part) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        total += int(np.sum(table[part] * places, dtype=np.uint64))
     return np.uint64(total & _MASK)
 
 

@@ -85,46 +85,58 @@ def texts(rows):
     return [(i, ((t or "").encode().lower().split())) for i, t, *_ in rows]
 
 
-def brute_scores(rows, rounds=lm.ITERATIONS):
-    """Bigram deleted interpolation by plain counting."""
-    fold = lambda i: 0 if i is None else {0: 0, 1: 1}.get(zlib.crc32(str(i).encode()) % 10, 2)
+def brute_scores(rows, order=lm.ORDER, rounds=lm.ITERATIONS):
+    """Deleted interpolation by plain counting."""
+    fold = lambda i: 3 if i is None else {0: 0, 1: 1}.get(zlib.crc32(str(i).encode()) % 10, 2)
     docs = [(i, fold(i), [*t, "</s>"]) for i, t in texts(rows)]
-    n1, n2, n0 = {k: Counter() for k in "ar"}, {k: Counter() for k in "ar"}, {k: Counter() for k in "ar"}
+    # of each order: n-grams that end at a place; those of the begin of a text are the begin alone
+    grams = {k: [Counter() for _ in range(order + 1)] for k in "ar"}
+
+    def places(t):
+        t = ["<s>", *t]
+        return [[tuple(t[max(0, j - k + 1) : j + 1]) for k in range(1, order + 1)] for j in range(len(t))]
+
     events = []
     for _, f, t in docs:
-        for p, w in zip(["<s>", *t], t):
-            for k in "a" * (f > 0) + "r" * (f == 2):
-                n1[k][w] += 1
-                n2[k][p, w] += 1
-                n0[k][p] += 1
-            if f == 1:
-                events.append((p, w))
-    size = {k: (sum(n1[k].values()), len(n1[k])) for k in "ar"}
-    bucket = lambda c: 0 if c == 0 else min(lm.BUCKETS - 1, 1 + int(math.log2(c)))
-
-    def parts(k, p, w):
+        for j, g in enumerate(places(t)):
+            for k in "a" * (f in (1, 2)) + "r" * (f == 2):
+                for n in range(order):
+                    grams[k][n + 1][n, g[n]] += 1
+    size = {k: (sum(n for g, n in c[1].items() if g != (0, ("<s>",))), len(set(c[1]) - {(0, ("<s>",))})) for k, c in grams.items()}
+
+    def parts(k, before, here):
         N, V = size[k]
-        return bucket(n0[k][p]), np.array([1 / (V + 1), n1[k][w] / max(N, 1), n2[k][p, w] / n0[k][p] if n0[k][p] else 0.0])
+        p, b = [1 / (V + 1), grams[k][1][0, here[0]] / max(N, 1)], 0
+        for n in range(1, order):
+            context = grams[k][n][n - 1, before[n - 1]]
+            p.append(grams[k][n + 1][n, here[n]] / context if context else 0.0)
+            if context:
+                b = 1 + (n - 1) * lm.BUCKETS + min(lm.BUCKETS - 1, int(math.log2(context)))
+        return b, np.array(p)
 
-    lam = np.full((lm.BUCKETS, 3), 1 / 3)
-    seen = [parts("r", *e) for e in events]
+    for _, f, t in docs:
+        if f == 1:
+            g = places(t)
+            events += [parts("r", x, y) for x, y in zip(g, g[1:])]
+    every = range(1 + (order - 1) * lm.BUCKETS)
+    high = lambda b: 1 if b == 0 else 2 + (b - 1) // lm.BUCKETS
+    may = np.array([[k <= high(b) for k in range(order + 1)] for b in every], float)
+    lam = may / may.sum(axis=1, keepdims=True)
     last = None
-    for _ in range(rounds if seen else 0):
-        gain, ll = np.zeros((lm.BUCKETS, 3)), 0.0
-        for b, p in seen:
+    for _ in range(rounds if events else 0):
+        gain, ll = np.zeros_like(lam), 0.0
+        for b, p in events:
             q = lam[b] * p
             ll += math.log(q.sum())
             gain[b] += q / q.sum()
-        used = sorted({b for b, _ in seen})
-        for b in range(lm.BUCKETS):
-            below = [u for u in used if 0 < u < b]
-            g = gain[b] + 0.1 if b in used else None
-            if g is not None:
-                lam[b] = g / g.sum()
-            elif not below:
-                lam[b] = (gain.sum(0) + 0.1) / (gain.sum(0) + 0.1).sum()
-        for b in range(lm.BUCKETS):
-            below = [u for u in used if 0 < u < b]
+        used = sorted({b for b, _ in events})
+        for b in every:
+            below = [u for u in used if u < b and high(u) == high(b)]
+            g = (gain[b] if b in used else gain.sum(0)) + 0.1
+            if b in used or not below:
+                lam[b] = g * may[b] / (g * may[b]).sum()
+        for b in every:
+            below = [u for u in used if u < b and high(u) == high(b)]
             if b not in used and below:
                 lam[b] = lam[max(below)]
         if last is not None and abs(ll - last) <= 1e-5 * abs(last):
@@ -133,12 +145,14 @@ def brute_scores(rows, rounds=lm.ITERATIONS):
     N, V = size["a"]
     out = Counter()
     for i, f, t in docs:
-        base = sum(math.log10((n1["a"][w] + 0.1) / (N + 0.1 * (V + 1))) for w in t)
+        g = places(t)
+        count = [grams["a"][1][0, x[0]] for x in g[1:]]
+        base = sum(math.log10((c + 0.1) / (N + 0.1 * (V + 1))) for c in count)
         score = 0.0
-        for p, w in zip(["<s>", *t], t):
-            b, q = parts("a", p, w)
-            score += math.log10((lam[b] * q).sum())
-        out[(i, f == 0, len(t), sum(n1["a"][w] > 0 for w in t), N, round(base, 4), round(score, 4))] += 1
+        for x, y in zip(g, g[1:]):
+            b, p = parts("a", x, y)
+            score += math.log10((lam[b] * p).sum())
+        out[(i, f == 0, len(t), sum(c > 0 for c in count), N, round(base, 4), round(score, 4))] += 1
     return out
 
 
