@@ -226,16 +226,65 @@ def test_decontamination_in_groups(spark, tmp_path, monkeypatch):
 # 3
 
 
-def test_marginals_are_met(spark, small):
-    each = mixing.described(spark.read.parquet(f"{small}/documents.parquet"))
-    cells = each.groupBy(*mixing.DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
-    fit = mixing.fitted(cells, rounds=25)
+def cells_of(spark, d):
+    each = mixing.described(spark.read.parquet(f"{d}/documents.parquet"))
+    return scratch.written(each.groupBy(*mixing.DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs")), "cells")[0]
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_marginals_are_met(spark, small, together, monkeypatch):
+    """What is expected of each value is its target, by both ways of summing; the whole is the budget."""
+    cells = cells_of(spark, small)
+    if not together:
+        monkeypatch.setattr(mixing, "CELLS_TOGETHER", 0)
+        monkeypatch.setattr(mixing, "LOOK", 4)
+    targets = mixing.targets_by_power(cells)
+    fit, _ = scratch.written(mixing.fitted(cells, targets, rounds=60 if together else 12), "fit")
+    rows = mixing.residuals(fit, targets).collect()
+    for r in rows:
+        assert abs(r.attained - r.target) <= (1e-3 if together else 0.05) * r.target and r.target <= r.has * (1 + 1e-9)
+        assert not r.feasible or r.target >= r.wanted * (1 - 1e-9)  # the budget that others cannot take comes on top
+    assert {r.feasible for r in rows} == {True, False}
+    total = sum(r.has for r in rows if r.dimension == "lang")
     for d in mixing.DIMENSIONS:
-        for r in fit.groupBy(d).agg(F.sum("weight").alias("w"), F.first(f"target_{d}").alias("t")).collect():
-            assert abs(r.w - r.t) <= 0.02 * r.t
-    p = mixing.probabilities(fit, 0.6)
-    whole = p.agg(F.sum(F.col("tokens") * F.col("probability")) / F.sum("tokens")).first()[0]
-    assert abs(whole - 0.6) < 0.02
+        assert abs(sum(r.target for r in rows if r.dimension == d) - mixing.FRACTION * total) <= 1e-6 * total
+    assert fit.where("probability < 0 OR probability > 1").count() == 0
+
+
+def test_given_targets(spark):
+    """A table of targets: values without a share get nothing, unknown ones are reported, ties stay ties."""
+    cells = spark.createDataFrame([(s, x, "prose", 1000, 10) for s in "abc" for x in ("en", "fr")], "source string, lang string, topic string, tokens long, n_docs long")
+    wanted = [("source", "a", 2.0), ("source", "b", 1.0), ("source", "z", 1.0), ("lang", "en", 2.0), ("lang", "fr", 1.0), ("topic", "prose", 1.0)]
+    targets = spark.createDataFrame(wanted, "dimension string, value string, share double")
+    fit, _ = scratch.written(mixing.fitted(cells, targets, 0.4), "fit")
+    got = {(r.dimension, r.value): r for r in mixing.residuals(fit, targets, 0.4).collect()}
+    assert [round(got["source", v].attained) for v in "abc"] == [1600, 800, 0] and [round(got["lang", v].attained) for v in ("en", "fr")] == [1600, 800]
+    assert not got["source", "z"].feasible and got["source", "z"].has == 0 and got["lang", "en"].feasible
+    # what cannot be had: source a alone, of which there are 2000 of the 5400 tokens wanted
+    only = spark.createDataFrame([("source", "a", 1.0), ("lang", "en", 1.0), ("topic", "prose", 1.0)], "dimension string, value string, share double")
+    rows = {(r.dimension, r.value): r for r in mixing.residuals(mixing.fitted(cells, only, 0.9), only, 0.9).collect()}
+    assert not rows["source", "a"].feasible and rows["source", "a"].attained <= 2000 and rows["source", "b"].attained == 0
+
+
+def test_sampled_tokens_follow_the_targets(spark):
+    """What is really drawn, in a table of many documents: within four standard errors of each target."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w "), F.repeat(F.lit("x "), (F.col("id") % 7).cast("int")), F.when(F.col("id") % 40 == 0, "a!!").otherwise("")).alias("text"), F.element_at(F.array(*map(F.lit, ("en", "en", "en", "fr"))), (F.col("id") % 4 + 1).cast("int")).alias("lang"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 10 == 1, "b").otherwise("c").alias("source"))
+    targets = spark.createDataFrame([("source", "a", 0.5), ("source", "b", 0.05), ("source", "c", 0.45), ("lang", "en", 0.6), ("lang", "fr", 0.4), ("topic", "prose", 0.98), ("topic", "emphatic", 0.02)], "dimension string, value string, share double")
+    out, _ = scratch.written(mixing.sampled(docs, targets=targets, fraction=0.5), "out")
+    for d in mixing.DIMENSIONS:
+        for r in out.groupBy(d).agg(F.sum(F.when(F.col("sampled"), F.col("n_tokens")).otherwise(0)).alias("got"), F.sum(F.col("n_tokens") * F.col("probability")).alias("want"), F.sqrt(F.sum(F.col("n_tokens") ** 2 * F.col("probability") * (1 - F.col("probability")))).alias("error")).collect():
+            assert abs(r.got - r.want) <= 4 * r.error
+    total = out.agg(F.sum("n_tokens")).first()[0]
+    share = {r.source: r.w / total / 0.5 for r in out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("probability")).alias("w")).collect()}
+    assert abs(share["a"] - 0.5) < 1e-6 and abs(share["b"] - 0.05) < 1e-6
+
+
+def test_rates_beyond_a_broadcast(spark, odd, monkeypatch):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    key = lambda df: sorted((str(r.doc_id), r.probability, r.sampled) for r in df.collect())
+    want, kept = key(mixing.sampled(docs)), sorted(str(r.doc_id) for r in mixing.mixed(spark, docs, odd).collect())
+    monkeypatch.setattr(mixing, "RATE_ROWS", 0)
+    assert key(mixing.sampled(docs)) == want and sorted(str(r.doc_id) for r in mixing.mixed(spark, docs, odd).collect()) == kept
 
 
 def test_mixing_keeps_columns(spark, odd):
