@@ -2,14 +2,15 @@
 
 One pass over each text finds the base kinds (assign, access, hex) with their places, and the weak parts:
 identifiers, opaque strings and endpoints. A text's matches and the gaps between them come from the same pattern,
-so running lengths give every place. Texts that hold parts of complementary roles are exploded, and identifiers
+so running lengths give every place; they run within slices of PIECE matches and then over the slices, so a text's
+cost stays about linear in its matches. Texts that hold parts of complementary roles are exploded, and identifiers
 meet secrets in an interval join: an equality on text and scope cell, each part standing in the cells of its start
 and its stop or in their neighbours, then the distance. Only parts within SCOPE of their complement are reported;
 endpoints are reported near a linked pair. Built-in functions only. A cell is SCOPE characters long, so it holds a
 bounded number of parts however long the text is.
 
-Defined results: a null or empty text has no findings; a null doc_id stays null; each input row gives a row;
-other columns are not read.
+Defined results: a null or empty text has no findings; a null doc_id stays null; each input row gives a row; texts and
+parts may be of any length; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from rasterloom.llm import scratch
 
 #: Code points between two parts of one credential.
 SCOPE = 200
+#: Matches whose lengths are summed one by one.
+PIECE = 256
 
 # The kinds in their order, with pattern, the group whose length counts, its least length, and the role.
 KINDS = [
@@ -39,14 +42,16 @@ def matches(text: str, rank: int, pattern: str, group: int, least: int) -> Colum
     whole = f"regexp_extract_all({text}, {_quoted(pattern)}, 0)"
     inner = whole if group == 0 else f"regexp_extract_all({text}, {_quoted(pattern)}, {group})"
     gaps = f"split({text}, {_quoted(pattern)}, -1)"
-    sql = f"""
-    filter(aggregate(
-        zip_with(zip_with({whole}, {inner}, (m, v) -> named_struct('m', m, 'v', v)), {gaps}, (x, g) -> named_struct('m', x.m, 'v', x.v, 'g', g)),
-        named_struct('at', 0, 'out', CAST(array() AS ARRAY<STRUCT<start: INT, rank: INT, stop: INT, size: INT>>)),
-        (s, x) -> IF(x.m IS NULL, s, named_struct('at', s.at + length(x.g) + length(x.m), 'out',
-            concat(s.out, array(named_struct('start', s.at + length(x.g), 'rank', {rank}, 'stop', s.at + length(x.g) + length(x.m), 'size', length(x.v)))))),
-        s -> s.out), y -> y.size >= {least})"""
-    return F.when(F.expr(f"{text} RLIKE {_quoted(pattern)}"), F.expr(f"transform({sql}, y -> named_struct('start', y.start, 'rank', y.rank, 'stop', y.stop))"))
+    span = "STRUCT<start: INT, stop: INT, size: INT>"
+    within = f"""aggregate(slice(p, CAST(k * {PIECE} + 1 AS INT), {PIECE}), named_struct('at', 0, 'out', CAST(array() AS ARRAY<{span}>)),
+        (s, x) -> named_struct('at', s.at + length(x.g) + length(x.m), 'out',
+            concat(s.out, array(named_struct('start', s.at + length(x.g), 'stop', s.at + length(x.g) + length(x.m), 'size', length(x.v))))))"""
+    over = f"""aggregate(transform(sequence(0, CAST((size(p) - 1) div {PIECE} AS INT)), k -> {within}), named_struct('at', 0, 'out', CAST(array() AS ARRAY<STRUCT<at: INT, out: ARRAY<{span}>>>)),
+        (s, c) -> named_struct('at', s.at + c.at, 'out', concat(s.out, array(named_struct('at', s.at, 'out', c.out)))), s -> s.out)"""
+    # the last gap has no match; the array of one binds p
+    sql = f"""element_at(transform(array(filter(zip_with(zip_with({whole}, {inner}, (m, v) -> named_struct('m', m, 'v', v)), {gaps}, (x, g) -> named_struct('m', x.m, 'v', x.v, 'g', g)), x -> x.m IS NOT NULL)),
+        p -> flatten(transform({over}, c -> transform(filter(c.out, y -> y.size >= {least}), y -> named_struct('start', c.at + y.start, 'rank', {rank}, 'stop', c.at + y.stop))))), 1)"""
+    return F.when(F.expr(f"{text} RLIKE {_quoted(pattern)}"), F.expr(sql))
 
 
 def _quoted(pattern: str) -> str:
@@ -80,7 +85,6 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     cell = lambda c: f"CAST(floor({c} / {scope}) AS BIGINT)"
     around = lambda x: F.explode(F.expr(f"array_distinct(array({cell(x + '.start')} - 1, {cell(x + '.start')}, {cell(x + '.stop')}, {cell(x + '.stop')} + 1))")).alias("cell")
     both = F.explode(F.expr(f"array_distinct(array({cell('start')}, {cell('stop')}))")).alias("cell")
-    # an opaque string inside a base span is the same secret
     identifiers = one.where("role = 'identifier'").select("row", F.struct("start", "rank", "stop").alias("i")).select("row", "i", around("i"))
     secrets = one.where("role = 'secret'").select("row", F.struct("start", "rank", "stop").alias("s"), both)
     apart = F.greatest(F.col("i.start"), F.col("s.start")) - F.least(F.col("i.stop"), F.col("s.stop"))

@@ -6,9 +6,13 @@ archive's tail, walks the central directory, finds where each member's bytes beg
 reads records by their ranges; nothing is extracted. Archives are written to the shared folder through a file
 system chosen by its URI, under a temporary name and then moved, so a task that runs again leaves one file.
 
+A response's block is an HTTP message whose body is the payload; a revisit has none. A response that others can revisit
+has the record id `urn:page:<page_id>:<digest>`; other records add their place, so that all ids differ.
+
 Defined results: a null html is an empty payload; of records with equal payloads of at least LEAST bytes the one
 with the largest page_id is the response and the others revisit it; rows that repeat a page_id with equal payloads
-give one response and revisits of it; rows with null page_id are written as responses; other columns are not read.
+give one response and revisits of it; rows with null page_id are written as responses; a null url is empty; a payload
+is written and read whole, however long; an empty table gives no archive; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -26,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterloom.llm import scratch
+from rasterloom.operators.graph import joined
 
 LEAST = 0
 #: An archive is closed once it holds so many bytes.
@@ -34,6 +41,8 @@ ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 4 << 20
 #: Payloads with copies that may be broadcast, about 50 MB.
 TOP_ROWS = 500_000
+#: Up to so many archives, a task reads one; of more, each task reads its share of at most ARCHIVES_A_TASK.
+READ_TASKS, ARCHIVES_A_TASK = 10_000, 16
 DATA, INDEX = "data.warc", "index.cdxj"
 
 # Signatures and layouts of the ZIP format.
@@ -68,6 +77,19 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:size]
 
 
+_HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+
+
+def http(payload: bytes) -> bytes:
+    """The HTTP message that carries a page."""
+    return _HTTP.format(len(payload)).encode() + payload
+
+
+def body_of(message: bytes) -> bytes:
+    """The body of an HTTP message."""
+    return message.partition(b"\r\n\r\n")[2]
+
+
 class ZipWriter:
     """A ZIP of stored members, written in one pass; sizes follow the data in the central directory (ZIP64 if needed)."""
 
@@ -176,7 +198,7 @@ def _opened(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, most: int, zip64: bool) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, most: int, zip64: bool, captured: str) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     ctx = TaskContext.get()
@@ -206,17 +228,22 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, most: int, zip64: boo
                 state["zip"], state["lines"], state["at"] = ZipWriter(state["out"], zip64), [], 0
                 state["zip"].begin(DATA)
             payload = (row["html"] or "").encode()
-            key = "null" if row["page_id"] is None else str(row["page_id"])
+            digest = payload_digest(payload)
+            key = "null" if row["page_id"] is None else quote(str(row["page_id"]), safe="")
+            revisit = row["of"] is not None
+            name = f"{key}:{digest}" if row["first"] and not revisit and row["page_id"] is not None else f"{key}:{digest}:{task}.{state['n']}.{len(state['lines'])}"
             fields = {
-                "WARC-Type": "revisit" if row["of"] is not None else "response",
-                "WARC-Record-ID": f"<urn:page:{key}>",
+                "WARC-Type": "revisit" if revisit else "response",
+                "WARC-Record-ID": f"<urn:page:{name}>",
+                "WARC-Date": captured,
                 "WARC-Target-URI": (row["url"] or "").replace("\r", "%0D").replace("\n", "%0A"),
-                "WARC-Payload-Digest": f"sha1:{payload_digest(payload)}",
+                "Content-Type": "application/http; msgtype=response",
+                "WARC-Payload-Digest": f"sha1:{digest}",
                 "WARC-Payload-Length": str(len(payload)),
             }
-            if row["of"] is not None:
-                fields |= {"WARC-Refers-To": f"<urn:page:{row['of']}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
-            data = record(fields, b"" if row["of"] is not None else payload)
+            if revisit:
+                fields |= {"WARC-Refers-To": f"<urn:page:{quote(str(row['of']), safe='')}:{digest}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
+            data = record(fields, b"" if revisit else http(payload))
             state["zip"].write(data)
             state["lines"].append(json.dumps({"page_id": row["page_id"], "offset": state["at"], "length": len(data)}) + "\n")
             state["at"] += len(data)
@@ -228,30 +255,33 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, most: int, zip64: boo
         yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in state["made"]]), pa.array([m[1] for m in state["made"]], pa.int64())], ["archive", "n_records"])
 
 
-def packed(pages: DataFrame, folder: str, least: int = LEAST, most: int = ARCHIVE_BYTES, zip64: bool = False) -> DataFrame:
-    """Writes all pages to archives in the folder; returns the table of archives (archive, n_records)."""
+def packed(pages: DataFrame, folder: str, least: int = LEAST, most: int = ARCHIVE_BYTES, zip64: bool = False, captured: str | None = None) -> DataFrame:
+    """Writes all pages to archives in the folder; returns the table of archives (archive, n_records).
+
+    captured: the records' date in UTC, else the present one.
+    """
     rows = pages.select("page_id", "url", "html")
     spark = pages.sparkSession
     scratch.bounded(spark)
+    captured = captured or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     # of each payload the largest page_id; the hash is of the whole payload, and small sums meet, not pages
-    keyed = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("long_enough", F.octet_length(F.coalesce("html", F.lit(""))) >= least)
-    top = keyed.where("long_enough AND page_id IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1").select(F.col("digest").alias("d"), "top")
+    html = F.coalesce("html", F.lit(""))
+    keyed = rows.withColumn("digest", F.when((F.octet_length(html) >= least) & F.col("page_id").isNotNull(), F.sha1(html.cast("binary"))))
+    top = keyed.where("digest IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1").withColumnRenamed("digest", "d")
     top, _ = scratch.written(top, "tops")
-    if top.count() <= TOP_ROWS:  # small: the pages need not move; beyond it the join shuffles them
-        top = F.broadcast(top)
+    if top.count() <= TOP_ROWS:  # small: the pages need not move
+        known = keyed.join(F.broadcast(top), F.col("digest") == F.col("d"), "left")
+    else:  # pages are shuffled, but for payloads with very many copies
+        known = joined(keyed, "digest", top, "d", "copies", rows.count(), "left")
     # a page_id that repeats: one row is the response
-    repeats = keyed.where("page_id IS NOT NULL").groupBy("page_id", "digest").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    known = keyed.join(top, (keyed["digest"] == top["d"]) & keyed["long_enough"], "left")
-    if repeats:
-        first = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")) == 1
-        known = known.withColumn("first", first)
-    else:
-        known = known.withColumn("first", F.lit(True))
-    of = F.when(F.col("top").isNotNull() & F.col("page_id").isNotNull() & ((F.col("page_id") != F.col("top")) | ~F.col("first")), F.col("top"))
-    final = known.select("page_id", "url", "html", of.alias("of"))
+    repeats = rows.where("page_id IS NOT NULL").groupBy("page_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+    first = F.row_number().over(Window.partitionBy("page_id", F.sha1(html.cast("binary"))).orderBy("url")) == 1 if repeats else F.lit(True)
+    known = known.withColumn("first", first)
+    of = F.when(F.col("top").isNotNull() & ((F.col("page_id") != F.col("top")) | ~F.col("first")), F.col("top"))
+    final = known.select("page_id", "url", "html", "first", of.alias("of"))
     fs, path = _opened(folder)
     fs.create_dir(path, recursive=True)
-    made = final.mapInArrow(lambda batches: _write(batches, folder, most, zip64), "archive string, n_records long")
+    made = final.mapInArrow(lambda batches: _write(batches, folder, most, zip64, captured), "archive string, n_records long")
     return scratch.written(made, "archives")[0]
 
 
@@ -278,12 +308,13 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, kind: pa.DataType) ->
                     data = at(begin + first, size)
                     rows = []
                     for e in entries[k:upto]:
-                        fields, body = parse(data[e["offset"] - first : e["offset"] - first + e["length"]])
+                        fields, block = parse(data[e["offset"] - first : e["offset"] - first + e["length"]])
+                        body = body_of(block)
                         digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                         response = fields["WARC-Type"] == "response"
                         if response and (payload_digest(body) != digest or len(body) != int(fields["WARC-Payload-Length"])):
                             raise ValueError(f"{name}: the payload of page {e['page_id']} does not match its digest")
-                        refers = None if response else fields["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">")
+                        refers = None if response else unquote(fields["WARC-Refers-To"].removeprefix("<urn:page:").partition(":")[0])
                         rows.append((e["page_id"], fields["WARC-Target-URI"], int(fields["WARC-Payload-Length"]), digest, fields["WARC-Type"], refers, body if response else None))
                     cols = list(zip(*rows))
                     kinds = [kind, pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
@@ -297,7 +328,8 @@ def unpacked(archives: DataFrame, folder: str, page_id: str = "bigint") -> DataF
     from pyspark.sql.types import _parse_datatype_string
 
     kind = to_arrow_type(_parse_datatype_string(page_id))
-    spread = archives.select("archive").repartition(F.col("archive"))
+    n = archives.count()
+    spread = archives.select("archive").repartition(max(1, n if n <= READ_TASKS else max(READ_TASKS, -(-n // ARCHIVES_A_TASK))))
     out = spread.mapInArrow(lambda batches: _read(batches, folder, kind), f"page_id {page_id}, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary")
     return out.withColumn("refers_to", F.col("refers_to").cast(page_id))
 

@@ -554,6 +554,32 @@ def test_archive_round_trip(spark, odd, tmp_path):
         assert bytes(by[5].payload).decode() == "<p>é</p>" * 5000 and by[None].record_type == "response"
 
 
+def test_archives_of_repeated_pages(spark, tmp_path, monkeypatch):
+    """Repeated page_ids, null ids, urls with line ends, clashing columns; by broadcast and by shuffle."""
+    rows = [(1, "u", "a"), (1, "u", "a"), (1, "v", "b"), (2, "x\r\ny", "a"), (None, None, "a"), (None, "n", "a"), (3, "w", "c"), (4, "w", None), (4, "w", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("digest", "top", "first", "of", "d", "copies", "archive", "payload")})
+    for least, tops in ((0, warczip.TOP_ROWS), (0, 0), (1, 0)):
+        monkeypatch.setattr(warczip, "TOP_ROWS", tops)
+        folder = f"file://{tmp_path}/r{least}{tops}"
+        archives = warczip.packed(pages, folder, least=least, captured="2020-01-02T03:04:05Z")
+        got = Counter((r.page_id, bytes(r.payload).decode() if r.payload is not None else None, r.record_type, r.refers_to) for r in warczip.unpacked(archives, folder).collect())
+        want = Counter([(1, None, "revisit", 2), (1, None, "revisit", 2), (1, "b", "response", None), (2, "a", "response", None), (None, "a", "response", None), (None, "a", "response", None), (3, "c", "response", None), (4, "", "response", None)])
+        want[(4, None, "revisit", 4) if least == 0 else (4, "", "response", None)] += 1
+        assert got == want
+        import zipfile
+
+        seen = []
+        for name in os.listdir(folder.removeprefix("file://")):
+            with zipfile.ZipFile(f"{folder.removeprefix('file://')}/{name}") as z:
+                data = z.read(warczip.DATA)
+                for line in z.read(warczip.INDEX).decode().splitlines():
+                    e = __import__("json").loads(line)
+                    fields, block = warczip.parse(data[e["offset"] : e["offset"] + e["length"]])
+                    seen.append(fields["WARC-Record-ID"])
+                    assert fields["WARC-Date"] == "2020-01-02T03:04:05Z" and fields["Content-Type"].startswith("application/http")
+        assert len(set(seen)) == len(rows)
+
+
 def test_archives_are_plain_zip(spark, odd, tmp_path):
     import zipfile
 
@@ -590,6 +616,15 @@ def test_long_parts_are_linked(spark, tmp_path):
     oracle.same(got, oracle.connection(str(tmp_path)), SQL["op10_credential_links"])
 
 
+def test_many_matches_in_one_text(spark, tmp_path):
+    """Places of many matches, over several slices, and parts of 1 to 5,000 characters, against SQL."""
+    rng = np.random.default_rng(7)
+    parts = lambda n: [rng.choice(["client_id=", "login: ", "token=", "https://a", "AKIA", ""]) + "".join(rng.choice(list("aB3+é f0"), int(rng.choice([1, 9, 30, 300, 5000], p=[0.3, 0.3, 0.3, 0.09, 0.01])))) for _ in range(n)]
+    rows = [(k, " ".join(parts(n))) for k, n in enumerate([1, 50, 700, 3, 2000])] + [(9, "token=abcdef " * 3 * credentials.PIECE), (10, "token=abcdef"), (11, "é" * 40 + "token=abcdef " * credentials.PIECE)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    oracle.same(credentials.op10_credential_links(spark, str(tmp_path)), oracle.connection(str(tmp_path)), SQL["op10_credential_links"])
+
+
 def test_base_digest(spark, odd):
     row = {r.doc_id: r for r in credentials.op10_credential_links(spark, odd).collect()}
     assert row[4].base_sha256 == hashlib.sha256(b"").hexdigest()
