@@ -12,14 +12,15 @@ from rasterloom.functions import scratch
 HUB_ROWS, HUBS = 1000, 50_000
 
 
-def joined(big: DataFrame, key: str, small: DataFrame, name: str, times: str, total: int, how: str = "inner") -> DataFrame:
+def joined(big: DataFrame, key: str, small: DataFrame, name: str, times: str, total: int, how: str = "inner", limit: int | None = None) -> DataFrame:
     """big with the columns of small where big's key equals small's name.
 
     small has one row a key, with the number of big's rows of that key in `times`; total: at least the rows of big. The
     rows of hubs stay where they are and meet a broadcast of fewer than HUBS rows; the others are shuffled by key. how:
-    inner or left (rows with a null key stay where they are, too).
+    inner or left (rows with a null key stay where they are, too). limit: rows from which on a key is a hub, where
+    small's rows are wide.
     """
-    limit = max(HUB_ROWS, total // HUBS)
+    limit = limit or max(HUB_ROWS, total // HUBS)
     hubs = small.where(F.col(times) > limit)
     at_hubs = big.join(F.broadcast(hubs), F.col(key) == F.col(name))
     elsewhere = big.join(F.broadcast(hubs.select(F.col(name).alias("hub"))), F.col(key) == F.col("hub"), "left_anti")
