@@ -62,7 +62,7 @@ def shingle_sets(block: tb.Block) -> tuple[np.ndarray, np.ndarray]:
     count = np.diff(at)
     rolled = np.zeros(len(h), np.uint64)
     n = len(h)
-    for k in range(SHINGLE):
+    for k in range(min(SHINGLE, n)):
         rolled[: n - k] += h[k:] * _M[k]
     rolled = tb.mix(rolled)
     sets = []

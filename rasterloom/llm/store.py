@@ -4,23 +4,30 @@ Each document's ids (with the end id) are cut into chunks where a rolling hash o
 bits clear, so equal passages give equal chunks wherever they stand. A chunk's address is the SHA-256 of its bytes.
 The store has four Parquet tables:
 
-* `chunks`: every distinct chunk once: digest, width (bytes an id), n, data, the place of the first document that has
-  it and how many have it;
-* `recipes`: for each document its digests in order, doc_id, n_tokens, start, and the Merkle root of its digests;
+* `objects/kind=chunk`: every distinct chunk once: digest, width (bytes an id), n, data, the key of the first document
+  that has it (its owner) and how many have it;
+* `recipes`: for each document its digests in order, key (a hash of doc_id and root), doc_id, n_tokens, start, and the
+  Merkle root of its digests;
 * `segments`: for each range of documents in doc_id order: first and last id, tokens, Merkle root of its documents;
 * `manifest`: the Merkle root over the segments, with counts and parameters.
 
+Writing: one pass encodes and cuts; what it makes is shuffled once, by digest, and each chunk written once. Document
+order and `start` come from a range partitioning of the recipes by doc_id, segments of about SEGMENT_DOCS documents,
+and one small sum for each.
+
 Reading counts each segment again from the recipes (documents, tokens, first and last id, order, starts, Merkle
 root) and compares it with `segments`, and these with `manifest`; then it brings each document's recipe and chunks
-together, and checks every chunk's SHA-256 and each recipe's root. Document order and `start` come from a range
-partitioning by doc_id and one small sum per range.
+together, and checks every chunk's SHA-256 and each recipe's root. A chunk goes straight to its owner; the few chunks
+that very many documents share are broadcast to the others, the rest is joined.
 A document without ids but the end id has one chunk. Chunks hold LEAST to MOST ids (the last may be shorter).
 
 Encoding: words between ASCII spaces never share a token, so a block's distinct words are encoded once by the
-tokenizers library and looked up; tests hold this against encoding whole texts.
+tokenizers library and looked up by a hash; their bytes are compared, too, and where two words have one hash the
+block's texts are encoded whole. Tests hold this against encoding whole texts.
 
 Defined results: a null text counts as empty; a null doc_id comes before all others; rows that repeat a doc_id
-follow one another, ordered by their ids; other columns are not read.
+follow one another, ordered by their ids; texts are whole, a block holds one at least; an empty table gives an empty
+store; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,19 +43,23 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
+from rasterloom.operators.graph import joined
 
 END_ID = 2
 WINDOW = 8
 #: A cut falls on one id in 2 ** BITS on average.
-BITS = 9
-LEAST, MOST = 64, 4096
+BITS = 8
+LEAST, MOST = 32, 2048
 #: Distinct words whose ids a worker keeps.
 KEPT_WORDS = 1_600_000
-#: Words encoded as one text, and the character between them.
-TOGETHER, _BETWEEN = 500, "\x01"
-BLOCK = 4 << 20
+#: Words encoded as one text, texts encoded at once, and the character between words.
+TOGETHER, TEXTS, _BETWEEN = 500, 32, "\x01"
+BLOCK = 2 << 20
 #: A document of at most this many ids is one chunk.
-WHOLE = 128
+WHOLE = 64
+SEGMENT_DOCS = 20_000
+#: A chunk that more than one in SHARERS of all uses fall on, and this many, is broadcast; there are fewer than SHARERS.
+SHARERS, SHARED_BY = 1000, 1000
 
 _MULTIPLIERS = tb.mix(np.arange(1, WINDOW + 1, dtype=np.uint64)) | np.uint64(1)
 _workers: dict = {}
@@ -84,23 +95,24 @@ class Encoder:
         self.letters = np.zeros(0, np.uint8)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, and how many each has."""
-        flat: list = []
-        count: list = []
-        texts = [f" {_BETWEEN} ".join(words[k : k + TOGETHER]) for k in range(0, len(words), TOGETHER)]
-        for k, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            part = words[k * TOGETHER : (k + 1) * TOGETHER]
-            ids = np.array(e.ids, np.uint32)
-            marks = np.flatnonzero(ids == self.between) if self.between is not None else []
-            if len(marks) == len(part) - 1:
-                n = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
-                ids = np.delete(ids, marks)
-            else:
-                alone = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                n = np.array([len(x) for x in alone], np.int64)
-                ids = np.array([i for x in alone for i in x], np.uint32)
-            flat.append(ids)
-            count.append(n)
+        """The ids of all words, and how many each has. The library's own results are large, so a part is encoded at once."""
+        flat, count = [], []
+        for k in range(0, len(words), TOGETHER * TEXTS):
+            some = words[k : k + TOGETHER * TEXTS]
+            texts = [f" {_BETWEEN} ".join(some[j : j + TOGETHER]) for j in range(0, len(some), TOGETHER)]
+            for j, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                part = some[j * TOGETHER : (j + 1) * TOGETHER]
+                ids = np.array(e.ids, np.uint32)
+                marks = np.flatnonzero(ids == self.between) if self.between is not None else []
+                if len(marks) == len(part) - 1:
+                    n = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+                    ids = np.delete(ids, marks)
+                else:
+                    alone = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                    n = np.array([len(x) for x in alone], np.int64)
+                    ids = np.array([i for x in alone for i in x], np.uint32)
+                flat.append(ids)
+                count.append(n)
         return np.concatenate(flat), np.concatenate(count).astype(np.int64)
 
     def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
@@ -236,73 +248,98 @@ def merkle(digests: list[bytes]) -> bytes:
     return level[0]
 
 
+def _key(doc_id, root: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(root + repr(doc_id).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+_CUT = "spread long, key long, doc_id {kind}, n_tokens long, digests array<binary>, root binary, digest binary, n_docs long, data binary"
+
+
 def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows of both kinds: a recipe for each document, and each chunk that the block has not had before."""
+    """Rows of both kinds: a recipe for each document, and each distinct chunk of the block with its first document."""
     e = encoder(path)
     for batch in batches:
         for block in tb.blocks(iter([batch]), most=BLOCK):
             ids, at = e.encode(block)
             packed = ids.astype("<u2" if e.width == 2 else "<u4")
-            lists, roots = [], []
-            had: dict[bytes, bytes] = {}
+            lists, roots, keys = [], [], []
+            had: dict[bytes, list] = {}  # data, key of the first document, documents
             for i, ends in enumerate(cuts(ids, at)):
                 low, here, last = int(at[i]), [], 0
+                parts = {}
                 for c in ends:
                     data = packed[low + last : low + c].tobytes()
                     d = hashlib.sha256(data).digest()
-                    had.setdefault(d, data)
+                    parts[d] = data
                     here.append(d)
                     last = c
                 lists.append(here)
                 roots.append(merkle(here))
+                keys.append(_key(block.columns["doc_id"][i], roots[-1]))
+                for d, data in parts.items():
+                    had.setdefault(d, [data, keys[-1], 0])[2] += 1
             kind = batch.schema.field("doc_id").type
             n, m = len(block), len(had)
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(keys + [int.from_bytes(d[:8], "little", signed=True) for d in had], pa.int64()),
+                    pa.array(keys + [v[1] for v in had.values()], pa.int64()),
                     pa.array(block.columns["doc_id"] + [None] * m, kind),
                     pa.array(np.diff(at).tolist() + [None] * m, pa.int64()),
                     pa.array(lists + [None] * m, pa.list_(pa.binary())),
                     pa.array(roots + [None] * m, pa.binary()),
                     pa.array([None] * n + list(had), pa.binary()),
-                    pa.array([None] * n + list(had.values()), pa.binary()),
+                    pa.array([None] * n + [v[2] for v in had.values()], pa.int64()),
+                    pa.array([None] * n + [v[0] for v in had.values()], pa.binary()),
                 ],
-                ["doc_id", "n_tokens", "digests", "root", "digest", "data"],
+                ["spread", "key", "doc_id", "n_tokens", "digests", "root", "digest", "n_docs", "data"],
             )
 
 
+def _objects(spark, folder: str, kind: str, schema) -> DataFrame:
+    """The objects of a kind: chunk or list (recipes that aren't in order yet)."""
+    return spark.read.schema(schema).parquet(f"{folder}/objects").where(F.col("kind") == kind).drop("kind")
+
+
 def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """Writes the store's four tables below the folder."""
     spark = docs.sparkSession
     scratch.bounded(spark)
     width = encoder(tokenizer).width
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    both = docs.select("doc_id", "text").mapInArrow(lambda batches: _cut(batches, tokenizer), f"doc_id {kind}, n_tokens long, digests array<binary>, root binary, digest binary, data binary")
-    both, path = scratch.written(both, "cut", compression="zstd")
+    cut = docs.select("doc_id", "text").mapInArrow(lambda batches: _cut(batches, tokenizer), _CUT.format(kind=docs.schema["doc_id"].dataType.simpleString()))
+    # one row of each chunk stays, that of the least key, with the documents of all blocks
+    same = Window.partitionBy("spread", "digest").orderBy("key")
+    counted = cut.withColumns({"turn": F.row_number().over(same), "n_docs": F.sum("n_docs").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    once = counted.where("digest IS NULL OR turn = 1").drop("spread", "turn")
+    objects = once.withColumns({"width": F.lit(width), "n": (F.octet_length("data") / width).cast("long"), "kind": F.when(F.col("digest").isNull(), "list").otherwise("chunk")})
+    concurrent = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(concurrent)
+    try:
+        spark.conf.set(concurrent, 2)  # both kinds are written side by side, not sorted first
+        objects.write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/objects")
+    finally:
+        spark.conf.set(concurrent, before)
     # ascending doc_id: ranges, with the tokens before each range from one small sum
-    recipes = both.where("digests IS NOT NULL").select("doc_id", "n_tokens", "digests", "root")
-    ranged = recipes.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("root")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
-    ordered, ordered_path = scratch.written(ranged.withColumn("segment", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "ordered")
-    sums = ordered.groupBy("segment").agg(F.sum("n_tokens").alias("tokens"))
-    before = sums.withColumn("before", F.coalesce(F.sum("tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.sum("n_tokens").over(Window.partitionBy("segment").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    placed = ordered.withColumn("inside", F.coalesce(inside, F.lit(0))).join(before.select(F.col("segment").alias("s"), "before"), F.col("segment") == F.col("s"))
-    placed.select("doc_id", "n_tokens", (F.col("before") + F.col("inside")).alias("start"), "digests", "root", "segment", "place").write.parquet(f"{folder}/recipes")
-    scratch.delete(spark, ordered_path)
-    # each chunk once, with the first document that has it and how many have it
-    places = spark.read.parquet(f"{folder}/recipes").select("segment", "place", "root", "digests")
-    owners = places.select("place", F.explode(F.array_distinct("digests")).alias("d")).groupBy("d").agg(F.min("place").alias("place"), F.count("*").alias("n_docs"))
-    once = both.where("digest IS NOT NULL").groupBy("digest").agg(F.first("data").alias("data"))
-    chunks = once.join(owners, F.col("digest") == F.col("d")).select("digest", F.lit(width).alias("width"), (F.octet_length("data") / width).cast("long").alias("n"), "place", "n_docs", "data")
-    chunks.write.option("compression", "zstd").parquet(f"{folder}/chunks")
-    tree = places.select("segment", "place", "root").repartition("segment").sortWithinPartitions("segment", "place").mapInArrow(_segment_roots, "segment int, root binary")
-    stats = spark.read.parquet(f"{folder}/recipes").groupBy("segment").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("tokens"), F.min("start").alias("before"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    with scratch.swept(spark):
+        recipes = _objects(spark, folder, "list", objects.schema).select("key", "doc_id", "n_tokens", "digests", "root")
+        n = max(1, -(-recipes.count() // SEGMENT_DOCS))
+        ranged = recipes.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.col("root")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
+        ordered, _ = scratch.written(ranged.withColumn("segment", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "ordered")
+        scratch.delete(spark, f"{folder}/objects/kind=list")
+        sums = ordered.groupBy("segment").agg(F.sum("n_tokens").alias("tokens"))
+        earlier = sums.withColumn("before", F.coalesce(F.sum("tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        inside = F.sum("n_tokens").over(Window.partitionBy("segment").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+        placed = ordered.withColumn("inside", F.coalesce(inside, F.lit(0))).join(earlier.select(F.col("segment").alias("s"), "before"), F.col("segment") == F.col("s"))
+        placed.select("key", "doc_id", "n_tokens", (F.col("before") + F.col("inside")).alias("start"), "digests", "root", "segment", "place").write.parquet(f"{folder}/recipes")
+    recipes = spark.read.parquet(f"{folder}/recipes")
+    tree = recipes.select("segment", "place", "root").repartition("segment").sortWithinPartitions("segment", "place").mapInArrow(_segment_roots, "segment int, root binary")
+    stats = recipes.groupBy("segment").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("tokens"), F.min("start").alias("before"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     stats.join(tree, "segment").select("segment", "n_docs", "tokens", "before", "first_id", "last_id", "root").write.parquet(f"{folder}/segments")
     tops = spark.read.parquet(f"{folder}/segments").orderBy("segment").select("root", "n_docs", "tokens").collect()
     spark.createDataFrame(
         [(merkle([bytes(r.root) for r in tops]), sum(r.n_docs for r in tops), sum(r.tokens for r in tops), len(tops), width, END_ID, BITS)],
         "root binary, n_docs long, n_tokens long, n_segments long, width int, end_id int, bits int",
     ).coalesce(1).write.parquet(f"{folder}/manifest")
-    scratch.delete(spark, path)
 
 
 def _segment_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,41 +415,50 @@ def _compare(recipes: DataFrame, segments: DataFrame, manifest: DataFrame) -> No
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of documents: each one's recipe, then its chunks, come one after another."""
-    held: dict = {}
+    """The ids of documents: of each key the recipes, then their chunks, come one after another."""
+    key = None
+    held: list[tuple] = []  # doc_id, start, n_tokens, root, digests
     had: dict[bytes, np.ndarray] = {}
     out, size = [], 0
     kind = None
 
-    def close() -> tuple:
-        if merkle(held["digests"]) != held["root"]:
-            raise ValueError(f"document {held['doc_id']}: the recipe does not match its root")
-        ids = np.concatenate([had[d] for d in held["digests"]])
-        if len(ids) != held["n_tokens"]:
-            raise ValueError(f"document {held['doc_id']}: {len(ids)} ids, the recipe has {held['n_tokens']}")
-        return held["doc_id"], held["start"], ids.tobytes()
+    def ids_of(doc_id, n_tokens: int, root: bytes, digests: list[bytes]) -> bytes:
+        if merkle(digests) != root:
+            raise ValueError(f"document {doc_id}: the recipe does not match its root")
+        lost = [d for d in digests if d not in had]
+        if lost:
+            raise ValueError(f"document {doc_id}: the chunk with the address {lost[0].hex()} is missing")
+        ids = np.concatenate([had[d] for d in digests])
+        if len(ids) != n_tokens:
+            raise ValueError(f"document {doc_id}: {len(ids)} ids, the recipe has {n_tokens}")
+        return ids.tobytes()
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "start", "ids"])
 
+    def close() -> Iterator[pa.RecordBatch]:
+        nonlocal out, size
+        for doc_id, start, *recipe in held:
+            out.append((doc_id, start, ids_of(doc_id, *recipe)))
+            size += len(out[-1][2])
+            if size > BLOCK:
+                yield batch_of(out)
+                out, size = [], 0
+
     for b in batches:
         kind = b.schema.field("doc_id").type
-        columns = [b.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "digests", "digest", "width", "data")]
-        for doc_id, start, n_tokens, root, digests, digest, width, data in zip(*columns):
+        columns = [b.column(c).to_pylist() for c in ("key", "doc_id", "start", "n_tokens", "root", "digests", "digest", "width", "data")]
+        for k, doc_id, start, n_tokens, root, digests, digest, width, data in zip(*columns):
+            if k != key:
+                yield from close()
+                key, held, had = k, [], {}
             if digests is not None:
-                if held:
-                    out.append(close())
-                    size += len(out[-1][2])
-                held, had = {"doc_id": doc_id, "start": start, "n_tokens": n_tokens, "root": root, "digests": digests}, {}
-                if size > BLOCK:
-                    yield batch_of(out)
-                    out, size = [], 0
-            else:
+                held.append((doc_id, start, n_tokens, root, digests))
+            elif digest not in had:
                 if hashlib.sha256(data).digest() != digest:
                     raise ValueError("a chunk does not match its address")
                 had[digest] = np.frombuffer(data, f"<u{width}").astype("<u4")
-    if held:
-        out.append(close())
+    yield from close()
     if out:
         yield batch_of(out)
 
@@ -420,22 +466,24 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_store(spark, folder: str) -> DataFrame:
     """doc_id, start and ids (little-endian unsigned 32-bit integers) of each document, checked against the hashes.
 
-    The recipes are checked against segments and manifest at once, the rest as rows are read. A chunk goes straight to the first document that has it; only chunks of several documents are joined with the
-    recipes of the others.
+    The recipes are checked against segments and manifest at once, the rest as rows are read.
     """
     recipes = spark.read.parquet(f"{folder}/recipes")
-    chunks = spark.read.parquet(f"{folder}/chunks")
+    chunks = _objects(spark, folder, "chunk", "key long, digest binary, n_docs long, width int, data binary, kind string")
     kind = recipes.schema["doc_id"].dataType.simpleString()
-    heads = recipes.select("place", "doc_id", "start", "n_tokens", "root", "digests", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("binary").alias("data"))
+    own = ["doc_id", "start", "n_tokens", "root", "digests"]
+    heads = recipes.select("key", *own, F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("binary").alias("data"))
 
     def part(rows: DataFrame) -> DataFrame:
-        none = [F.lit(None).cast(recipes.schema[c].dataType).alias(c) for c in ("doc_id", "start", "n_tokens", "root", "digests")]
-        return rows.select("place", *none, "digest", "width", "data")
+        return rows.select("key", *[F.lit(None).cast(recipes.schema[c].dataType).alias(c) for c in own], "digest", "width", "data")
 
-    shared = chunks.where("n_docs > 1").select("digest", "width", "data", F.col("place").alias("owner"))
-    others = recipes.select("place", F.explode(F.array_distinct("digests")).alias("d")).join(shared, F.col("d") == F.col("digest")).where("place <> owner")
+    uses = chunks.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    many = max(SHARED_BY, uses // SHARERS)
+    shared = chunks.where("n_docs > 1").select("digest", "width", "data", F.col("key").alias("owner"), "n_docs")
+    wanted = recipes.select("key", F.explode(F.array_distinct("digests")).alias("d"))
+    others = joined(wanted, "d", shared, "digest", "n_docs", uses, limit=many).where("key <> owner")
     together = heads.unionByName(part(chunks)).unionByName(part(others))
-    spread = together.repartition("place").sortWithinPartitions("place", F.col("digests").isNull())
+    spread = together.repartition("key").sortWithinPartitions("key", F.col("digests").isNull())
     out = spread.mapInArrow(_joined, f"doc_id {kind}, start long, ids binary")
     try:
         segments, manifest = (spark.read.parquet(f"{folder}/{t}") for t in ("segments", "manifest"))

@@ -357,6 +357,27 @@ def test_bit_estimate(spark):
     assert abs(row.select(neardup.estimated(neardup.differing()).alias("e")).first().e - j) < 0.12
 
 
+def test_blocks_of_a_few_words(spark):
+    """Partitions with fewer words than a shingle has, and with none."""
+    rows = [(0, "a b"), (1, "A  b"), (2, "a"), (3, ""), (4, None), (5, "a b c d"), (6, "a b c d e")]
+    got = spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows), "doc_id")
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.clustered(got).collect()) == brute_components(rows)
+
+
+def test_dedup_judges_rows(spark):
+    """doc_ids that several texts have: each row follows its own text, and of a component one row stays."""
+    a, b = " ".join(W), " ".join(f"other{k} words" for k in range(20))
+    near = " ".join(W[:23] + ["other"])
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, near), (None, a), (None, a), (9, None), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("mark", F.lit(1))
+    out = neardup.deduplicated(spark, docs, "")
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert out.columns == docs.columns
+    nine = [k for k in got if k[0] == 9]
+    assert len(nine) == 1 and got.pop(nine[0]) == 1  # texts without words: of one doc_id one row stays
+    assert got == Counter([(3, a), (5, b), (None, a), (None, a)])
+
+
 def test_dedup_stage(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = neardup.deduplicated(spark, docs, odd)
@@ -386,7 +407,8 @@ def test_store_round_trip(spark, tmp_path):
     for i, ids in sorted(whole_ids(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), i
         start += len(ids)
-    chunks = spark.read.parquet(f"{folder}/chunks")
+    chunks = spark.read.parquet(f"{folder}/objects")
+    assert {r.kind for r in chunks.select("kind").distinct().collect()} == {"chunk"}
     assert chunks.count() == chunks.select("digest").distinct().count()
     manifest = spark.read.parquet(f"{folder}/manifest").first()
     assert manifest.n_tokens == start and manifest.n_docs == len(rows)
@@ -395,20 +417,23 @@ def test_store_round_trip(spark, tmp_path):
 def test_store_notices_damage(spark, tmp_path):
     folder = f"file://{tmp_path}/s"
     store.write_store(spark.createDataFrame([(1, "some words"), (2, "other words")], "doc_id long, text string"), folder, store.tokenizer_path())
-    chunks = spark.read.parquet(f"{folder}/chunks").withColumn("data", F.when(F.col("place") == 0, F.unhex(F.lit("00000000"))).otherwise(F.col("data")))
-    scratch.written(chunks, "damaged")[0].write.parquet(f"file://{tmp_path}/t/chunks")
-    spark.read.parquet(f"{folder}/recipes").write.parquet(f"file://{tmp_path}/t/recipes")
-    with pytest.raises(Exception, match="address"):
-        store.read_store(spark, f"file://{tmp_path}/t").collect()
+    chunks = spark.read.parquet(f"{folder}/objects")
+    least = chunks.agg(F.min("key")).first()[0]
+    for k, damaged in enumerate((chunks.withColumn("data", F.when(F.col("key") == least, F.unhex(F.lit("00000000"))).otherwise(F.col("data"))), chunks.where(F.col("key") != least))):
+        damaged.write.partitionBy("kind").parquet(f"file://{tmp_path}/t{k}/objects")
+        spark.read.parquet(f"{folder}/recipes").write.parquet(f"file://{tmp_path}/t{k}/recipes")
+        with pytest.raises(Exception, match="address"):
+            store.read_store(spark, f"file://{tmp_path}/t{k}").collect()
 
 
-def test_store_notices_what_is_missing(spark, tmp_path):
+def test_store_notices_what_is_missing(spark, tmp_path, monkeypatch):
     """Recipes, segments and manifest are compared: lost, repeated or moved documents, lost segments, other counts."""
     folder = f"file://{tmp_path}/s"
     rows = [(None, "no id"), *[(k, f"some words {k} " * (k + 1)) for k in range(40)]]
+    monkeypatch.setattr(store, "SEGMENT_DOCS", 10)
     store.write_store(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, store.tokenizer_path())
     assert store.read_store(spark, folder).count() == len(rows)
-    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in ("recipes", "chunks", "segments", "manifest")}
+    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in ("recipes", "objects", "segments", "manifest")}
     gone = F.col("doc_id").eqNullSafe(F.lit(39))
     damage = [
         ("recipes", lambda t: t.where(~gone)),
@@ -428,11 +453,66 @@ def test_store_notices_what_is_missing(spark, tmp_path):
     for k, (name, change) in enumerate(damage):
         for t, df in tables.items():
             if t != name or change:
-                (change(df) if t == name else df).coalesce(1).write.parquet(f"file://{tmp_path}/t{k}/{t}")
+                (change(df) if t == name else df).coalesce(1).write.partitionBy(*(["kind"] if t == "objects" else [])).parquet(f"file://{tmp_path}/t{k}/{t}")
         with pytest.raises(ValueError):
             store.read_store(spark, f"file://{tmp_path}/t{k}").collect()
 
 
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("many", [1000, 1])
+def test_store_of_repeated_rows(spark, tmp_path, monkeypatch, many):
+    """Rows that repeat a doc_id, with one text and with several; long words that a polynomial hash confuses; chunks
+    that many documents share, by broadcast and by join."""
+    monkeypatch.setattr(store, "SHARED_BY", many)
+    rows = [(8, LONG), (8, LONG), (8, "other"), (None, ""), (None, None), (None, "x"), (9, None), (10, "")]
+    rows += [(20 + k, thue_morse(n, *ab)) for k, (n, ab) in enumerate((n, ab) for n in (1024, 8192) for ab in ("ab", "ba"))] + [(30 + k, "") for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = store.digests(docs.repartition(3), f"file://{tmp_path}/s", store.tokenizer_path()).collect()
+    want = Counter((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, ids in whole_ids(rows))
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+
+
+def test_words_with_one_hash(monkeypatch):
+    """Where hashes meet, ids still come from the bytes."""
+    import pyarrow as pa
+
+    from rasterloom.llm import textblocks as tb
+
+    exact = tb.hash_spans
+    monkeypatch.setattr(tb, "hash_spans", lambda *a, **k: exact(*a, **k) % np.uint64(5))
+    e = store.Encoder(store.tokenizer_path())
+    for texts in (["one two three four five six seven", "eight"], ["one"], ["two"], ["three"]):
+        block = next(tb.blocks(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})])))
+        ids, at = e.encode(block)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [x for _, x in whole_ids(list(enumerate(texts)))]
+
+
+def test_word_hashes_of_regular_words(spark):
+    """Thue-Morse words differ from their mirror images; long words and words across pieces have one hash everywhere."""
+    from rasterloom.llm import textblocks as tb
+
+    for n in (1024, 2048, 4096, 8192):
+        assert tb.hash_word(thue_morse(n, "a", "b").encode()) != tb.hash_word(thue_morse(n, "b", "a").encode())
+    giant = b"xyz" * 500_000  # longer than a piece
+    a, b = tb.words_of([b"aa bb " + giant + b" cc", giant + b" cc aa"])
+    assert a[2] == b[0] == tb.hash_word(giant) and a[3] == b[1] and a[0] == b[2]
+    # two documents of different words are not equal, and hits are those of the words
+    pairs = [(k, " ".join(thue_morse(1024, *ab) for _ in range(2))) for k, ab in enumerate(("ab", "ba"))]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert {r.component_id for r in neardup.clustered(docs).collect()} == {0, 1}
+    bench = spark.createDataFrame([(0, pairs[0][1])], "item_id long, text string")
+    assert {r.doc_id: r.n_hit for r in decontam.contamination(docs, bench).collect()} == {0: 2, 1: 0}
+    assert {r.doc_id: r.n_known for r in lm.scored(docs, F.when(F.col("doc_id") == 0, lm.RETAINED).otherwise(lm.HELD)).collect()} == {0: 3, 1: 1}
+
+
 def test_cuts_follow_the_content():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 49000, 20000).astype(np.uint32)
