@@ -44,14 +44,16 @@ def deaugmented(mode: str, row: Column, col: Column, height: Column, width: Colu
     raise ValueError(f"unknown augmentation {mode}")
 
 
-def windowed(image: DataFrame, height: int, width: int, tile: int, overlap: int) -> DataFrame:
+def windowed(image: DataFrame, height: int, width: int, tile: int, overlap: int, box: tuple[int, int] | None = None) -> DataFrame:
     """Each pixel once for each window that covers it: y, x, h, w and the place inside, wr and wc. Repeated windows repeat.
 
-    A pixel's windows follow from its place, so no join is needed.
+    A pixel's windows follow from its place, so no join is needed. box: only windows that meet these rows and columns.
     """
     ys = grid.window_starts(F.lit(height), tile, overlap)
     xs = grid.window_starts(F.lit(width), tile, overlap)
     h, w = min(tile, height), min(tile, width)
+    if box is not None:
+        ys, xs = F.filter(ys, lambda y: (y < box[1]) & (y + h > box[0])), F.filter(xs, lambda x: (x < box[1]) & (x + w > box[0]))
     rows = image.select("*", F.explode(F.filter(ys, lambda y: (F.col("row") >= y) & (F.col("row") < y + h))).alias("y"))
     both = rows.select("*", F.explode(F.filter(xs, lambda x: (F.col("col") >= x) & (F.col("col") < x + w))).alias("x"))
     return both.select("*", F.lit(h).alias("h"), F.lit(w).alias("w"), (F.col("row") - F.col("y")).alias("wr"), (F.col("col") - F.col("x")).alias("wc"))

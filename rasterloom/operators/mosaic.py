@@ -32,10 +32,34 @@ def checked(meta: DataFrame, tolerance: float = 1e-3, resample: bool = False) ->
     fault = F.when(F.col("crs") != F.col("ref_crs"), "CRS").when(F.col("band_count") != F.col("ref_band_count"), "band count")
     if not resample:
         fault = F.coalesce(fault, F.when(wide, F.lit("resolution")))
+    # needs_resample is known wherever there is no fault
     guard = F.when(fault.isNotNull(), F.raise_error(F.concat(F.col("path"), F.lit(": another "), fault)).cast("boolean"))
     return both.withColumn("needs_resample", F.coalesce(guard, wide)).withColumn("dtype_differs", F.col("dtype") != F.col("ref_dtype"))
 
 
+def verified(meta: DataFrame, tolerance: float = 1e-3, resample: bool = False) -> tuple[int, int]:
+    """How many tiles need resampling and how many have another data type; raises what `checked` raises. One aggregate
+    over all rows, so that no fault is skipped."""
+    return tuple(checked(meta, tolerance, resample).agg(F.count_if("needs_resample"), F.count_if("dtype_differs")).first())
+
+
+def on_grid(pixels: DataFrame, meta: DataFrame, tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame]:
+    """The pixels and meta with the tiles of another resolution brought to the mosaic's by nearest neighbour."""
+    both = checked(meta, tolerance, resample=True)
+    size = lambda d, r: F.bround(d / r, 0).cast("int")
+    odd = both.where("needs_resample").select(
+        "tile_id", F.col("width").alias("from_width"), F.col("height").alias("from_height"), size(F.col("right") - F.col("left"), F.col("ref_a")).alias("to_width"), size(F.col("top") - F.col("bottom"), -F.col("ref_e")).alias("to_height")
+    )
+    cells = odd.select("*", F.explode(F.expr("sequence(0, to_height - 1)")).alias("row")).select("*", F.explode(F.expr("sequence(0, to_width - 1)")).alias("col"))
+    source = lambda k, have, want: F.least(F.floor((F.col(k) + 0.5) * F.col(have) / F.col(want)).cast("int"), F.col(have) - 1)
+    at = cells.select("tile_id", "row", "col", source("row", "from_height", "to_height").alias("srow"), source("col", "from_width", "to_width").alias("scol"))
+    src = pixels.select(F.col("tile_id").alias("of"), F.col("row").alias("r"), F.col("col").alias("c"), "value")
+    resampled = at.join(src, (F.col("tile_id") == F.col("of")) & (F.col("srow") == F.col("r")) & (F.col("scol") == F.col("c"))).select("tile_id", "row", "col", "value")
+    ids = odd.select("tile_id")
+    grids = both.withColumns({"a": F.when(F.col("needs_resample"), F.col("ref_a")).otherwise(F.col("a")), "e": F.when(F.col("needs_resample"), F.col("ref_e")).otherwise(F.col("e"))})
+    return pixels.join(ids, "tile_id", "left_anti").select("tile_id", "row", "col", "value").unionByName(resampled), grids.select(*meta.columns)
+
+
 def placed(meta: DataFrame, mosaic: DataFrame | None = None) -> DataFrame:
     """tile_id, path, and where the tile's corner lies in the mosaic: row0, col0, rows, cols."""
     box = (extent(meta) if mosaic is None else mosaic).select(F.col("left").alias("m_left"), F.col("top").alias("m_top"), "ref_a", "ref_e")
@@ -100,11 +124,6 @@ def filled(mosaic: DataFrame, height: int, width: int, fill: int) -> DataFrame:
     return cells.join(mosaic, ["grow", "gcol"], "left").withColumn("value", F.coalesce("value", F.lit(fill)).cast("smallint"))
 
 
-def overlaps(a: tuple[Column, Column, Column, Column], b: tuple[Column, Column, Column, Column]) -> Column:
-    """Whether half-open rectangles (row from, row to, col from, col to) meet."""
-    return (a[0] < b[1]) & (a[1] > b[0]) & (a[2] < b[3]) & (a[3] > b[2])
-
-
 def tile_blocks(places: DataFrame, block: int = 2048) -> DataFrame:
     """Each tile with every block of the mosaic that it meets, and the rectangle they share.
 
@@ -125,6 +144,22 @@ def tile_blocks(places: DataFrame, block: int = 2048) -> DataFrame:
     )
 
 
+def blocks(mosaic: DataFrame, extent_row, name: str, block: int, fill: int) -> tuple[DataFrame, DataFrame]:
+    """The mosaic cut into rasters of at most block x block pixels: pixels (tile_id, row, col, value) and the grid of
+    each (tile_id, x0, y1, a, e, width, height, crs). extent_row: what `extent` gives. Blocks without a pixel are there."""
+    e = extent_row
+    spark = mosaic.sparkSession
+    edge = lambda n, k: F.least(F.lit(n) - F.col(k) * block, F.lit(block)).cast("int")
+    grid_ = spark.range(-(-e.height // block)).select(F.col("id").alias("br")).crossJoin(spark.range(-(-e.width // block)).select(F.col("id").alias("bc")))
+    label = F.concat_ws("_", F.lit(name), F.col("br").cast("string"), F.col("bc").cast("string"))
+    grids = grid_.select(label.alias("tile_id"), (F.lit(e.left) + F.col("bc") * block * F.lit(e.ref_a)).alias("x0"), (F.lit(e.top) + F.col("br") * block * F.lit(e.ref_e)).alias("y1"), F.lit(e.ref_a).alias("a"), F.lit(e.ref_e).alias("e"), edge(e.width, "bc").alias("width"), edge(e.height, "br").alias("height"), F.lit(e.ref_crs).alias("crs"))
+    own = mosaic.withColumns({"br": F.floor(F.col("grow") / block), "bc": F.floor(F.col("gcol") / block)})
+    inner = own.select(label.alias("tile_id"), (F.col("grow") - F.col("br") * block).cast("int").alias("row"), (F.col("gcol") - F.col("bc") * block).cast("int").alias("col"), "value")
+    corners = grids.select("tile_id", F.lit(0).alias("row"), F.lit(0).alias("col"))  # so that empty blocks are written, too
+    missing = corners.join(inner, ["tile_id", "row", "col"], "left_anti").withColumn("value", F.lit(fill).cast(mosaic.schema["value"].dataType))
+    return inner.unionByName(missing), grids
+
+
 def write(mosaic: DataFrame, path: str, block: int = 512, mode: str = "errorifexists") -> None:
     """The mosaic as Parquet, laid out by blocks; an existing output is an error unless mode says otherwise."""
     keyed = mosaic.withColumn("block_row", F.floor(F.col("grow") / block).cast("int")).withColumn("block_col", F.floor(F.col("gcol") / block).cast("int"))

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterloom.functions import classes, pixels
 from rasterloom.operators import blend
 
 
+def _digits(n: int, *parts) -> Column:
+    """The first n hexadecimal digits of a digest of the parts, as a number."""
+    return F.conv(F.substring(F.md5(F.concat_ws("#", *parts).cast("binary")), 1, n), 16, 10).cast("long")
+
+
 def sampled(tiles: DataFrame, patch: int = 512, per_tile: int = 100, seed: int = 0) -> DataFrame:
     """per_tile corners (y, x) of each tile (tile_id, height, width) larger than the patch, uniform and repeatable."""
     big = tiles.where((F.col("height") > patch) & (F.col("width") > patch))
     each = big.select("*", F.explode(F.sequence(F.lit(1), F.lit(per_tile))).alias("n"))
-    part = lambda salt: F.pmod(F.xxhash64("tile_id", "n", F.lit(seed), F.lit(salt)), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    part = lambda salt: _digits(8, "tile_id", "n", F.lit(seed), F.lit(salt)) / F.lit(float(1 << 32))
     return each.withColumn("patch_id", F.concat_ws("#", "tile_id", "n")).withColumn("y", F.floor(part(1) * (F.col("height") - patch)).cast("int")).withColumn("x", F.floor(part(2) * (F.col("width") - patch)).cast("int"))
 
 
@@ -23,7 +28,7 @@ def too_small(tiles: DataFrame, patch: int = 512) -> DataFrame:
 
 def draws(patches: DataFrame, seed: int = 0) -> DataFrame:
     """hflip, vflip and quarter turns (0 to 3) of each patch."""
-    bits = F.pmod(F.xxhash64("patch_id", F.lit(seed), F.lit(7)), F.lit(16))
+    bits = _digits(1, "patch_id", F.lit(seed), F.lit(7))
     return patches.withColumn("hflip", (bits % 2) == 1).withColumn("vflip", (F.floor(bits / 2) % 2) == 1).withColumn("turns", F.floor(bits / 4).cast("int"))
 
 

@@ -5,7 +5,7 @@ A catalogue: split, tile_id, orthophoto, classification_map, url.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import names
@@ -48,15 +48,20 @@ def neighbours(tiles: DataFrame, step: int = 5) -> DataFrame:
     return asked.join(other, ["nx", "ny"], "left").select("tx", "ty", "tile_id", "place", "ri", "ci", "neighbour")
 
 
-def context_mosaic(around: DataFrame, pixels: DataFrame, size: int, bands: list[str], dense: bool = False) -> DataFrame:
-    """Pixels of each centre tile's 3 x 3 mosaic: tile_id, mrow, mcol and bands; dense: missing ones as 0."""
+def context_mosaic(around: DataFrame, pixels: DataFrame, size: int, bands: list[str], dense: bool = False, reach: int | None = None) -> DataFrame:
+    """Pixels of each centre tile's 3 x 3 mosaic: tile_id, mrow, mcol and bands; dense: missing ones as 0; reach: only
+    those at most so many pixels from the centre tile."""
     have = around.where("neighbour IS NOT NULL").select("tile_id", "ri", "ci", "neighbour")
     p = pixels.select(F.col("tile_id").alias("neighbour"), "row", "col", *bands)
     out = have.join(p, "neighbour").select("tile_id", (F.col("row") + F.col("ri") * size).cast("int").alias("mrow"), (F.col("col") + F.col("ci") * size).cast("int").alias("mcol"), *bands)
+    low, high = (0, 3 * size - 1) if reach is None else (max(0, size - reach), min(3 * size, 2 * size + reach) - 1)
+    if reach is not None:
+        out = out.where(F.col("mrow").between(low, high) & F.col("mcol").between(low, high))
     if not dense:
         return out
     centres = around.where("place = 'C' AND neighbour IS NOT NULL").select("tile_id")
-    cells = centres.select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(3 * size - 1))).alias("mrow")).select("tile_id", "mrow", F.explode(F.sequence(F.lit(0), F.lit(3 * size - 1))).alias("mcol"))
+    line = F.sequence(F.lit(low), F.lit(high))
+    cells = centres.select("tile_id", F.explode(line).alias("mrow")).select("tile_id", "mrow", F.explode(line).alias("mcol"))
     return cells.join(out, ["tile_id", "mrow", "mcol"], "left").select("tile_id", "mrow", "mcol", *[F.coalesce(b, F.lit(0)).alias(b) for b in bands])
 
 
@@ -71,9 +76,3 @@ def predictions_by_split(files: DataFrame) -> DataFrame:
     parts = F.split("path", "/")
     named = files.where(names.basename(F.col("path")).rlike(r"^prediction_.*\.tif$"))
     return named.groupBy(F.element_at(parts, -2).alias("split")).agg(F.count("*").alias("n"))
-
-
-def last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key; a helper for small tables."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

@@ -367,10 +367,17 @@ def manifest_parse(spark, d):
     return manifest.parsed(manifest.manifest_text(A.catalogue(spark, d), "position"))
 
 
-@query("SELECT 'test' AS split, regexp_extract(u, 'LHD_FXX_(\\d+)_(\\d+)_', 1) || '_' || regexp_extract(u, 'LHD_FXX_(\\d+)_(\\d+)_', 2) AS tile_id, 'test/orthophoto_' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') || '_' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') || '.tif' AS orthophoto, 'test/classification_map_' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') || '_' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') || '.tif' AS classification_map, u AS url FROM (SELECT *, 'http://x.example.com/LHD_FXX_' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') || '_' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') || '_PTS.laz' AS u FROM customer WHERE c_custkey < 10000)")
+_BLOCK = "lpad(CAST(c_custkey AS VARCHAR), 12, '0') || '_' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0')"
+
+
+@query(
+    f"""SELECT 'test' AS split, regexp_extract(u, 'LHD_FXX_(\\d+)_(\\d+)_', 1) || '_' || regexp_extract(u, 'LHD_FXX_(\\d+)_(\\d+)_', 2) AS tile_id,
+       'test/orthophoto_' || {_BLOCK} || '.tif' AS orthophoto, 'test/classification_map_' || {_BLOCK} || '.tif' AS classification_map, u AS url
+FROM (SELECT *, 'http://x.example.com/LHD_FXX_' || {_BLOCK} || '_PTS.laz' AS u FROM customer)"""
+)
 def manifest_entries(spark, d):
-    c = A.table(spark, d, "customer").where("c_custkey < 10000")  # four digits are the pattern's width
-    url = F.concat(F.lit("http://x.example.com/LHD_FXX_"), F.lpad(F.col("c_custkey").cast("string"), 4, "0"), F.lit("_"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"), F.lit("_PTS.laz"))
+    c = A.table(spark, d, "customer")
+    url = F.concat(F.lit("http://x.example.com/LHD_FXX_"), F.lpad(F.col("c_custkey").cast("string"), 12, "0"), F.lit("_"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"), F.lit("_PTS.laz"))
     return tiles.entries(c.select(url.alias("url")), "test")
 
 
@@ -444,7 +451,10 @@ def _tile_bands(spark, d):
     return cells.withColumn("v", (F.substring("tile_id", 1, 4).cast("int") * 10 + F.substring("tile_id", 6, 4).cast("int") + F.col("row") * 2 + F.col("col")).cast("int"))
 
 
-_MOSAIC = f"{_NEAR}, cell AS (SELECT tile_id, mr, mc FROM nb, range(6) a(mr), range(6) b(mc) WHERE place = 'C'), mos AS (SELECT c.tile_id, mr, mc, CASE WHEN nb.neighbour IS NULL THEN 0 ELSE CAST(substr(nb.neighbour, 1, 4) AS INTEGER) * 10 + CAST(substr(nb.neighbour, 6, 4) AS INTEGER) + mr % 2 * 2 + mc % 2 END AS v FROM cell c JOIN nb ON nb.tile_id = c.tile_id AND ri = mr // 2 AND ci = mc // 2)"
+# each neighbour gives its own cells of the mosaic
+_MOSAIC = f"""{_NEAR}, mos AS (
+  SELECT tile_id, ri * 2 + r AS mr, ci * 2 + c AS mc, CASE WHEN neighbour IS NULL THEN 0 ELSE CAST(substr(neighbour, 1, 4) AS INTEGER) * 10 + CAST(substr(neighbour, 6, 4) AS INTEGER) + r * 2 + c END AS v
+  FROM nb, (VALUES (0), (1)) a(r), (VALUES (0), (1)) b(c))"""
 
 
 @query(f"WITH {_MOSAIC} SELECT tile_id, CAST(mr AS INTEGER) AS mrow, CAST(mc AS INTEGER) AS mcol, CAST(v AS INTEGER) AS v FROM mos")
@@ -577,10 +587,22 @@ def polygon_areas(spark, d):
     return polys.select("component_id", "class", F.abs(F.aggregate(F.transform("rings", vector.area), F.lit(0.0), lambda a, x: a + x)).alias("area"))
 
 
-@query()
+# corners of regions by the 2 x 2 windows around them: one or three pixels turn once, two diagonal ones twice
+_QUADS = """q AS (SELECT component_id, row + a AS wr, col + b AS wc, count(*) AS n, sum(CASE WHEN a = b THEN 1 ELSE 0 END) AS s FROM cp, (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b) GROUP BY ALL),
+k AS (SELECT component_id, count(*) FILTER (n = 1) AS q1, count(*) FILTER (n = 3) AS q3, count(*) FILTER (n = 2 AND s IN (0, 2)) AS qd FROM q GROUP BY component_id),
+sums AS (SELECT component_id, min(v) AS class, count(*) AS area FROM cp GROUP BY component_id)"""
+
+
+@query(f"WITH {_components_sql(False)}, {_QUADS} SELECT CAST(class AS INTEGER) AS vegetation_class, CAST(2 - (q1 - q3 + 2 * qd) // 4 AS INTEGER) AS n_rings, CAST(q1 + q3 + 2 * qd + 2 - (q1 - q3 + 2 * qd) // 4 AS INTEGER) AS n_points, CAST(area AS DOUBLE) AS area FROM sums JOIN k USING (component_id)")
 def polygon_geojson(spark, d):
-    polys = vector.polygons(vector.components(_classes(spark, d))).withColumn("rings", vector.to_map(F.col("rings"), 0.0, 0.0, 0.8, -0.8))
-    return vector.geojson(polys, field="vegetation_class")
+    """Features are written as text and parsed again."""
+    polys = vector.polygons(vector.components(_classes(spark, d), block=8), block=8).withColumn("rings", vector.to_map(F.col("rings"), 0.0, 0.0, 0.8, -0.8))
+    features = vector.geojson(polys, field="vegetation_class")
+    f = features.select(F.from_json("value", "type STRING, properties STRUCT<vegetation_class: INT>, geometry STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>").alias("f")).select("f.*").where("type = 'Feature' AND geometry.type = 'Polygon'")
+    rings = F.transform(F.col("geometry.coordinates"), lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
+    areas = F.aggregate(F.transform(rings, vector.area), F.lit(0.0), lambda a, x: a + x)
+    points = F.aggregate(F.col("geometry.coordinates"), F.lit(0), lambda a, ring: a + F.size(ring))
+    return f.select("properties.vegetation_class", F.size("geometry.coordinates").alias("n_rings"), points.alias("n_points"), F.round(F.abs(areas) / 0.64, 6).alias("area"))
 
 
 def _square(spark, d):
@@ -651,7 +673,11 @@ def _sizes(spark, d):
     return A.table(spark, d, "nation").select(F.col("n_name").alias("tile_id"), (F.col("n_nationkey") * 40).alias("height"), F.lit(700).alias("width"))
 
 
-@query()
+_DRAW = "CAST('0x' || substr(md5(tile_id || '#' || n || '#0#' || {0}), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query(f"""WITH e AS (SELECT n_name AS tile_id, n_nationkey * 40 AS height, 700 AS width, unnest(generate_series(1, 20)) AS n FROM nation WHERE n_nationkey * 40 > 512)
+SELECT tile_id || '#' || n AS patch_id, tile_id, CAST(floor({_DRAW.format(1)} * (height - 512)) AS INTEGER) AS y, CAST(floor({_DRAW.format(2)} * (width - 512)) AS INTEGER) AS x FROM e""")
 def patch_sample(spark, d):
     return patches.sampled(_sizes(spark, d), 512, 20).select("patch_id", "tile_id", "y", "x")
 
@@ -661,12 +687,22 @@ def patches_too_small(spark, d):
     return patches.too_small(_sizes(spark, d))
 
 
-@query()
+_BANDS = ", ".join(f"round((l[{k + 1}] * 100 - {m}) / {s}, 6) AS {b}" for k, (b, m, s) in enumerate(zip("rgb", pixels.MEANS, pixels.DEVIATIONS)))
+
+
+@query(
+    f"""WITH {_DIMS}, e AS (SELECT 't' AS tile_id, h, w, unnest(generate_series(1, 50)) AS n FROM dims WHERE h > 8 AND w > 8),
+p AS (SELECT tile_id || '#' || n AS patch_id, floor({_DRAW.format(1)} * (h - 8)) AS py, floor({_DRAW.format(2)} * (w - 8)) AS px FROM e),
+f AS (SELECT *, CAST('0x' || substr(md5(patch_id || '#0#7'), 1, 1) AS INTEGER) AS bits FROM p),
+c AS (SELECT patch_id, l, target, bits // 4 AS turns, CASE WHEN bits // 2 % 2 = 1 THEN 7 - (row - py) ELSE row - py END AS r, CASE WHEN bits % 2 = 1 THEN 7 - (col - px) ELSE col - px END AS c FROM img JOIN f ON row BETWEEN py AND py + 7 AND col BETWEEN px AND px + 7)
+SELECT patch_id, CAST(CASE turns WHEN 0 THEN r WHEN 1 THEN 7 - c WHEN 2 THEN 7 - r ELSE c END AS INTEGER) AS pr, CAST(CASE turns WHEN 0 THEN c WHEN 1 THEN r WHEN 2 THEN 7 - c ELSE 7 - r END AS INTEGER) AS pc,
+       {_BANDS}, CAST(target AS SMALLINT) AS mask, list_transform(range(4), lambda k: CAST(k = target AS INTEGER)) AS class_mask FROM c"""
+)
 def patch_augment(spark, d):
     img = A.scores(spark, d).select(F.lit("t").alias("tile_id"), "row", "col", (F.col("logits")[0] * 100).alias("r"), (F.col("logits")[1] * 100).alias("g"), (F.col("logits")[2] * 100).alias("b"), F.element_at(F.array(*[F.lit(v) for v in (0, 63, 127, 191)]), F.col("target") + 1).alias("value"))
     size = spark.createDataFrame([("t", A.height(spark, d), A.SIDE)], "tile_id string, height int, width int")
     p = patches.draws(patches.sampled(size, 8, 50))
-    return patches.samples(patches.augmented(patches.pixels_of(p, img, 8), 8))
+    return _rounded(patches.samples(patches.augmented(patches.pixels_of(p, img, 8), 8)), "r", "g", "b")
 
 
 @query(f"WITH {_DIMS} SELECT count(*) AS n FROM img")

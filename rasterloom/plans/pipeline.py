@@ -19,19 +19,18 @@ def predicted(centres: DataFrame, pixels: DataFrame, size: int, bands: list[str]
     """Stage 3: class maps of tiles (tx, ty, tile_id) by a model that sees each tile's 3 x 3 context.
 
     All tiles go through together: windows, blending and augmentation are keyed by tile. Windows that do not meet the
-    centre are never run; blending is by pixel, so the centre's scores are the same without them.
+    centre are never cut, and of the neighbours only what such windows reach takes part; blending is by pixel, so the
+    centre's scores are the same. `context.predicted` does the same for image files, a task a tile.
     """
     around = tiles.neighbours(centres, step)
-    context = tiles.context_mosaic(around, pixels, size, bands, dense=True).withColumnsRenamed({"mrow": "row", "mcol": "col"})
+    context = tiles.context_mosaic(around, pixels, size, bands, dense=True, reach=tile - 1).withColumnsRenamed({"mrow": "row", "mcol": "col"})
     side = 3 * size
     passes = []
     for mode in ("original", *(modes or ())):
         r, c, _, _ = blend.augmented(mode, F.col("row"), F.col("col"), F.lit(side), F.lit(side))
         turned = context.select("tile_id", r.alias("row"), c.alias("col"), *bands)
-        cut = blend.windowed(turned, side, side, tile, overlap)
         # the centre is the centre in every mode
-        meets = (F.col("y") < 2 * size) & (F.col("y") + F.col("h") > size) & (F.col("x") < 2 * size) & (F.col("x") + F.col("w") > size)
-        scores = model(cut.where(meets))
+        scores = model(blend.windowed(turned, side, side, tile, overlap, (size, 2 * size)))
         inside = F.col("row").between(size, 2 * size - 1) & F.col("col").between(size, 2 * size - 1)
         out = blend.blended(scores.where(inside), classes, overlap, ("tile_id", "row", "col"))
         r, c = blend.deaugmented(mode, F.col("row"), F.col("col"), F.lit(side), F.lit(side))

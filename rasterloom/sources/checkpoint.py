@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.operators import patches
+from rasterloom.sources import files
 
 
-def header(data: bytes) -> list[tuple[str, str, list[int], int]]:
-    """name, type, shape and element count of each tensor."""
-    n, = struct.unpack_from("<Q", data)
+def header(data: bytes | Callable[[int, int], bytes]) -> list[tuple[str, str, list[int], int]]:
+    """name, type, shape and element count of each tensor. data: the file's bytes, or a function that reads a range."""
+    read = data if callable(data) else lambda at, n: data[at : at + n]
+    n, = struct.unpack("<Q", read(0, 8))
     out = []
-    for name, x in json.loads(data[8 : 8 + n]).items():
+    for name, x in json.loads(read(8, n)).items():
         if name != "__metadata__":
             size = 1
             for d in x["shape"]:
@@ -26,12 +29,14 @@ def header(data: bytes) -> list[tuple[str, str, list[int], int]]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """name, dtype, shape, size; loss parameters left out and the wrapper's prefix taken off."""
+    """name, dtype, shape, size; loss parameters left out and the wrapper's prefix taken off. Only headers are read."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for d in f["content"]:
-                yield pd.DataFrame(header(bytes(d)), columns=["name", "dtype", "shape", "size"])
+            for r in f.itertuples():
+                with files.opened(r.path) if near else nullcontext(bytes(r.content)) as data:
+                    yield pd.DataFrame(header(data), columns=["name", "dtype", "shape", "size"])
 
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "name string, dtype string, shape array<long>, size long")
+    near = files.ranged(path)
+    rows = spark.read.format("binaryFile").load(path).select("path", *([] if near else ["content"])).mapInPandas(run, "name string, dtype string, shape array<long>, size long")
     return patches.checkpoint_keys(rows)

@@ -8,15 +8,18 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import nullcontext
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rasterloom.sources import files
+
 # TIFF field types, tags and sample formats.
-_TYPES = {1: "B", 2: "c", 3: "H", 4: "L", 5: "LL", 6: "b", 8: "h", 9: "l", 11: "f", 12: "d"}
+_TYPES = {1: "B", 2: "c", 3: "H", 4: "L", 5: "LL", 6: "b", 8: "h", 9: "l", 11: "f", 12: "d", 16: "Q", 17: "q"}
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIPS, SAMPLES, ROWS, LENGTHS = 256, 257, 258, 259, 262, 273, 277, 278, 279
 PLANAR, PREDICTOR, TILE_W, TILE_H, TILES, TILE_LENGTHS, FORMAT = 284, 317, 322, 323, 324, 325, 339
 SCALE, TIEPOINT, GEOKEYS, NODATA = 33550, 33922, 34735, 42113
@@ -47,27 +50,41 @@ def _lzw(data: bytes) -> bytes:
     return bytes(out)
 
 
-def _tags(data: bytes) -> tuple[str, dict]:
-    order = {b"II": "<", b"MM": ">"}.get(data[:2])
-    if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
+def _tags(read: Callable[[int, int], bytes], skip: tuple[int, ...] = ()) -> tuple[str, dict]:
+    """Byte order and tags of a TIFF or BigTIFF file, by range reads: read(at, n). skip: tags that aren't read."""
+    head = read(0, 16)
+    order = {b"II": "<", b"MM": ">"}.get(head[:2])
+    version = struct.unpack_from(order + "H", head, 2)[0] if order and len(head) >= 8 else 0
+    if version not in (42, 43):
         raise ValueError("not a TIFF file")
-    at, = struct.unpack_from(order + "L", data, 4)
-    n, = struct.unpack_from(order + "H", data, at)
+    big = version == 43
+    word, entry, inline = ("Q", 20, 8) if big else ("L", 12, 4)
+    at, = struct.unpack_from(order + word, head, 8 if big else 4)
+    counted = 8 if big else 2
+    n, = struct.unpack(order + ("Q" if big else "H"), read(at, counted))
+    table = read(at + counted, entry * n)
     tags = {}
     for k in range(n):
-        tag, kind, count = struct.unpack_from(order + "HHL", data, at + 2 + 12 * k)
+        tag, kind, count = struct.unpack_from(order + "HH" + word, table, entry * k)
         code = _TYPES.get(kind)
-        if code is None:
+        if code is None or tag in skip:
             continue
         size = struct.calcsize("=" + code) * count
-        where = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "L", data, at + 10 + 12 * k)[0]
-        tags[tag] = data[where : where + size] if kind == 2 else struct.unpack_from(order + code * count, data, where)
+        body = table[entry * (k + 1) - inline : entry * (k + 1)]
+        if size > inline:
+            body = read(struct.unpack(order + word, body)[0], size)
+        tags[tag] = body[:size] if kind == 2 else struct.unpack(order + code * count, body[:size])
     return order, tags
 
 
-def info(data: bytes) -> dict:
-    """The metadata of a file: x0, y1, a, e, width, height, crs, dtype, band_count, nodata."""
-    order, t = _tags(data)
+def _within(data: bytes) -> Callable[[int, int], bytes]:
+    return lambda at, n: data[at : at + n]
+
+
+def info(data: bytes | Callable[[int, int], bytes]) -> dict:
+    """The metadata of a file: x0, y1, a, e, width, height, crs, dtype, band_count, nodata. data: the file's bytes, or
+    a function that reads a range of them."""
+    order, t = _tags(data if callable(data) else _within(data), skip=(STRIPS, LENGTHS, TILES, TILE_LENGTHS))
     sx, sy = t.get(SCALE, (1.0, 1.0, 0.0))[:2]
     tie = t.get(TIEPOINT, (0.0,) * 6)
     keys = t.get(GEOKEYS, ())
@@ -82,7 +99,7 @@ def info(data: bytes) -> dict:
 
 def decode(data: bytes) -> np.ndarray:
     """All bands, (bands, height, width)."""
-    order, t = _tags(data)
+    order, t = _tags(_within(data))
     h, w, bands = t[HEIGHT][0], t[WIDTH][0], t.get(SAMPLES, (1,))[0]
     kind = np.dtype(order + _KINDS[(t[BITS][0], t.get(FORMAT, (1,))[0])])
     tiled = TILES in t
@@ -155,12 +172,19 @@ def _binary(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
+    """The metadata of all files; only their headers are read where they lie, if tasks can reach them."""
+    near = files.ranged(path)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [{"tile_id": t, "path": p, **info(bytes(d))} for p, t, d in zip(f["path"], f["tile_id"], f["content"])]
+            rows = []
+            for r in f.itertuples():
+                with files.opened(r.path) if near else nullcontext(bytes(r.content)) as data:
+                    rows.append({"tile_id": r.tile_id, "path": r.path, **info(data)})
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in META.split(", ")])
 
-    return _binary(spark, path, pattern).mapInPandas(run, META)
+    found = _binary(spark, path, pattern)
+    return (found.drop("content") if near else found).mapInPandas(run, META)
 
 
 def read(spark: SparkSession, path: str, bands: tuple[int, ...] = (1,), names: tuple[str, ...] = ("value",), pattern: str = "*.tif") -> DataFrame:
@@ -183,10 +207,34 @@ def read(spark: SparkSession, path: str, bands: tuple[int, ...] = (1,), names: t
     return _binary(spark, path, pattern).mapInPandas(run, schema)
 
 
-def write(raster: DataFrame, meta: DataFrame, folder: str, bands: tuple[str, ...] = ("value",), dtype: str = "uint8", prefix: str = "", nodata: float | None = None, fill: int = 0) -> DataFrame:
-    """A GeoTIFF for each tile, named prefix + tile_id; returns tile_id and path. A tile's raster is one group, as its file is one file."""
+def _saved(folder: str, name: str, data: bytes) -> str:
+    """Writes a file in the folder; its path."""
     import pyarrow.fs as pafs
 
+    fs, base = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+    fs.create_dir(base, recursive=True)
+    path = f"{base}/{name}"
+    with fs.open_output_stream(path) as out:
+        out.write(data)
+    return path
+
+
+def write_rasters(rasters: DataFrame, folder: str, prefix: str = "", nodata: float | None = None) -> DataFrame:
+    """A GeoTIFF for each row (tile_id, x0, y1, a, e, crs, height, width, values: bytes by row); tile_id and path."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for r in f.itertuples():
+                cube = np.frombuffer(r.values, np.uint8).reshape(1, r.height, r.width)
+                rows.append((r.tile_id, _saved(folder, f"{prefix}{r.tile_id}.tif", encode(cube, r.x0, r.y1, r.a, r.e, r.crs, nodata))))
+            yield pd.DataFrame(rows, columns=["tile_id", "path"])
+
+    return rasters.mapInPandas(run, "tile_id string, path string")
+
+
+def write(raster: DataFrame, meta: DataFrame, folder: str, bands: tuple[str, ...] = ("value",), dtype: str = "uint8", prefix: str = "", nodata: float | None = None, fill: int = 0) -> DataFrame:
+    """A GeoTIFF for each tile, named prefix + tile_id; returns tile_id and path. A tile's raster is one group, as its file is one file."""
     m = meta.select(F.col("tile_id").alias("of"), "x0", "y1", "a", "e", "width", "height", "crs")
     joined = raster.select("tile_id", "row", "col", *bands).join(m, F.col("tile_id") == F.col("of")).drop("of")
 
@@ -195,11 +243,7 @@ def write(raster: DataFrame, meta: DataFrame, folder: str, bands: tuple[str, ...
         cube = np.full((len(bands), int(f["height"]), int(f["width"])), fill, dtype)
         for k, b in enumerate(bands):
             cube[k, pdf["row"].to_numpy(), pdf["col"].to_numpy()] = pdf[b].to_numpy()
-        fs, base = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
-        fs.create_dir(base, recursive=True)
-        path = f"{base}/{prefix}{f['tile_id']}.tif"
-        with fs.open_output_stream(path) as out:
-            out.write(encode(cube, f["x0"], f["y1"], f["a"], f["e"], f["crs"], nodata))
+        path = _saved(folder, f"{prefix}{f['tile_id']}.tif", encode(cube, f["x0"], f["y1"], f["a"], f["e"], f["crs"], nodata))
         return pd.DataFrame({"tile_id": [f["tile_id"]], "path": [path]})
 
     return joined.groupBy("tile_id").applyInPandas(run, "tile_id string, path string")

@@ -42,7 +42,7 @@ def mosaic(state: DataFrame) -> DataFrame:
 
 
 def compact(spark: SparkSession, folder: str, to: str) -> None:
-    """All versions as one, in a new folder, batch 0."""
+    """All versions as one, in a new folder, as batch -1, which no stream writes: one that starts there adds to it."""
     state = read_state(spark, folder)
     if state is not None:
-        state.write.mode("overwrite").parquet(f"{to}/batch=0")
+        state.write.mode("overwrite").parquet(f"{to}/batch=-1")

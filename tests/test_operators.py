@@ -217,6 +217,52 @@ def test_polygon_with_a_hole(spark):
     assert all('"Polygon"' in r.value for r in text)
 
 
+def traced(cells):
+    """Rings of one component by walking its sides; cells: a set of (row, col)."""
+    sides = {}
+    for r, c in cells:
+        for dr, dc, a, b, x, y in ((-1, 0, 0, 0, 0, 1), (0, 1, 0, 1, 1, 1), (1, 0, 1, 1, 1, 0), (0, -1, 1, 0, 0, 0)):
+            if (r + dr, c + dc) not in cells:
+                sides.setdefault((r + a, c + b), []).append((r + x, c + y))
+    found = []
+    while sides:
+        at = start = min(sides)
+        way, ring = None, []
+        while True:
+            options = sides[at]
+            to = options[0] if len(options) == 1 or way is None else (at[0] + way[1], at[1] - way[0])
+            options.remove(to)
+            if not options:
+                del sides[at]
+            step = (to[0] - at[0], to[1] - at[1])
+            if step != way:
+                ring.append(at)
+            at, way = to, step
+            if at == start:
+                break
+        found.append(tuple([*ring, start]))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("block,eight", [(3, False), (256, False), (4, True)])
+def test_rings_by_block(spark, monkeypatch, block, eight):
+    """Chains of small blocks, over several levels, against rings walked at once; with gaps in the raster."""
+    import numpy as np
+
+    monkeypatch.setattr(vector, "LARGER", 2)
+    rng = np.random.default_rng(block)
+    rows = [(int(r) + 5, int(c) + 2, int(v)) for (r, c), v in np.ndenumerate(rng.choice([1, 1, 1, 2, 3], (17, 23))) if v != 3]
+    rows += [(40, 40, 1)]
+    own = vector.components(spark.createDataFrame(rows, "grow int, gcol int, value int"), eight, block=block)
+    cells = {}
+    for r in own.collect():
+        cells.setdefault(r.component_id, set()).add((r.grow, r.gcol))
+    got = {r.component_id: [tuple((int(p.r), int(p.c)) for p in ring) for ring in r.rings] for r in vector.polygons(own, block).collect()}
+    assert got == {k: traced(v) for k, v in cells.items()}
+    for k, polygon in got.items():
+        assert polygon[0][0] == min(p for ring in polygon for p in ring)
+
+
 def test_components_of_a_long_line(spark):
     line = spark.createDataFrame([(0, c, 1) for c in range(200)], "grow int, gcol int, value int")
     assert vector.regions(vector.components(line, block=4)).collect()[0].n_pixels == 200
