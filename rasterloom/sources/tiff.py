@@ -171,6 +171,11 @@ def _binary(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.tif$", "").alias("tile_id"), "content")
 
 
+def contents(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
+    """path, tile_id and content of all files."""
+    return _binary(spark, path, pattern)
+
+
 def metadata(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
     """The metadata of all files; only their headers are read where they lie, if tasks can reach them."""
     near = files.ranged(path)
@@ -219,6 +224,20 @@ def _saved(folder: str, name: str, data: bytes) -> str:
     return path
 
 
+def write_vrt(parts: list, extent, path: str, nodata: float | None = None) -> str:
+    """A virtual raster over the blocks of a mosaic. parts: rows of path, x0, y1, width, height; extent: of the whole."""
+    from xml.sax.saxutils import escape
+
+    missing = "" if nodata is None else f"<NoDataValue>{nodata:g}</NoDataValue>"
+    lines = [f'<VRTDataset rasterXSize="{extent.width}" rasterYSize="{extent.height}">', f"<SRS>{escape(extent.ref_crs or '')}</SRS>", f"<GeoTransform>{extent.left}, {extent.ref_a}, 0, {extent.top}, 0, {extent.ref_e}</GeoTransform>", f'<VRTRasterBand dataType="Byte" band="1">{missing}']
+    for p in parts:
+        col, row = round((p.x0 - extent.left) / extent.ref_a), round((p.y1 - extent.top) / extent.ref_e)
+        size = f'xSize="{p.width}" ySize="{p.height}"'
+        lines.append(f'<SimpleSource><SourceFilename relativeToVRT="1">{escape(p.path.rsplit("/", 1)[-1])}</SourceFilename><SourceBand>1</SourceBand><SrcRect xOff="0" yOff="0" {size}/><DstRect xOff="{col}" yOff="{row}" {size}/></SimpleSource>')
+    folder, _, name = path.rpartition("/")
+    return _saved(folder or ".", name, "\n".join([*lines, "</VRTRasterBand>", "</VRTDataset>"]).encode())
+
+
 def write_rasters(rasters: DataFrame, folder: str, prefix: str = "", nodata: float | None = None) -> DataFrame:
     """A GeoTIFF for each row (tile_id, x0, y1, a, e, crs, height, width, values: bytes by row); tile_id and path."""
 
