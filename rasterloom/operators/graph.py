@@ -31,17 +31,27 @@ def joined(big: DataFrame, key: str, small: DataFrame, name: str, times: str, to
     return out
 
 
-def _contract_up(links: DataFrame, total: int) -> DataFrame:
+def met(big: DataFrame, key: str, small: DataFrame, name: str, how: str = "inner") -> DataFrame:
+    """big with the columns of small (a row a key, of narrow rows) where big's key equals small's name.
+
+    small is written first, so that both sides of the join come straight from their shuffles: adaptive execution then
+    splits a partition with a key that many rows of big share, or broadcasts small where it turns out to be small.
+    """
+    written, _ = scratch.written(small, "met")
+    return big.join(written, F.col(key) == F.col(name), how)
+
+
+def _contract_up(links: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    hub = both.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")).select(F.col("a").alias("of"), F.least("a", "least").alias("least"), "degree")
-    return joined(both.where("b > a"), "a", hub, "of", "degree", 2 * total).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    hub = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("of"), F.least("a", "least").alias("least"))
+    return met(both.where("b > a"), "a", hub, "of").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def _contract_down(links: DataFrame, total: int) -> DataFrame:
+def _contract_down(links: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the least of these; in links a > b."""
-    hub = links.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("degree")).withColumnRenamed("a", "of")
-    moved = joined(links, "a", hub, "of", "degree", total).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    hub, _ = scratch.written(links.groupBy("a").agg(F.min("b").alias("least")).withColumnRenamed("a", "of"), "least")
+    moved = links.join(hub, F.col("a") == F.col("of")).where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(hub.select(F.col("of").alias("a"), F.col("least").alias("b"))).distinct()
 
 
@@ -55,7 +65,9 @@ def labels(links: DataFrame, rounds: int = 60) -> DataFrame:
         if state == last or not state[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         last, old = state, path
-        # each step keeps the number of links or lowers it
-        now, path = scratch.written(_contract_down(_contract_up(now, state[0]), state[0]), "links")
+        with scratch.swept(links.sparkSession) as keep:
+            up, _ = scratch.written(_contract_up(now), "up")
+            now, path = scratch.written(_contract_down(up), "links")
+            keep(path)
         scratch.delete(links.sparkSession, old)
     raise RuntimeError("the components did not settle")

@@ -30,11 +30,18 @@ def query(sql: str | None = None):
     return put
 
 
+def _all() -> None:
+    """Has the queries over files registered, too."""
+    from rasterloom.plans import filed  # noqa: F401
+
+
 def queries() -> dict[str, Callable]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)
 
 

@@ -9,10 +9,11 @@ import sqlite3
 import struct
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom.functions import scratch
 from rasterloom.sources.tiff import _saved
 
 Ring = list[tuple[float, float]]
@@ -87,13 +88,18 @@ def write(polys: DataFrame, path: str, form: str, field: str = "class", srs: int
     folder, _, name = path.rpartition("/")
     stem = name.rpartition(".")[0] or name
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        rows = [(int(r["class"]), [[(p["x"], p["y"]) for p in ring] for ring in r["rings"]]) for f in frames for r in f.to_dict("records")]
-        base = stem if single else f"{stem}-{TaskContext.get().partitionId():05d}"
+        rows = [(r["class"], [[(p["x"], p["y"]) for p in ring] for ring in r["rings"]]) for b in batches for r in b.to_pylist()]
+        yield pa.RecordBatch.from_pydict({"path": save(rows, stem if single else f"{stem}-{TaskContext.get().partitionId():05d}")})
+
+    def save(rows: list, base: str) -> list[str]:
         made = {"gpkg": geopackage(rows, field, srs)} if form == "GPKG" else shapefile(rows, field)
-        yield pd.DataFrame({"path": [_saved(folder or ".", f"{base}.{ext}", data) for ext, data in made.items()]})
+        return [_saved(folder or ".", f"{base}.{ext}", data) for ext, data in made.items()]
 
     chosen = polys.select(F.col("class").cast("int").alias("class"), "rings")
-    return (chosen.repartition(1) if single else chosen).mapInPandas(run, "path string")
+    paths, _ = scratch.written((chosen.repartition(1) if single else chosen).mapInArrow(run, "path string"), "paths")
+    if single and not paths.count():  # no polygon, no task: the file is there all the same
+        paths = polys.sparkSession.createDataFrame([(p,) for p in save([], stem)], "path string")
+    return paths

@@ -104,3 +104,162 @@ def test_context_inference(spark):
     out = pipeline.predicted(centres, px, size, ["v"], model, 2, tile=6, overlap=2, step=1, simplify=False, margin=0.0)
     assert out.count() == 2 * size * size
     assert {(r.tile_id, r.row, r.col): r.value for r in out.collect()} == {(r.tile_id, r.row, r.col): int(r.v > 3) for r in px.collect()}
+
+
+def test_polygon_files(spark, tmp_path):
+    """Shapefile and GeoPackage of polygons with and without holes, and of none."""
+    import sqlite3
+    import struct
+
+    from pyspark.sql import functions as F
+
+    from rasterloom.operators import vector
+    from rasterloom.sources import vectors
+
+    px = spark.createDataFrame([(r, c, 2 if (r, c) == (1, 1) else 1) for r in range(3) for c in range(3)], "grow int, gcol int, value int")
+    polys = vector.polygons(vector.components(px)).withColumn("rings", vector.to_map(F.col("rings"), 10.0, 20.0, 2.0, -2.0))
+    for k, rows in enumerate((polys, polys.where("false"))):
+        made = [r.path for r in vectors.write(rows, f"{tmp_path}/v{k}.shp", "ESRI Shapefile").collect()]
+        assert [m.rsplit(".", 1)[1] for m in made] == ["shp", "shx", "dbf"]
+        shp, shx, dbf = (open(m, "rb").read() for m in made)
+        n = 2 if k == 0 else 0
+        assert struct.unpack_from(">L", shp, 24)[0] * 2 == len(shp) and struct.unpack_from(">L", shx, 24)[0] * 2 == len(shx) == 100 + 8 * n
+        assert struct.unpack_from("<L", dbf, 4)[0] == n and len(dbf) == 65 + 11 * n + 1
+        shapes = []
+        for i in range(n):
+            at = struct.unpack_from(">L", shx, 100 + 8 * i)[0] * 2 + 8
+            kind, *box = struct.unpack_from("<L4d", shp, at)
+            shapes.append((kind, box, *struct.unpack_from("<2L", shp, at + 36)))
+        assert sorted(shapes) == ([(5, [10.0, 14.0, 16.0, 20.0], 2, 10), (5, [12.0, 16.0, 14.0, 18.0], 1, 5)] if n else [])
+        path, = [r.path for r in vectors.write(rows, f"{tmp_path}/v{k}.gpkg", "GPKG", "kind").collect()]
+        with sqlite3.connect(path) as db:
+            assert db.execute("SELECT kind FROM vegetation ORDER BY kind").fetchall() == ([(1,), (2,)] if n else [])
+            assert db.execute("PRAGMA application_id").fetchone()[0] == 0x47504B47 and db.execute("SELECT srs_id FROM gpkg_contents").fetchone()[0] == 2154
+
+
+def test_big_tiff_headers():
+    """The same fields as 64-bit entries; only the header's ranges are read."""
+    import struct
+
+    import numpy as np
+
+    small = tiff.encode(np.arange(12, dtype=np.uint8).reshape(1, 3, 4), 5.0, 9.0, 0.5, -0.5, nodata=255)
+    _, tags = tiff._tags(tiff._within(small))
+    kinds = {tiff.SCALE: ("d", 12), tiff.TIEPOINT: ("d", 12), tiff.GEOKEYS: ("H", 3), tiff.NODATA: ("c", 2)}
+    strip = small[tags[tiff.STRIPS][0] : tags[tiff.STRIPS][0] + tags[tiff.LENGTHS][0]]
+    fields, at = [], 16 + 8 + 20 * len(tags) + 8
+    extra = b""
+    for tag in sorted(tags):
+        code, kind = kinds.get(tag, ("Q", 16))
+        body = tags[tag] if code == "c" else struct.pack("<" + code * len(tags[tag]), *tags[tag])
+        n = len(tags[tag])
+        if tag == tiff.STRIPS:
+            body = b"STRIPAT!"
+        if len(body) > 8:
+            fields.append(struct.pack("<HHQQ", tag, kind, n, at + len(extra)))
+            extra += body
+        else:
+            fields.append(struct.pack("<HHQ", tag, kind, n) + body.ljust(8, b"\0"))
+    big = struct.pack("<2sHHHQQ", b"II", 43, 8, 0, 16, len(fields)) + b"".join(fields) + struct.pack("<Q", 0) + extra
+    big = big.replace(b"STRIPAT!", struct.pack("<Q", len(big))) + strip
+    assert tiff.info(big) == tiff.info(small) and (tiff.decode(big) == tiff.decode(small)).all()
+    seen = []
+
+    def read(at, n):
+        seen.append(at + n)
+        return big[at : at + n]
+
+    assert tiff.info(read) == tiff.info(small) and max(seen) <= len(big) - len(strip)
+
+
+@pytest.mark.parametrize("form", ["uint8", "uint16", "float32"])
+def test_context_by_tile(spark, form):
+    """A task a tile gives what rows of pixels give: windows, weights, modes, decisions; dark windows are left out."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from rasterloom.functions import pixels
+    from rasterloom.operators import blend, context
+    from rasterloom.plans import pipeline
+
+    size, rng = 8, np.random.default_rng(4)
+    tiles = {(x, y): rng.integers(10, 250, (3, size, size)) for x, y in ((0, 0), (1, 0), (0, 1), (5, 5))}
+    files, rows = [], []
+    for (x, y), cube in tiles.items():
+        raw = {"uint8": cube.astype(np.uint8), "uint16": (cube * 257).astype(np.uint16), "float32": ((cube + 0.5) / 255).astype(np.float32)}[form]
+        files.append((x, y, f"{x}_{y}", tiff.encode(raw, x * 8.0, y * 8.0 + 8, 1.0, -1.0)))
+        rows += [(f"{x}_{y}", r, c, *[float(v) for v in cube[:, r, c]]) for r in range(size) for c in range(size)]
+
+    def model(cut):
+        s = cut.sum(axis=2)
+        rows_, cols_ = np.indices(s.shape)  # depends on the place in the window, too
+        return np.stack([s, np.roll(s, 1, 0) + 0.1, s[::-1] * 0.9 + 0.01 * rows_, s * 0 + 0.02 * cols_], axis=2)
+
+    images = spark.createDataFrame(files, "tx int, ty int, tile_id string, content binary")
+    modes = ("hflip", "vflip", "hvflip", "rot90", "rot180", "rot270")
+    got = {r.tile_id: np.frombuffer(r.values, np.uint8).reshape(size, size) for r in context.predicted(images, form, lambda: model, 4, 6, 3, 1, modes, False, {2: 0.5}, 0.4).select("tile_id", F.col("values").alias("values")).collect()}
+    px = spark.createDataFrame(rows, "tile_id string, row int, col int, r double, g double, b double")
+
+    def run(w):  # missing pixels are 0 before bands are normalized
+        bands = pixels.normalized([F.col(b) for b in "rgb"])
+        return blend.infer(w.withColumns(dict(zip("rgb", bands))), ["tile_id", "y", "x"], ["r", "g", "b"], "m" + form, lambda: model, 4)
+
+    out = pipeline.predicted(images.select("tx", "ty", "tile_id"), px, size, ["r", "g", "b"], run, 4, 6, 3, 1, modes, False, {2: 0.5}, 0.4)
+    # a window of missing tiles alone is dark to the one and not to the other: tiles with all neighbours nearby agree
+    want = {}
+    for r in out.collect():
+        want.setdefault(r.tile_id, np.zeros((size, size), np.uint8))[r.row, r.col] = r.value
+    assert set(got) == set(want) == {f"{x}_{y}" for x, y in tiles}
+    for k in got:
+        assert (got[k] == want[k]).all(), k
+    dark = spark.createDataFrame([(0, 0, "0_0", tiff.encode(np.full((3, size, size), 9, np.uint8), 0.0, 8.0, 1.0, -1.0))], images.schema)
+    r, = context.predicted(dark, "dark", lambda: model, 4, 6, 3, 1, None, False, None, 0.0).collect()
+    assert set(np.frombuffer(r["values"], np.uint8)) == {0} and (r.x0, r.y1, r.crs) == (0.0, 8.0, "EPSG:2154")
+    with pytest.raises(Exception, match="bands"):
+        context.predicted(dark.withColumn("content", F.lit(tiff.encode(np.zeros((1, 8, 8), np.uint8), 0, 8, 1, -1))), "x", lambda: model, 4).collect()
+
+
+def test_orthophotos(spark, tmp_path):
+    """Images brought to a pixel size, as the row form does it; from a map service; what isn't an image is a failed row."""
+    import numpy as np
+
+    from rasterloom.operators import resample
+    from rasterloom.sources import ortho
+
+    rng = np.random.default_rng(1)
+    cube = rng.integers(0, 256, (3, 12, 10)).astype(np.uint8)
+    (tmp_path / "a.tif").write_bytes(tiff.encode(cube, 0.0, 6.0, 0.5, -0.5))
+    (tmp_path / "b.tif").write_bytes(b"no image")
+    tiles = spark.createDataFrame([("1_1", f"file://{tmp_path}/a.tif"), ("2_2", f"file://{tmp_path}/b.tif")], "tile_id string, url string")
+    done = {r.tile_id: r.status for r in ortho.prepared(tiles, f"{tmp_path}/out", 1.0).collect()}
+    assert done == {"1_1": "success", "2_2": "failed"}
+    data = (tmp_path / "out" / "orthophoto_1_1.tif").read_bytes()
+    got = tiff.decode(data)
+    assert got.shape == (3, 6, 5) and tiff.info(data)["a"] == 1.0
+    px = spark.createDataFrame([(r, c, float(cube[0, r, c])) for r in range(12) for c in range(10)], "row int, col int, value double")
+    want = {(r.row, r.col): r.value for r in resample.resized(px, (12, 10), (6, 5)).collect()}
+    assert all(abs(int(got[0, r, c]) - v) <= 1 for (r, c), v in want.items()) and len(want) == 30  # one rounding more
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["orthophoto_1_1.tif"]
+
+    def answer(url, path):
+        if "2_2" in url:
+            return None
+        with open(path, "wb") as f:
+            f.write(tiff.encode(cube, 0.0, 6.0, 0.5, -0.5))
+        return path
+
+    rasters = spark.createDataFrame([("1_1", 0.0, 6.0, 1.0, -1.0, 5, 6, "EPSG:2154"), ("3_3", 0.0, 6.0, 1.0, -1.0, 5, 6, "2_2")], "tile_id string, x0 double, y1 double, a double, e double, width int, height int, crs string")
+    done = {r.tile_id: r.status for r in ortho.from_map_service(rasters, f"{tmp_path}/map", "http://wms", "ortho", 1.0, get=answer).collect()}
+    assert done == {"1_1": "success", "3_3": "failed"} and tiff.decode((tmp_path / "map" / "orthophoto_1_1.tif").read_bytes()).shape == (3, 6, 5)
+
+
+def test_compacted_state_goes_on(spark, tmp_path):
+    """A stream started on a compacted state adds to it."""
+    schema = "grow int, gcol int, value int"
+    spark.createDataFrame([(0, 0, 1)], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    start = lambda state, cp: incremental.start(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / state), str(tmp_path / cp)).awaitTermination(120)
+    start("state", "cp")
+    incremental.compact(spark, str(tmp_path / "state"), str(tmp_path / "more"))
+    spark.createDataFrame([(0, 1, 2)], schema).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "in"))
+    start("more", "cp2")
+    assert {(r.grow, r.gcol): r.value for r in incremental.mosaic(incremental.read_state(spark, str(tmp_path / "more"))).collect()} == {(0, 0): 1, (0, 1): 2}
