@@ -23,8 +23,8 @@ fewer than five words has its whole sequence as one shingle; a null doc_id is li
 that repeat a doc_id give a row each, judged by its own text; other columns are not read. Very long texts are whole:
 a block holds one at least. `deduplicated` keeps one row of each component also where several rows carry its doc_id.
 
-Keys that many rows share (band keys of a large group of copies, hubs, large components) are joined by broadcast of
-the few such keys, see `graph.joined`.
+Keys that many rows share (band keys of a large group of copies, large components, classes of many equal texts) are
+joined so that adaptive execution can split them, see `graph.met`.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
-from rasterloom.operators.graph import joined, labels
+from rasterloom.operators.graph import labels, met
 
 SHINGLE = 5
 ROWS, BANDS, B = 4, 40, 2
@@ -220,13 +220,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return links
 
 
-def _open(rows: DataFrame, links: DataFrame, total: int) -> tuple[DataFrame, str]:
+def _open(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
     """Of rows (key, cid, pivot): those of band keys that hold several components, as key, cid, comp and main (the
     pivot's component), written down."""
     label = labels(links)
     own, path = scratch.written(rows.join(label, F.col("cid") == F.col("node"), "left").select("key", "cid", "pivot", F.coalesce("label", "cid").alias("comp")), "own")
-    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main"), F.count("*").alias("m")).where("low <> high").select(F.col("key").alias("k"), "main", "m")
-    still, still_path = scratch.written(joined(own, "key", mixed, "k", "m", total).select("key", "cid", "comp", "main"), "still")
+    mixed = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.when(F.col("cid") == F.col("pivot"), F.col("comp"))).alias("main")).where("low <> high").select(F.col("key").alias("k"), "main")
+    still, still_path = scratch.written(met(own, "key", mixed, "k").select("key", "cid", "comp", "main"), "still")
     scratch.delete(rows.sparkSession, path)
     return still, still_path
 
@@ -236,23 +236,21 @@ def _repeats(classes: DataFrame) -> bool:
     return bool(classes.agg(F.max("repeated")).first()[0])
 
 
-def _named(docs: DataFrame, keep) -> tuple[DataFrame, DataFrame, int]:
-    """The signed rows; class_name, component and class_size of each class; the number of rows."""
+def _named(docs: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
+    """The signed rows; class_name, component and class_size of each class."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed, signed_path = scratch.written(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_signed, f"doc_id {kind}, mark long, n_shingles long, name binary, bands array<long>, sig array<long>"), "signed", batch=WIDE)
     repeated = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     known = signed.where("name IS NOT NULL AND doc_id IS NOT NULL")
     firsts = known.groupBy("name").agg(F.min("doc_id").alias("rep"), F.count("*").alias("class_size"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     classes, _ = scratch.written(firsts.withColumn("cid", F.monotonically_increasing_id()).withColumn("repeated", F.lit(repeated)), "classes")
-    n_classes = classes.count()
-    total = n_classes * BANDS
     bands = classes.select("cid", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select(F.col("key").alias("k"), "m")
-    rows, first_path = scratch.written(joined(bands, "key", shared, "k", "m", total).select("key", "cid", "m"), "bands")
-    met = rows.groupBy("cid").agg(F.sum("m").alias("met")).withColumnRenamed("cid", "c")
-    weighed = rows.join(met, F.col("cid") == F.col("c")).select("key", "cid", "met")
-    pivots = weighed.groupBy("key").agg(F.max(F.struct("met", "cid"))["cid"].alias("pivot"), F.count("*").alias("n_rows")).withColumnRenamed("key", "k")
-    rows, _ = scratch.written(joined(rows, "key", pivots, "k", "n_rows", total).select("key", "cid", "pivot"), "pivots")
+    rows, first_path = scratch.written(met(bands, "key", shared, "k").select("key", "cid", "m"), "bands")
+    others = rows.groupBy("cid").agg(F.sum("m").alias("met")).withColumnRenamed("cid", "c")
+    weighed = rows.join(others, F.col("cid") == F.col("c")).select("key", "cid", "met")
+    pivots = weighed.groupBy("key").agg(F.max(F.struct("met", "cid"))["cid"].alias("pivot")).withColumnRenamed("key", "k")
+    rows, _ = scratch.written(met(rows, "key", pivots, "k").select("key", "cid", "pivot"), "pivots")
     scratch.delete(docs.sparkSession, first_path)
     signature = [F.col("sig")[k] for k in range(WORDS)]
     left = classes.select(F.col("cid").alias("c1"), F.col("n").alias("n1"), F.col("bands").alias("bands1"), *[x.alias(f"s{k}") for k, x in enumerate(signature)])
@@ -262,7 +260,7 @@ def _named(docs: DataFrame, keep) -> tuple[DataFrame, DataFrame, int]:
     near = stars.join(left, F.col("a") == F.col("c1")).join(right, (F.col("b") == F.col("c2")) & close).select("a", "b")
     near, _ = scratch.written(near, "pairs")
     links = confirmed(near, classes, docs)
-    still, _ = _open(rows, links, total)
+    still, _ = _open(rows, links)
     bound, _ = scratch.written(_shareable(still.select("cid").distinct(), classes, docs), "bounds", batch=WIDE)
     possible = still.join(bound, F.col("cid") == F.col("of")).select("key", "cid", "comp", "main", "most")
     outside = possible.where("comp <> main").join(left, F.col("cid") == F.col("c1")).select("key", F.col("comp").alias("comp1"), F.col("most").alias("most1"), "c1", "n1", "bands1", *[f"s{k}" for k in range(WORDS)])
@@ -277,19 +275,19 @@ def _named(docs: DataFrame, keep) -> tuple[DataFrame, DataFrame, int]:
     more = confirmed(rest, classes, docs)
     all_labels = labels(links.unionByName(more))
     each = classes.select("cid", "rep", "name", "class_size").join(all_labels, F.col("cid") == F.col("node"), "left").select("cid", "rep", "name", "class_size", F.coalesce("label", "cid").alias("comp"))
-    least = each.groupBy("comp").agg(F.min("rep").alias("component"), F.count("*").alias("n_classes")).withColumnRenamed("comp", "c")
-    named, named_path = scratch.written(joined(each, "comp", least, "c", "n_classes", n_classes).select(F.col("name").alias("class_name"), "component", "class_size"), "named")
+    least = each.groupBy("comp").agg(F.min("rep").alias("component")).withColumnRenamed("comp", "c")
+    named, named_path = scratch.written(met(each, "comp", least, "c").select(F.col("name").alias("class_name"), "component", "class_size"), "named")
     keep(signed_path, named_path)
-    return signed, named, signed.count()
+    return signed, named
 
 
 def clustered(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, mark (a hash of its text), n_shingles, component_id, kept, class_size (rows with an equal set)."""
     scratch.bounded(docs.sparkSession)
     with scratch.swept(docs.sparkSession) as keep:
-        signed, named, n_rows = _named(docs, keep)
+        signed, named = _named(docs, keep)
     slim = signed.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("name")).alias("name"))
-    out = joined(slim, "name", named, "class_name", "class_size", n_rows, "left")
+    out = slim.join(named, F.col("name") == F.col("class_name"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "mark", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
