@@ -1,6 +1,12 @@
 """A corpus pipeline: language identification, near-duplicate removal, decontamination, source mixing, token store.
 
 Each stage gets the documents that the one before kept, and all but the last return the columns of `documents`.
+
+Defined results: each row is judged by its own text, whatever its doc_id (stage 2 keeps one row of those that repeat a
+kept document); rows without a letter go in stage 1, and with them null and empty texts; a null doc_id stays unless its
+text is rejected, and is drawn as one document in stage 4; null language or source counts as a value of its own there;
+texts are whole, however long; ties follow the operators; an empty table gives an empty result; other columns are kept,
+whatever their names, up to stage 4.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents; each result is written to the shared folder and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
-        before = docs
-        docs, _ = scratch.written(stage(spark, docs, sf_dir), f"stage{k}-{name}")
-        del before
+        with scratch.swept(spark) as keep:  # what the stage itself wrote goes once its result is there
+            docs, path = scratch.written(stage(spark, docs, sf_dir), f"stage{k}-{name}")
+            keep(path)
     return docs

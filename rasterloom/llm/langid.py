@@ -6,8 +6,9 @@ escape costs -log2(D / (T + D)) and the next shorter context decides, down to an
 seen pass on free of cost; there is no exclusion. Statistics are frozen, so the cost of a byte after its context is
 a constant: a table over (context, byte) filled on demand turns a text's code length into one gather and one sum.
 
-The trees are learned from a bounded sample: about DOCS_PER_LANGUAGE whole texts per language, chosen by hash, of
-at most TEXT_BYTES each; so what is broadcast is bounded too. Everything else covers all rows.
+The trees are learned from a bounded sample: about DOCS_PER_LANGUAGE whole texts per language, chosen by hash, and
+at most about DOCS of all languages; so what is broadcast is bounded too. Texts of at most TEXT_BYTES come first; a
+language with too few of them takes up to LONG_TEXTS longer ones. Everything else covers all rows.
 
 Defined results: a null, empty or letterless text is `und` with score 0, as is any text if no language was learned;
 ties go to the first language by name; a null doc_id never trains; repeated rows give a row each; other columns
@@ -28,12 +29,12 @@ from rasterloom.llm import scratch
 from rasterloom.llm import textblocks as tb
 
 ORDER = 3
-DOCS_PER_LANGUAGE = 600
-TEXT_BYTES = 100_000
+DOCS_PER_LANGUAGE, DOCS = 600, 60_000
+TEXT_BYTES, LONG_TEXTS = 100_000, 20
 SCORE_BYTES = 64
 BLOCK = 2 << 20
-#: Byte pairs that the table of costs covers; costs of others are worked out for each block.
-PAIRS = 1023
+#: Byte pairs that the table of costs covers at most, and its bytes; costs of others are worked out for each block.
+PAIRS, TABLE_BYTES = 1023, 16 << 20
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
@@ -74,17 +75,18 @@ class Trees:
             self.tables.append(orders)
         every = np.concatenate([np.zeros(0, np.uint32), *(c[0] for c in counts.values())])
         weight = np.concatenate([np.zeros(0), *(c[1] for c in counts.values())])
-        self.high = self._dense(every >> np.uint32(16), weight)
-        self.low = self._dense(every & np.uint32(0xFFFF), weight)
+        pairs = min(PAIRS, int((TABLE_BYTES / 8 / max(1, len(self.languages))) ** 0.5) - 1)
+        self.high = self._dense(every >> np.uint32(16), weight, pairs)
+        self.low = self._dense(every & np.uint32(0xFFFF), weight, pairs)
         self.n_low = int(self.low.max()) + 1
         self.memo: np.ndarray | None = None
 
     @staticmethod
-    def _dense(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Small numbers for the PAIRS most frequent byte pairs; 0 for the others."""
+    def _dense(values: np.ndarray, weight: np.ndarray, pairs: int) -> np.ndarray:
+        """Small numbers for the most frequent byte pairs; 0 for the others."""
         out = np.zeros(65536, np.int32)
         total = np.bincount(values, weights=weight, minlength=65536)
-        v = np.argsort(-total, kind="stable")[:PAIRS]
+        v = np.argsort(-total, kind="stable")[:pairs]
         v = v[total[v] > 0]
         out[v] = np.arange(1, len(v) + 1)
         return out
@@ -117,7 +119,7 @@ class Trees:
             return out
         g = grams(block)
         if self.memo is None:
-            self.memo = np.full((len(self.languages), (int(self.high.max()) + 1) * self.n_low), np.nan, np.float32)
+            self.memo = np.full((len(self.languages), (int(self.high.max()) + 1) * self.n_low), np.nan)
         high, low = self.high[g >> np.uint32(16)], self.low[g & np.uint32(0xFFFF)]
         slot = high * self.n_low + low
         slot[(high == 0) | (low == 0)] = 0
@@ -132,7 +134,7 @@ class Trees:
             odd = self.cost(values)
         full = np.flatnonzero(np.diff(block.offsets))
         for k in range(len(self.languages)):
-            bits = self.memo[k][slot].astype(np.float64)
+            bits = self.memo[k][slot]
             if len(strange):
                 bits[strange] = odd[k][inverse]
             out[k, full] = np.add.reduceat(bits, block.offsets[:-1][full])
@@ -141,14 +143,13 @@ class Trees:
 
 def learned(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Trees:
     """Trees from a hash sample of the rows given: those with lang, text and doc_id."""
-    rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(F.octet_length("text").between(1, TEXT_BYTES))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL AND text <> '' AND lang IS NOT NULL").withColumn("long", F.octet_length("text") > TEXT_BYTES)
+    counts = {(r.lang, r.long): r.n for r in rows.groupBy("lang", "long").agg(F.count("*").alias("n")).collect()}
+    per_language = min(per_language, DOCS / max(1, len({name for name, _ in counts})))
+    rates = [(name, long, min(LONG_TEXTS, max(0.0, per_language - counts.get((name, False), 0))) / n if long else per_language / n) for (name, long), n in counts.items()]
     share = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rates = counts.select("lang", (F.lit(float(per_language)) / F.col("n")).alias("rate")).collect()
-    rate = F.lit(0.0)
-    for r in rates:
-        rate = F.when(F.col("lang") == r.lang, F.lit(r.rate)).otherwise(rate)
-    sample = rows.where(share < rate).select("lang", "text")
+    table = docs.sparkSession.createDataFrame(rates, "of string, size boolean, rate double")  # two rows a language
+    sample = rows.join(F.broadcast(table), (F.col("lang") == F.col("of")) & (F.col("long") == F.col("size"))).where(share < F.col("rate")).select("lang", "text")
     found = sample.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     out = {}
     for name, part in found.groupby("lang"):

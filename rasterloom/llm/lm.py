@@ -108,6 +108,18 @@ def from_planes(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
 
 
+def packed_counts(n: np.ndarray) -> bytes:
+    """Counts in planes, with no more bytes for each than the largest needs; their number comes first."""
+    most = int(n.max()) if len(n) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
+    return bytes([width]) + planes(n.astype(f"<u{width}"))
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    view = memoryview(data)
+    return from_planes(view[1:], f"<u{view[0]}")
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, in planes."""
     steps = keys.copy()
@@ -162,7 +174,7 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, bits: int, ranges: int
             g = Grams(row, order, bits)
             for k in range(1, order + 1):
                 keys, of = g.distinct(k)
-                n = np.bincount(of[g.training], minlength=len(keys)).astype(np.uint32)
+                n = np.bincount(of[g.training], minlength=len(keys))
                 at = np.concatenate([[0], np.searchsorted(keys, _edges(ranges, 64 if k == 1 else bits)), [len(keys)]])
                 used = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_arrays(
@@ -172,7 +184,7 @@ def _asked(batches: Iterator[pa.RecordBatch], order: int, bits: int, ranges: int
                         pa.array([row["deleted"]] * len(used), pa.bool_()),
                         pa.array([k] * len(used), pa.int32()),
                         pa.array([packed_keys(keys[at[r] : at[r + 1]]) for r in used], pa.binary()),
-                        pa.array([planes(n[at[r] : at[r + 1]]) for r in used], pa.binary()),
+                        pa.array([packed_counts(n[at[r] : at[r + 1]]) for r in used], pa.binary()),
                     ],
                     ["range", "block", "deleted", "order", "keys", "counts"],
                 )
@@ -194,7 +206,7 @@ def _answered(table: pa.Table) -> pa.Table:
         lengths = np.array([len(a) for a in arrays])
         keys, of = np.unique(np.concatenate(arrays), return_inverse=True)
         del arrays
-        n = np.concatenate([from_planes(x.as_buffer(), np.uint32) for x in part.column("counts")]).astype(np.float64)
+        n = np.concatenate([unpacked_counts(x.as_buffer()) for x in part.column("counts")]).astype(np.float64)
         deleted = np.asarray(part.column("deleted"))
         left_out = np.repeat(deleted, lengths)
         total = np.bincount(of, weights=n, minlength=len(keys))
@@ -203,8 +215,8 @@ def _answered(table: pa.Table) -> pa.Table:
         for i, block in enumerate(part.column("block").to_pylist()):
             mine = of[ends[i] - lengths[i] : ends[i]]
             out["block"].append(block)
-            out["total"].append(planes(total[mine].astype(np.uint64)))
-            out["retained"].append(planes(kept[mine].astype(np.uint64)) if deleted[i] else None)
+            out["total"].append(packed_counts(total[mine]))
+            out["retained"].append(packed_counts(kept[mine]) if deleted[i] else None)
             for c in ("tokens", "types", "tokens_kept", "types_kept"):
                 out[c].append(0)
         if k == 1:
@@ -229,7 +241,7 @@ _ANSWER = "block long, order int, range long, total binary, retained binary, tok
 def _counts(right: pa.Table, k: int, column: str) -> np.ndarray:
     """A block's counts of one order, in the order of its keys."""
     part = right.filter(pa.array(np.asarray(right.column("order")) == k)).sort_by("range")
-    return np.concatenate([from_planes(x.as_buffer(), np.uint64) for x in part.column(column)]).astype(np.float64)
+    return np.concatenate([unpacked_counts(x.as_buffer()) for x in part.column(column)]).astype(np.float64)
 
 
 def bucket_of(context: np.ndarray, order: int) -> np.ndarray:

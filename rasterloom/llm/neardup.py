@@ -156,17 +156,29 @@ def _sizes_allow(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """The classes of a block and their shingle sets, from texts."""
     for batch in batches:
         for block in tb.blocks(iter([batch]), most=BLOCK):
             sets, ends = shingle_sets(block)
-            cids, data = [], []
-            for i, (cid, name) in enumerate(zip(block.columns["cid"], block.columns["name"])):
-                d = sets[ends[i] : ends[i + 1]].tobytes()
-                if hashlib.blake2b(d, digest_size=16).digest() == name:  # a doc_id may stand for several texts
-                    cids.append(cid)
-                    data.append(d)
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(data, pa.binary())], ["cid", "shingles"])
+            parts = [sets[ends[i] : ends[i + 1]] for i in range(len(block))]
+            # a doc_id may stand for several texts
+            own = [i for i, name in enumerate(block.columns["name"]) if hashlib.blake2b(parts[i].tobytes(), digest_size=16).digest() == name]
+            yield [block.columns["cid"][i] for i in own], [parts[i] for i in own]
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cid and shingles, packed."""
+    for cids, sets in _class_sets(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["cid", "shingles"])
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cid and shingles, as arrays."""
+    for cids, sets in _class_sets(batches):
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["cid", "shingles"])
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,17 +194,17 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
 
 
-def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """cid and shingles (packed) of the classes in the column c of distinct wanted, from their texts."""
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, packed_sets: bool = True) -> DataFrame:
+    """cid and shingles (packed, or as arrays) of the classes in the column c of distinct wanted, from their texts."""
     who = classes.select("cid", "rep", "name").join(wanted, F.col("cid") == F.col("c"), "left_semi")
     texts = docs.select("doc_id", "text").join(who, F.col("doc_id") == F.col("rep")).select("cid", "name", "text")
-    sets = texts.mapInArrow(_sets, "cid long, shingles binary")
+    sets = texts.mapInArrow(_sets, "cid long, shingles binary") if packed_sets else texts.mapInArrow(_lists, "cid long, shingles array<long>")
     return sets.dropDuplicates(["cid"]) if _repeats(classes) else sets
 
 
 def _shareable(cids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of classes: `of` and `most`, how many of its shingles another of them has too; without those too few for a link."""
-    lists = _texts(cids.withColumnRenamed("cid", "c"), classes, docs).mapInArrow(_unpacked, "cid long, shingles array<long>")
+    lists = _texts(cids.withColumnRenamed("cid", "c"), classes, docs, packed_sets=False)
     single = lists.select("cid", F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("cid").alias("cid")).where("n = 1")
     alone = single.groupBy("cid").agg(F.count("*").alias("alone")).withColumnRenamed("cid", "c")
     sizes = classes.select("cid", "n").join(cids.withColumnRenamed("cid", "d"), F.col("cid") == F.col("d"), "left_semi")
@@ -200,15 +212,6 @@ def _shareable(cids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     return sizes.join(alone, F.col("cid") == F.col("c"), "left").select(F.col("cid").alias("of"), most.alias("most"), "n").where(100 * F.col("most") >= PERCENT * F.col("n")).select("of", "most")
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, batch.num_rows, 200):
-            part = batch.slice(k, 200)
-            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("shingles")]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([part.column("cid"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], ["cid", "shingles"])
-
-
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs (a, b) of classes, written down: those whose full sets reach the threshold."""
     needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()

@@ -51,7 +51,7 @@ WINDOW = 8
 BITS = 8
 LEAST, MOST = 32, 2048
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 1_600_000
+KEPT_WORDS = 1_000_000
 #: Words encoded as one text, texts encoded at once, and the character between words.
 TOGETHER, TEXTS, _BETWEEN = 500, 32, "\x01"
 BLOCK = 2 << 20
@@ -90,10 +90,21 @@ class Encoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.begin, self.count, self.spelt, self.size = (np.zeros(0, np.int32) for _ in range(4))
+        self.begin, self.count, self.spelt, self.size, self.blocks = (np.zeros(0, np.int32) for _ in range(5))
         self.flat = np.zeros(0, np.uint32)
         self.letters = np.zeros(0, np.uint8)
 
+    def _tidied(self) -> None:
+        """Keeps the words that several blocks had, at most half of what may be kept."""
+        often = np.flatnonzero(self.blocks > 1)
+        if len(often) > KEPT_WORDS // 2:
+            often = np.sort(often[np.argsort(-self.blocks[often], kind="stable")[: KEPT_WORDS // 2]])
+        n, size = self.count[often], self.size[often]
+        flat = self.flat[np.repeat(self.begin[often], n) + _inner(n)]
+        letters = self.letters[np.repeat(self.spelt[often], size) + _inner(size)]
+        self.keys, self.blocks, self.count, self.size, self.flat, self.letters = self.keys[often], np.ones(len(often), np.int32), n, size, flat, letters
+        self.begin, self.spelt = ((np.cumsum(x) - x).astype(np.int32) for x in (n, size))
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has. The library's own results are large, so a part is encoded at once."""
         flat, count = [], []
@@ -119,7 +130,7 @@ class Encoder:
         """keys: sorted, none of them known."""
         ids, n = self._ids([w.decode() for w in words])
         size = np.array([len(w) for w in words], np.int64)
-        new = {"begin": len(self.flat) + np.cumsum(n) - n, "count": n, "spelt": len(self.letters) + np.cumsum(size) - size, "size": size}
+        new = {"begin": len(self.flat) + np.cumsum(n) - n, "count": n, "spelt": len(self.letters) + np.cumsum(size) - size, "size": size, "blocks": np.zeros(len(n))}
         self.flat = np.concatenate([self.flat, ids])
         self.letters = np.concatenate([self.letters, np.frombuffer(b"".join(words), np.uint8)])
         at = np.searchsorted(self.keys, keys)
@@ -148,7 +159,7 @@ class Encoder:
         if not _same_bytes(letters, starts, size, letters, starts[first][inverse], size[first][inverse]):
             return None
         if len(self.keys) > KEPT_WORDS:
-            self._forget()
+            self._tidied()
         place = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         known = self.keys[place] == keys if len(self.keys) else np.zeros(len(keys), bool)
         old, w = place[known], first[known]
@@ -159,6 +170,7 @@ class Encoder:
             w, spelt = first[new], letters.tobytes()
             self._learn(keys[new], [spelt[a:b] for a, b in zip(starts[w].tolist(), ends[w].tolist())])
             place = np.searchsorted(self.keys, keys)
+        self.blocks[place] += 1
         begin, count = self.begin[place][inverse], self.count[place][inverse]
         docs = len(block)
         # ids before each word, and an end id after each document

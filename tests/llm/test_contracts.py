@@ -180,6 +180,50 @@ def test_benchmark_in_groups(spark, odd):
     assert key(decontam.contamination(docs, bench, most=40)) == key(decontam.contamination(docs, bench))
 
 
+@pytest.mark.parametrize("most", [decontam.BENCHMARK_BYTES, 60])
+def test_repeated_items(spark, odd, tmp_path, monkeypatch, most):
+    """An item_id of several rows is one item, whatever the size of the benchmark; against SQL."""
+    monkeypatch.setattr(decontam, "BENCHMARK_BYTES", most)
+    monkeypatch.setattr(decontam.contamination, "__defaults__", (most,))
+    docs = spark.read.parquet(f"{odd}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs.unionByName(docs.where("doc_id IN (1, 6, 8)")).write.parquet(f"{tmp_path}/documents.parquet")
+    items = [(0, " ".join(W[3:14])), (0, " ".join(W[4:15])), (0, " ".join(W[3:14])), (1, "one two"), (1, None), (10, " ".join(W)), (2, " ".join(W) + " " + LONG[:20000])]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    oracle.same(decontam.op2_suffix_decontam(spark, str(tmp_path)), oracle.connection(str(tmp_path)), SQL["op2_suffix_decontam"])
+
+
+def test_long_texts(spark, tmp_path):
+    """Texts of several blocks and pieces, one of a single word, and their copies: every operator takes them whole."""
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 9)))) for _ in range(3000)]
+    long = " ".join(rng.choice(vocabulary, 450_000))
+    assert len(long) > store.BLOCK + tb_piece()
+    rows = [(1, long), (2, long.upper()), (3, long + " you stupid idiot"), (4, "x" * 700_000), (5, "X" * 700_000), (6, " ".join(W)), (7, "tail " * 9 + long[-3000:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    end = long.split(" ")[-12:]
+    spark.createDataFrame([(0, " ".join(end))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    d = str(tmp_path)
+    got = {r.doc_id: r for r in decontam.op2_suffix_decontam(spark, d).collect()}
+    assert [got[k].n_hit for k in range(1, 8)] == [12, 12, 12, 0, 0, 0, 12] and got[1].n_words == 450_000
+    groups = {r.doc_id: r.component_id for r in neardup.op4_bbit_minhash(spark, d).collect()}
+    assert groups == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7}
+    scores = {r.doc_id: r for r in lm.op1_deleted_interpolation(spark, d).collect()}
+    assert [scores[k].n_tokens for k in range(1, 8)] == [len(t.split()) + 1 for _, t in rows] and scores[1].score == pytest.approx(scores[2].score)
+    ids = {i: x for i, x in whole_ids(rows)}
+    for r in store.op5_content_store(spark, d).collect():
+        assert (r.n_tokens, r.ids_crc32) == (len(ids[r.doc_id]), zlib.crc32(np.array(ids[r.doc_id], "<u4").tobytes())), r.doc_id
+    oracle.same(quality.op6_quality_rules(spark, d), oracle.connection(d), SQL["op6_quality_rules"])
+    oracle.same(credentials.op10_credential_links(spark, d), oracle.connection(d), SQL["op10_credential_links"])
+    assert {r.lang_pred for r in langid.op7_ppm_langid(spark, d).collect()} == {"en"}
+
+
+def tb_piece():
+    from rasterloom.llm import textblocks
+
+    return textblocks.PIECE
+
+
 def test_longest_matches_against_brute_force(spark, small):
     docs, bench = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r.item_id, r.word_offset): (r.length, r.doc_id, r.position, r.n_places) for r in decontam.longest_matches(docs, bench, 10).collect()}
@@ -571,6 +615,85 @@ def test_code_lengths_against_brute_force(spark):
             assert abs(got[k, j] - brute_bits([t for _, t, x in train if x == name], text)) < 1e-3
 
 
+def brute_costs(train):
+    """As brute_bits, with the counts made once."""
+    fold = lambda t: b"\n" * langid.ORDER + bytes(c + 32 if 65 <= c <= 90 else c for c in t.encode())
+    counts, total, distinct = ([Counter() for _ in range(langid.ORDER + 1)] for _ in range(3))
+    for t in train:
+        b = fold(t)
+        for i in range(langid.ORDER, len(b)):
+            for k in range(langid.ORDER + 1):
+                counts[k][b[i - k : i + 1]] += 1
+    for k, c in enumerate(counts):
+        for g, n in c.items():
+            total[k][g[:-1]] += n
+            distinct[k][g[:-1]] += 1
+    known = {}
+
+    def cost(g):
+        bits = 0.0
+        for k in range(langid.ORDER, -1, -1):
+            x = g[langid.ORDER - k :]
+            t, u = total[k][x[:-1]], distinct[k][x[:-1]]
+            if counts[k][x]:
+                return bits - math.log2(counts[k][x] / (t + u))
+            if t:
+                bits -= math.log2(u / (t + u))
+        return bits + 8
+
+    def length(text):
+        b = fold(text)
+        out = 0.0
+        for i in range(langid.ORDER, len(b)):
+            g = b[i - langid.ORDER : i + 1]
+            if g not in known:
+                known[g] = cost(g)
+            out += known[g]
+        return out
+
+    return length
+
+
+def brute_languages(rows):
+    """Predicted language and score of rows (doc_id, text, lang), from trees counted plainly."""
+    train = {}
+    for i, text, lang in rows:
+        if i is not None and text and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            train.setdefault(lang, []).append(text)
+    lengths = {name: brute_costs(t) for name, t in sorted(train.items())}
+    out = []
+    for _, text, _ in rows:
+        if text is None or not any(c.isalpha() for c in text) or not lengths:
+            out.append(("und", 0.0))
+            continue
+        bits = {name: f(text) for name, f in lengths.items()}
+        best = min(bits, key=lambda n: (bits[n], n))
+        scale = min(1.0, langid.SCORE_BYTES / len(text.encode()))
+        out.append((best, 1 / sum(2 ** -min((b - bits[best]) * scale, 1000) for b in bits.values())))
+    return out
+
+
+@pytest.mark.parametrize("where", ["small", "odd"])
+def test_predictions_against_brute_force(spark, small, odd, where):
+    """Languages and scores of all rows."""
+    d = small if where == "small" else odd
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+    want = Counter((r[0], held(r[0]), name, round(score, 6)) for r, (name, score) in zip(rows, brute_languages(rows)))
+    assert Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in langid.op7_ppm_langid(spark, d).collect()) == want
+
+
+def test_languages_of_long_texts(spark, monkeypatch):
+    """A language whose texts are all long is learned from them; many languages share the sample and the table."""
+    monkeypatch.setattr(langid, "TEXT_BYTES", 40)
+    monkeypatch.setattr(langid, "TABLE_BYTES", 8 * 30 * 30)
+    rows = [(k, "the cat and the dog " * 4, "en") for k in range(5)] + [(10 + k, "le chat et le chien", "fr") for k in range(5)] + [(20, "", "xx"), (21, None, "yy")]
+    trees = langid.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert trees.languages == ["en", "fr"] and trees.high.max() <= 29
+    docs = spark.createDataFrame([(1, "the dog the cat"), (2, "le chien le chat")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.predicted(docs, trees).collect()} == {1: "en", 2: "fr"}
+
+
 def test_languages_of_held_out_rows(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang")
     out = langid.op7_ppm_langid(spark, small).where("held_out").join(docs, "doc_id")
@@ -588,6 +711,133 @@ def test_languages_of_odd_rows(spark, odd):
 # 8
 
 
+def plain_features(text, lexicon):
+    """Votes and features of a text, word by word. lexicon: mined key to weight; a key is (bytes, whole or beginning)."""
+    data = (text or "").encode()
+    folded = bytes(c + 32 if 65 <= c <= 90 else c for c in data)
+    words = [w.encode("latin1") for w in "".join(chr(c) if chr(c).isascii() and chr(c).isalnum() or c >= 128 else " " for c in folded).split(" ") if w]
+    families = [{w.encode() for w in v.split()} for v in toxicity.LEXICON.values()]
+    you = {w.encode() for w in toxicity.YOU.split()}
+    counts = [sum(w in f for w in words) for f in families]
+    hits = [i for i, w in enumerate(words) if any(w in f for f in families)]
+    places = [i for i, w in enumerate(words) if w in you]
+    beside = sum(any(abs(i - j) <= 3 for j in places) for i in hits)
+    weight = {}
+    for w in words:
+        keys = [(w, True)] + [(w[:n], False) for n in toxicity.BEGINNINGS if len(w) > n]
+        best = max((lexicon[k] for k in keys if k in lexicon), default=0.0)
+        if best:
+            weight[w] = best
+    mined, evidence, n = len(weight), sum(weight.values()), len(words)
+    letters = sum(65 <= c <= 90 or 97 <= c <= 122 for c in data)
+    shout = sum(65 <= c <= 90 for c in data) / max(letters, 1)
+    bangs = sum(data[i] == data[i - 1] == 33 for i in range(1, len(data)))
+    total, per = sum(counts), max(n, 1)
+    votes = [*[c > 0 for c in counts], any(counts[:-1]), beside > 0, shout > 0.5 and letters >= 20, bangs >= max(3, n / 20), mined >= 1, mined >= 2, evidence >= max(8.0, 0.05 * n)]
+    x = [*np.log1p(counts), np.log1p(total), np.log1p(100 * total / per), sum(c > 0 for c in counts), np.log1p(beside), shout, np.log1p(bangs), np.log1p(mined), np.log1p(evidence), np.log1p(100 * evidence / per)]
+    return [int(v) for v in votes], np.array(x, float), words
+
+
+def plain_label_model(votes, labels):
+    """The label model on rows instead of patterns, with loops over voters and parents only."""
+    n, J = votes.shape
+    F_ = len(toxicity.FAMILIES)
+    q = np.where((votes[:, F_] == 1) | (votes[:, -2] == 1), 0.9, 0.05)
+    q = np.where(labels == 1, np.maximum(q, 0.3), q)
+    parents, last = [-1] * J, -math.inf
+
+    def tree():
+        d = np.zeros((J, J))
+        for w in (q, 1 - q):
+            for a in range(J):
+                for b in range(a):
+                    for va in (0, 1):
+                        for vb in (0, 1):
+                            both, pa, pb = ((w * m).sum() / max(w.sum(), 1e-12) for m in ((votes[:, a] == va) & (votes[:, b] == vb), votes[:, a] == va, votes[:, b] == vb))
+                            if both > 0:
+                                d[a, b] += w.sum() / n * both * math.log(both / (pa * pb))
+                    d[b, a] = d[a, b]
+        d = np.round(d, 9)
+        inside, out = [0], [-1] * J
+        while len(inside) < J:
+            _, i, j = max((d[i, j], -i, -j) for i in inside for j in range(J) if j not in inside)
+            out[-j] = -i
+            inside.append(-j)
+        return out
+
+    for k in range(40):
+        if k % 10 == 0:
+            parents = tree()
+        prior = (q.sum() + 1) / (n + 10)
+        has = labels >= 0
+        rate = [min(0.4, ((1 - q)[has] @ labels[has] + 1) / ((1 - q)[has].sum() + 10)), max(0.6, (q[has] @ labels[has] + 9) / (q[has].sum() + 10))]
+        log = np.tile(np.log([1 - prior, prior]), (n, 1))
+        for c, w in ((0, 1 - q), (1, q)):
+            for j in range(J):
+                parent = votes[:, parents[j]] if parents[j] >= 0 else np.zeros(n, int)
+                lean = (w @ votes[:, j] + 0.5) / (w.sum() + 5.0)
+                table = [(w[parent == v] @ votes[parent == v, j] + 4 * lean) / (w[parent == v].sum() + 4) for v in (0, 1)]
+                p = np.array(table)[parent]
+                log[:, c] += np.log(np.where(votes[:, j] == 1, p, 1 - p))
+            log[:, c] += np.where(has, np.log(np.where(labels == 1, rate[c], 1 - rate[c])), 0.0)
+        top = log.max(axis=1)
+        value = (top + np.log(np.exp(log - top[:, None]).sum(axis=1))).sum()
+        q = 1 / (1 + np.exp(log[:, 0] - log[:, 1]))
+        if k > 15 and abs(value - last) < 1e-7 * abs(value):
+            break
+        last = value
+    return q
+
+
+@pytest.mark.parametrize("where", ["small", "odd"])
+def test_toxicity_against_brute_force(spark, small, odd, where):
+    """Mined words, votes, label model, classifier and scores of whole tables, worked out plainly."""
+    d = small if where == "small" else odd
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
+    fold = lambda i: None if i is None else zlib.crc32(str(i).encode()) % 5
+    marks = {}
+    for r in spark.read.parquet(f"{d}/labels.parquet").collect():
+        if r.doc_id is not None and r.toxic is not None and fold(r.doc_id) != 0:
+            marks[r.doc_id] = max(marks.get(r.doc_id, 0), r.toxic)
+    sizes = Counter(marks.values())
+    n1, n0 = Counter(), Counter()
+    for i, text in docs:
+        if i in marks and sizes[0] and sizes[1]:
+            words = set(plain_features(text, {})[2])
+            for key in {(w, True) for w in words} | {(w[:n], False) for w in words for n in toxicity.BEGINNINGS if len(w) > n}:
+                (n1 if marks[i] == 1 else n0)[key] += 1
+    lexicon = {}
+    for key, a in n1.items():
+        w = math.log((a + 0.5) / (sizes[1] + 1)) - math.log((n0[key] + 0.5) / (sizes[0] + 1))
+        if a >= toxicity.LEAST_TEXTS and w >= math.log(toxicity.LEAST_RATIO) and w / math.sqrt(1 / (a + 0.5) + 1 / (n0[key] + 0.5)) >= toxicity.LEAST_ERRORS:
+            # a word of the length of a beginning is another key than the beginning
+            lexicon[key] = min(w, 5.0)
+    seen = [plain_features(t, lexicon) for _, t in docs]
+    train = [k for k, (i, _) in enumerate(docs) if i is not None and fold(i) != 0]
+    votes = np.array([seen[k][0] for k in train])
+    x, y = np.array([seen[k][1] for k in train]), plain_label_model(votes, np.array([marks.get(docs[k][0], -1) for k in train]))
+    w = np.zeros(x.shape[1] + 1)
+    one = np.column_stack([x, np.ones(len(x))])
+    ridge = np.array([1.0] * x.shape[1] + [1e-3])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(one @ w)))
+        w += np.linalg.solve((one.T * (p * (1 - p))) @ one + np.diag(ridge), one.T @ (y - p) - ridge * w)
+    score = lambda f: 1 / (1 + math.exp(-max(-30.0, min(30.0, float(f @ w[:-1] + w[-1])))))
+    want = sorted((str(i), fold(i) == 0, round(score(f), 5), int(score(f) >= 0.5)) for (i, _), (_, f, _) in zip(docs, seen))
+    got = sorted((str(r.doc_id), r.held_out, round(r.score, 5), r.predicted) for r in toxicity.op8_weak_toxicity(spark, d).collect())
+    assert [g[:2] + g[3:] for g in got] == [g[:2] + g[3:] for g in want] and max(abs(a[2] - b[2]) for a, b in zip(got, want)) < 1e-3
+
+
+def test_held_out_toxicity(spark):
+    """On rows whose labels were never seen: how toxic and clean ones are ordered, and what the threshold gives."""
+    d = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{d}/labels.parquet").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = toxicity.op8_weak_toxicity(spark, d).where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").toPandas()
+    ones, zeros = rows[rows.toxic == 1], rows[rows.toxic == 0]
+    auc = np.mean([(s > zeros.score).mean() + 0.5 * (s == zeros.score).mean() for s in ones.score])
+    assert len(ones) > 50 and auc > 0.97 and ones.predicted.mean() > 0.9 and zeros.predicted.mean() < 0.01
+
+
 def test_toxic_rows_are_found(spark, small):
     labels = spark.read.parquet(f"{small}/labels.parquet")
     words = "trash|pathetic|idiot|worthless|disgusting|stupid|clown|loser|scum|moron"
@@ -722,6 +972,90 @@ def test_quality_rules_are_a_projection(spark, odd):
     assert not any(x in plan for x in ("Exchange", "Python", "Pandas", "Arrow"))
 
 
+def plain_words(text):
+    return [w for w in "".join(c.lower() if c.isascii() and c.isalpha() else c if ord(c) > 127 or c.isdigit() else " " for c in text or "").split(" ") if w]
+
+
+def brute_hits(rows, bench):
+    """Of each text, whether a benchmark window occurs in it."""
+    windows = set()
+    for t in bench:
+        w = plain_words(t)
+        windows |= {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    sizes = {len(w) for w in windows}
+    return [any(tuple(w[i : i + n]) in windows for n in sizes for i in range(len(w) - n + 1)) for w in (plain_words(r[1]) for r in rows)]
+
+
+def brute_mix(rows):
+    """The rows (doc_id, text, lang, source) that are sampled: raking with bounds on arrays of cells."""
+    import re
+
+    topic = lambda t: next((n for n, p in mixing.TOPICS if re.search(p, t)), "prose")
+    cell = [(r[3] or "(none)", r[2] or "(none)", topic(r[1] or "")) if None not in (r[3], r[2]) else (r[3] if r[3] is not None else "(none)", r[2] if r[2] is not None else "(none)", topic(r[1] or "")) for r in rows]
+    cells = sorted(set(cell))
+    tokens = np.array([sum(len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r, c in zip(rows, cell) if c == k) for k in cells], float)
+    budget = mixing.FRACTION * tokens.sum()
+    targets, groups = [], []
+    for k, d in enumerate(mixing.DIMENSIONS):
+        values = sorted({c[k] for c in cells})
+        of = np.array([values.index(c[k]) for c in cells])
+        has = np.bincount(of, weights=tokens)
+        share = np.where(has > 0, (has / tokens.sum()) ** mixing.POWER[d], 0)
+        z = budget / share.sum()
+        for _ in range(20):  # what full values leave over goes to the others
+            full = z * share >= has
+            z = (budget - has[full].sum()) / share[~full].sum() if (~full & (share > 0)).any() else z
+        targets.append(np.minimum(has, z * share))
+        groups.append(of)
+    weight = tokens * mixing.FRACTION
+    for _ in range(mixing.ROUNDS):
+        for goal, of in zip(targets, groups):
+            full = weight >= tokens * (1 - 1e-9)
+            bound = np.bincount(of, weights=np.where(full, tokens, 0))
+            free = np.bincount(of, weights=np.where(full, 0, weight))
+            factor = np.array([(g - b) / f if f > 0 and g > b else g / (b + f) if b + f > 0 else 0.0 for g, b, f in zip(goal, bound, free)])
+            weight = np.minimum(weight * factor[of], tokens * 1e9)
+    rate = dict(zip(cells, np.where(tokens > 0, np.minimum(1, weight / np.maximum(tokens, 1)), 0)))
+    draw = lambda i: int(hashlib.md5(f"{mixing.SEED}:{'null' if i is None else i}".encode()).hexdigest()[:8], 16) / 2**32
+    return [r for r, c in zip(rows, cell) if draw(r[0]) < rate[c]]
+
+
+@pytest.mark.parametrize("where", ["small", "odd"])
+def test_pipeline_against_brute_force(spark, small, odd, where):
+    """Each stage's rows, and the end, against plain versions of all five."""
+    import corpus_pipeline
+
+    d = small if where == "small" else odd
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    bench = [r.text for r in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
+    columns = ["doc_id", "text", "lang", "source"]
+    rows = [tuple(r) for r in docs.select(*columns).collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "language_id":
+            rows = [r for r, (best, score) in zip(rows, brute_languages([r[:3] for r in rows])) if best != "und" and score >= langid.LEAST_SCORE]
+        elif name == "near_dedup":
+            kept = {(i, c) for i, _, c, k in brute_components(rows) if k and i is not None}
+            first, out = set(), []
+            for r in rows:  # rows that repeat a document: one stays
+                if r[0] is None or (r[0] in {i for i, _ in kept} and r[0] not in first):
+                    out.append(r)
+                    first.add(r[0])
+            rows = out
+        elif name == "decontamination":
+            rows = [r for r, hit in zip(rows, brute_hits(rows, bench)) if not hit]
+        elif name == "mixing":
+            rows = brute_mix(rows)
+        docs, _ = scratch.written(stage(spark, docs, d), "stage")
+        if name != "token_store":
+            assert Counter(tuple(r) for r in docs.select(*columns).collect()) == Counter(rows), name
+    start, want = 0, []
+    for i, ids in sorted(whole_ids(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert rows and sorted(tuple(r) for r in docs.collect() if r.doc_id is not None) == sorted(w for w in want if w[0] is not None)
+    assert Counter(tuple(r) for r in corpus_pipeline.run(spark, d).collect()) == Counter(tuple(r) for r in docs.collect())
+
+
 def test_pipeline(spark, odd, small):
     import corpus_pipeline
 
