@@ -36,6 +36,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
@@ -154,7 +155,7 @@ class Encoder:
         starts, ends, hashes, at = tb.words(block, tb.SPACE, fold=fold)
         if not fold:
             hashes = ~hashes  # kept apart from folded words
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        keys, first, inverse = _distinct(hashes)
         letters, size = tb.FOLD[block.buffer] if fold else block.buffer, ends - starts
         if not _same_bytes(letters, starts, size, letters, starts[first][inverse], size[first][inverse]):
             return None
@@ -172,33 +173,52 @@ class Encoder:
             place = np.searchsorted(self.keys, keys)
         self.blocks[place] += 1
         begin, count = self.begin[place][inverse], self.count[place][inverse]
-        docs = len(block)
-        # ids before each word, and an end id after each document
+        # the words' ids follow one another, with an end id after each document
         total = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
-        offsets = total[at] + np.arange(docs + 1)
+        offsets = total[at] + np.arange(len(block) + 1)
         out = np.empty(int(offsets[-1]), np.uint32)
-        inner = _inner(count)
-        out[np.repeat(total[:-1] + np.repeat(np.arange(docs), np.diff(at)), count) + inner] = self.flat[np.repeat(begin, count) + inner]
+        body = np.ones(len(out), bool)
+        body[offsets[1:] - 1] = False
+        out[body] = self.flat[np.repeat(begin - total[:-1], count) + np.arange(int(total[-1]))]
         out[offsets[1:] - 1] = END_ID
         return out, offsets
 
 
-def _same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray, most: int = 1 << 19) -> bool:
-    """Whether each span of x equals its span of y; about `most` bytes are laid side by side at once."""
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct values, the place where each is first, and the number of each value among them; as
+    np.unique gives, but sorting distinct values only."""
+    codes, found = pd.factorize(values)
+    first = np.empty(len(found), np.int64)
+    first[codes[::-1]] = np.arange(len(values) - 1, -1, -1)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], first[order], rank[codes]
+
+
+#: By how many bytes of a group of eight count: the mask of them.
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def _groups(data: np.ndarray) -> np.ndarray:
+    """At each place, the eight bytes from there on as one number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def _same_bytes(x: np.ndarray, x_at: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_at: np.ndarray, y_size: np.ndarray) -> bool:
+    """Whether each span of x equals its span of y; eight bytes of all are compared at once, then the next of longer ones."""
     if not np.array_equal(x_size, y_size):
         return False
     apart = np.flatnonzero(x_at != y_at) if x is y else np.arange(len(x_at))
-    ends = np.cumsum(x_size[apart])
-    low = 0
-    while low < len(apart):
-        before = int(ends[low - 1]) if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
-        k = apart[low:high]
-        n = x_size[k]
-        inner = _inner(n)
-        if not np.array_equal(x[np.repeat(x_at[k], n) + inner], y[np.repeat(y_at[k], n) + inner]):
+    a, b, left = x_at[apart], y_at[apart], x_size[apart]
+    p = _groups(x)
+    q = p if x is y else _groups(y)
+    while len(a):
+        if ((p[a] ^ q[b]) & _MASKS[np.minimum(left, 8)]).any():
             return False
-        low = high
+        more = left > 8
+        a, b, left = a[more] + 8, b[more] + 8, left[more] - 8
     return True
 
 
@@ -430,9 +450,9 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of documents: of each key the recipes, then their chunks, come one after another."""
     key = None
     held: list[tuple] = []  # doc_id, start, n_tokens, root, digests
-    had: dict[bytes, np.ndarray] = {}
+    had: dict[bytes, bytes] = {}
     out, size = [], 0
-    kind = None
+    kind, wide = None, 4
 
     def ids_of(doc_id, n_tokens: int, root: bytes, digests: list[bytes]) -> bytes:
         if merkle(digests) != root:
@@ -440,10 +460,10 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lost = [d for d in digests if d not in had]
         if lost:
             raise ValueError(f"document {doc_id}: the chunk with the address {lost[0].hex()} is missing")
-        ids = np.concatenate([had[d] for d in digests])
-        if len(ids) != n_tokens:
-            raise ValueError(f"document {doc_id}: {len(ids)} ids, the recipe has {n_tokens}")
-        return ids.tobytes()
+        data = had[digests[0]] if len(digests) == 1 else b"".join([had[d] for d in digests])
+        if len(data) != n_tokens * wide:
+            raise ValueError(f"document {doc_id}: {len(data) // wide} ids, the recipe has {n_tokens}")
+        return data if wide == 4 else np.frombuffer(data, f"<u{wide}").astype("<u4").tobytes()
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], ["doc_id", "start", "ids"])
@@ -459,17 +479,23 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         kind = b.schema.field("doc_id").type
-        columns = [b.column(c).to_pylist() for c in ("key", "doc_id", "start", "n_tokens", "root", "digests", "digest", "width", "data")]
-        for k, doc_id, start, n_tokens, root, digests, digest, width, data in zip(*columns):
+        keys = b.column("key").to_pylist()
+        heads = np.asarray(b.column("digests").is_valid())
+        recipes, chunks = b.filter(pa.array(heads)), b.filter(pa.array(~heads))
+        recipe = zip(*[recipes.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "digests")])
+        chunk = zip(*[chunks.column(c).to_pylist() for c in ("digest", "width", "data")])
+        for k, head in zip(keys, heads.tolist()):
             if k != key:
                 yield from close()
                 key, held, had = k, [], {}
-            if digests is not None:
-                held.append((doc_id, start, n_tokens, root, digests))
-            elif digest not in had:
+            if head:
+                held.append(next(recipe))
+                continue
+            digest, wide, data = next(chunk)
+            if digest not in had:
                 if hashlib.sha256(data).digest() != digest:
                     raise ValueError("a chunk does not match its address")
-                had[digest] = np.frombuffer(data, f"<u{width}").astype("<u4")
+                had[digest] = data
     yield from close()
     if out:
         yield batch_of(out)
