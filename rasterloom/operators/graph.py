@@ -1,13 +1,18 @@
 """Connected components of a link table by alternating star contractions, and a join in which one key may hold a large
-share of the rows; no group is ever gathered in one task."""
+share of the rows; no group of unbounded size is ever gathered in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import scratch
 
+#: Links, about 1 MB, that one task labels faster than many steps over the cluster.
+TOGETHER = 50_000
 #: A key with more rows than this, and more than one in HUBS of all rows, is a hub; so there are fewer than HUBS hubs.
 HUB_ROWS, HUBS = 1000, 50_000
 
@@ -55,13 +60,34 @@ def _contract_down(links: DataFrame) -> DataFrame:
     return moved.unionByName(hub.select(F.col("of").alias("a"), F.col("least").alias("b"))).distinct()
 
 
-def labels(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """node and label (the least node reached) of all nodes in links (a, b); nodes without links are absent."""
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and label of a few links, by union-find."""
+    parent: dict[int, int] = {}
+
+    def least(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent.setdefault(up, up)
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = least(a), least(b)
+            parent[max(x, y)] = min(x, y)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([least(x) for x in nodes], pa.int64())], ["node", "label"])
+
+
+def labels(links: DataFrame, rounds: int = 60, together: int = TOGETHER) -> DataFrame:
+    """node and label (the least node reached) of all nodes in links (a, b); nodes without links are absent. Up to
+    `together` links are worked out in one task; the result is the same."""
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, path = scratch.written(now, "links")
     last = None
     for _ in range(rounds):
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if last is None and state[0] <= together:
+            return now.coalesce(1).mapInArrow(_joined_up, "node long, label long")
         if state == last or not state[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         last, old = state, path

@@ -199,7 +199,7 @@ def _more_chains(last: bool):
 
 def rings(pixels: DataFrame, block: int = BLOCK, larger: int | None = None) -> DataFrame:
     """component_id, class and points (packed rows and columns, the first repeated at the end) of each closed ring."""
-    px = pixels.select("component_id", "value", "grow", "gcol")
+    px, _ = scratch.written(pixels.select("component_id", "value", "grow", "gcol"), "pixels")  # read four times
     at = lambda c, size: F.floor(F.col(c) / size).cast("long")
     keyed = px.withColumns({"br": at("grow", block), "bc": at("gcol", block), "size": F.lit(block)})
     seams, _ = scratch.written(_seams(px, block).withColumns({"br": at("grow", block), "bc": at("gcol", block), "size": F.lit(block)}), "seams")

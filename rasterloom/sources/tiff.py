@@ -97,10 +97,15 @@ def info(data: bytes | Callable[[int, int], bytes]) -> dict:
     }
 
 
-def decode(data: bytes) -> np.ndarray:
-    """All bands, (bands, height, width)."""
-    order, t = _tags(_within(data))
+def decode(data: bytes | Callable[[int, int], bytes], window: tuple[int, int, int, int] | None = None) -> np.ndarray:
+    """All bands, (bands, height, width). data: the file's bytes, or a function that reads a range of them. window: rows
+    from, to and columns from, to; only strips and tiles that meet it are read and decoded."""
+    read = data if callable(data) else _within(data)
+    order, t = _tags(read)
     h, w, bands = t[HEIGHT][0], t[WIDTH][0], t.get(SAMPLES, (1,))[0]
+    top, bottom, left, right = window or (0, h, 0, w)
+    if not (0 <= top <= bottom <= h and 0 <= left <= right <= w):
+        raise ValueError(f"the window {window} is not within {h} x {w}")
     kind = np.dtype(order + _KINDS[(t[BITS][0], t.get(FORMAT, (1,))[0])])
     tiled = TILES in t
     bh, bw = (t[TILE_H][0], t[TILE_W][0]) if tiled else (min(t.get(ROWS, (h,))[0], h), w)
@@ -108,23 +113,27 @@ def decode(data: bytes) -> np.ndarray:
     planar = t.get(PLANAR, (1,))[0] == 2 and bands > 1
     per = 1 if planar else bands
     across, down = -(-w // bw), -(-h // bh)
-    out = np.zeros((bands, h, w), kind.newbyteorder("="))
+    how = t.get(COMPRESSION, (1,))[0]
+    out = np.zeros((bands, bottom - top, right - left), kind.newbyteorder("="))
     for k, (at, size) in enumerate(zip(places, sizes)):
-        raw, how = data[at : at + size], t.get(COMPRESSION, (1,))[0]
+        plane, cell = divmod(k, across * down) if planar else (0, k)
+        r0, c0 = (cell // across) * bh, (cell % across) * bw
+        rows = bh if tiled else min(bh, h - r0)
+        low_r, high_r, low_c, high_c = max(r0, top), min(r0 + rows, bottom), max(c0, left), min(c0 + bw, right)
+        if low_r >= high_r or low_c >= high_c:
+            continue
+        raw = read(at, size)
         if how == 5:
             raw = _lzw(raw)
         elif how in (8, 32946):
             raw = zlib.decompress(raw)
         elif how != 1:
             raise ValueError(f"compression {how} is not supported")
-        plane, cell = divmod(k, across * down) if planar else (0, k)
-        r0, c0 = (cell // across) * bh, (cell % across) * bw
-        rows = bh if tiled else min(bh, h - r0)
         block = np.frombuffer(raw, kind, rows * bw * per).reshape(rows, bw, per).astype(kind.newbyteorder("="))
         if t.get(PREDICTOR, (1,))[0] == 2:
             block = np.cumsum(block, axis=1, dtype=block.dtype)
-        part = block[: h - r0, : w - c0].transpose(2, 0, 1)
-        out[plane : plane + per, r0 : r0 + part.shape[1], c0 : c0 + part.shape[2]] = part
+        part = block[low_r - r0 : high_r - r0, low_c - c0 : high_c - c0].transpose(2, 0, 1)
+        out[plane : plane + per, low_r - top : high_r - top, low_c - left : high_c - left] = part
     return out
 
 

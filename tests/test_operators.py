@@ -263,6 +263,30 @@ def test_rings_by_block(spark, monkeypatch, block, eight):
         assert polygon[0][0] == min(p for ring in polygon for p in ring)
 
 
+@pytest.mark.parametrize("together", [0, 1000])
+def test_labels(spark, together):
+    """A hub, a chain, a ring, a link to itself and repeated links, in one task and by contraction."""
+    from rasterloom.operators import graph
+
+    links = [(1000, k) for k in range(1001, 1100)] + [(k, k + 3) for k in range(10, 60, 3)] + [(201, 200), (200, 202), (202, 201)] * 2 + [(7, 7)]
+    got = {r.node: r.label for r in graph.labels(spark.createDataFrame(links, "a long, b long"), together=together).collect()}
+    assert got == {**{k: 1000 for k in range(1000, 1100)}, **{k: 10 for k in range(10, 62, 3)}, 200: 200, 201: 200, 202: 200}
+    assert graph.labels(spark.createDataFrame([], "a long, b long"), together=together).count() == 0
+
+
+def test_joins_with_hubs(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from rasterloom.operators import graph
+
+    monkeypatch.setattr(graph, "HUB_ROWS", 3)
+    big = spark.createDataFrame([(1, k) for k in range(9)] + [(2, 20), (3, 30), (None, 40)], "k long, v long")
+    small = spark.createDataFrame([(1, "a", 9), (2, "b", 1)], "of long, w string, n long")
+    for how, rest in (("inner", []), ("left", [(30, None), (40, None)])):
+        for out in (graph.joined(big, "k", small, "of", "n", 12, how), graph.met(big, "k", small, "of", how)):
+            assert sorted((r.v, r.w) for r in out.select("v", F.col("w")).collect()) == [*[(k, "a") for k in range(9)], (20, "b"), *rest]
+
+
 def test_components_of_a_long_line(spark):
     line = spark.createDataFrame([(0, c, 1) for c in range(200)], "grow int, gcol int, value int")
     assert vector.regions(vector.components(line, block=4)).collect()[0].n_pixels == 200

@@ -263,3 +263,77 @@ def test_compacted_state_goes_on(spark, tmp_path):
     spark.createDataFrame([(0, 1, 2)], schema).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "in"))
     start("more", "cp2")
     assert {(r.grow, r.gcol): r.value for r in incremental.mosaic(incremental.read_state(spark, str(tmp_path / "more"))).collect()} == {(0, 0): 1, (0, 1): 2}
+
+
+def test_pickled_checkpoint(spark, tmp_path):
+    """A zipped checkpoint's index, without the library that wrote it; names that would do harm stay inert."""
+    import collections
+    import pickle
+    import sys
+    import types
+    import zipfile
+
+    torch, utils = types.ModuleType("torch"), types.ModuleType("torch._utils")
+
+    def rebuild(*args):
+        return args
+
+    rebuild.__module__, rebuild.__qualname__, rebuild.__name__ = "torch._utils", "_rebuild_tensor_v2", "_rebuild_tensor_v2"
+    utils._rebuild_tensor_v2 = rebuild
+    kinds = {}
+    for name in ("FloatStorage", "HalfStorage"):
+        kinds[name] = type(name, (), {"__module__": "torch"})
+        setattr(torch, name, kinds[name])
+
+    class Stored:
+        def __init__(self, kind, shape):
+            self.kind, self.shape = kind, shape
+
+    class Harm:
+        def __reduce__(self):
+            return os.system, (f"touch {tmp_path}/harm",)
+
+    import os
+
+    class Pickler(pickle.Pickler):
+        def persistent_id(self, x):
+            return ("storage", x, "0", "cpu", 1) if x in kinds.values() else None
+
+        def reducer_override(self, x):
+            if isinstance(x, Stored):
+                return rebuild, (kinds[x.kind], 0, x.shape, (1,), False, collections.OrderedDict())
+            return NotImplemented
+
+    state = collections.OrderedDict([("model.a.weight", Stored("FloatStorage", (3, 4))), ("model.b", Stored("HalfStorage", ())), ("criterion.w", Stored("FloatStorage", (2,)))])
+    sys.modules["torch"], sys.modules["torch._utils"] = torch, utils
+    try:
+        raw = __import__("io").BytesIO()
+        Pickler(raw, protocol=2).dump({"state_dict": state, "epoch": 3, "extra": Harm()})
+    finally:
+        del sys.modules["torch"], sys.modules["torch._utils"]
+    with zipfile.ZipFile(tmp_path / "m.pth", "w") as z:
+        z.writestr("archive/data.pkl", raw.getvalue())
+        z.writestr("archive/data/0", b"\0" * 100)
+    got = {r.name: (r.dtype, list(r.shape), r.size) for r in checkpoint.read(spark, str(tmp_path / "m.pth")).collect()}
+    assert got == {"a.weight": ("F32", [3, 4], 12), "b": ("F16", [], 1)} and not (tmp_path / "harm").exists()
+
+
+def test_windowed_read():
+    """Only the strips that meet a window are read."""
+    import numpy as np
+
+    cube = np.random.default_rng(2).integers(0, 256, (2, 700, 600)).astype(np.uint8)
+    data = tiff.encode(cube, 0.0, 700.0, 1.0, -1.0)
+    seen = []
+
+    def read(at, n):
+        seen.append(n)
+        return data[at : at + n]
+
+    for window in ((0, 700, 0, 600), (0, 1, 0, 1), (300, 420, 77, 78), (699, 700, 0, 600), (5, 5, 2, 2)):
+        r0, r1, c0, c1 = window
+        assert (tiff.decode(data, window) == cube[:, r0:r1, c0:c1]).all()
+    tiff.decode(read, (300, 301, 0, 600))
+    assert sum(seen) < len(data) / 2
+    with pytest.raises(ValueError):
+        tiff.decode(data, (0, 701, 0, 1))
