@@ -65,6 +65,13 @@ class _Tensor:
         self.kind, self.shape = kind, shape
 
 
+class _Kind:
+    """A storage class, which is only named."""
+
+    def __init__(self, name: str):
+        self.name = name
+
+
 class _Stub:
     """Stands in for any object of a pickle."""
 
@@ -98,10 +105,10 @@ class _Index(pickle.Unpickler):
             return lambda storage, offset, size, *rest: _Tensor(storage, list(size))
         if name in ("_rebuild_parameter", "_rebuild_parameter_with_state"):
             return lambda data, *rest: data
-        return _STORED.get(name, _Stub)
+        return _Kind(_STORED[name]) if name in _STORED else _Stub
 
     def persistent_load(self, pid):
-        return pid[1] if isinstance(pid[1], str) else "F32"
+        return pid[1].name if isinstance(pid[1], _Kind) else "F32"
 
 
 def pickled(read: Callable[[int, int], bytes], size: int) -> list[tuple[str, str, list[int], int]]:

@@ -268,6 +268,7 @@ def test_compacted_state_goes_on(spark, tmp_path):
 def test_pickled_checkpoint(spark, tmp_path):
     """A zipped checkpoint's index, without the library that wrote it; names that would do harm stay inert."""
     import collections
+    import os
     import pickle
     import sys
     import types
@@ -289,19 +290,21 @@ def test_pickled_checkpoint(spark, tmp_path):
         def __init__(self, kind, shape):
             self.kind, self.shape = kind, shape
 
+    class Storage:
+        def __init__(self, kind):
+            self.kind = kind
+
     class Harm:
         def __reduce__(self):
             return os.system, (f"touch {tmp_path}/harm",)
 
-    import os
-
     class Pickler(pickle.Pickler):
         def persistent_id(self, x):
-            return ("storage", x, "0", "cpu", 1) if x in kinds.values() else None
+            return ("storage", kinds[x.kind], "0", "cpu", 1) if isinstance(x, Storage) else None
 
         def reducer_override(self, x):
             if isinstance(x, Stored):
-                return rebuild, (kinds[x.kind], 0, x.shape, (1,), False, collections.OrderedDict())
+                return rebuild, (Storage(x.kind), 0, x.shape, (1,), False, collections.OrderedDict())
             return NotImplemented
 
     state = collections.OrderedDict([("model.a.weight", Stored("FloatStorage", (3, 4))), ("model.b", Stored("HalfStorage", ())), ("criterion.w", Stored("FloatStorage", (2,)))])
