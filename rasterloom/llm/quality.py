@@ -70,11 +70,11 @@ def measures(docs: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(
             F.size("w") >= 3,
-            F.zip_with(F.zip_with(F.col("w"), F.expr("slice(w, 2, size(w))"), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.expr("slice(w, 3, size(w))"), lambda p, c: F.when(c.isNotNull(), F.xxhash64(p["a"], p["b"], c))),
+            F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))),
         ).alias("h"),
     )
-    # windows hold nulls for the last two places only; the heavy path runs where a window repeats
-    repeats = hashed.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h") - 1, F.array_sort(F.filter(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: x["h"].isNotNull()))))
+    # the heavy path runs where a window repeats
+    repeats = hashed.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.array_sort(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     starts = repeats.withColumn(
         "s",
         F.when(
