@@ -328,6 +328,16 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatc
             )
 
 
+def _width(spark, tokenizer: str) -> int:
+    """Bytes of an id in chunks; asked of a task, so that the driver need not load the tokenizer."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"width": pa.array([encoder(tokenizer).width], pa.int32())})
+
+    return spark.range(1, numPartitions=1).mapInArrow(run, "width int").first()[0]
+
+
 def _objects(spark, folder: str, kind: str, schema) -> DataFrame:
     """The objects of a kind: chunk or list (recipes that aren't in order yet)."""
     return spark.read.schema(schema).parquet(f"{folder}/objects").where(F.col("kind") == kind).drop("kind")
@@ -337,7 +347,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str) -> None:
     """Writes the store's four tables below the folder."""
     spark = docs.sparkSession
     scratch.bounded(spark)
-    width = encoder(tokenizer).width
+    width = _width(spark, tokenizer)
     cut = docs.select("doc_id", "text").mapInArrow(lambda batches: _cut(batches, tokenizer), _CUT.format(kind=docs.schema["doc_id"].dataType.simpleString()))
     # one row of each chunk stays, that of the least key, with the documents of all blocks
     same = Window.partitionBy("spread", "digest").orderBy("key")
