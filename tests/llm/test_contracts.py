@@ -847,6 +847,13 @@ def test_toxic_rows_are_found(spark, small):
     assert out.where("NOT has AND toxic = 0 AND predicted = 1").count() == 0
 
 
+def test_labels_beyond_a_broadcast(spark, small, monkeypatch):
+    key = lambda: sorted((r.doc_id, round(r.score, 9)) for r in toxicity.op8_weak_toxicity(spark, small).collect())
+    want = key()
+    monkeypatch.setattr(toxicity, "MARK_ROWS", 0)
+    assert key() == want
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     got = toxicity.op8_weak_toxicity(spark, odd).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
