@@ -76,8 +76,9 @@ def placed(meta: DataFrame, mosaic: DataFrame | None = None) -> DataFrame:
 
 
 def global_pixels(pixels: DataFrame, places: DataFrame) -> DataFrame:
-    """path, grow, gcol, value of all tiles' pixels."""
-    p = places.select(F.col("tile_id").alias("of"), "path", "row0", "col0")
+    """path, grow, gcol, value of all tiles' pixels. The places are hashed: pixels that an explode makes are estimated
+    as small as what they are made from, and would be broadcast."""
+    p = places.select(F.col("tile_id").alias("of"), "path", "row0", "col0").hint("shuffle_hash")
     return pixels.join(p, F.col("tile_id") == F.col("of")).select("path", (F.col("row") + F.col("row0")).alias("grow"), (F.col("col") + F.col("col0")).alias("gcol"), "value")
 
 
@@ -156,7 +157,8 @@ def blocks(mosaic: DataFrame, extent_row, name: str, block: int, fill: int) -> t
     own = mosaic.withColumns({"br": F.floor(F.col("grow") / block), "bc": F.floor(F.col("gcol") / block)})
     inner = own.select(label.alias("tile_id"), (F.col("grow") - F.col("br") * block).cast("int").alias("row"), (F.col("gcol") - F.col("bc") * block).cast("int").alias("col"), "value")
     corners = grids.select("tile_id", F.lit(0).alias("row"), F.lit(0).alias("col"))  # so that empty blocks are written, too
-    missing = corners.join(inner, ["tile_id", "row", "col"], "left_anti").withColumn("value", F.lit(fill).cast(mosaic.schema["value"].dataType))
+    taken = inner.where("row = 0 AND col = 0").select("tile_id").hint("shuffle_hash")
+    missing = corners.join(taken, "tile_id", "left_anti").withColumn("value", F.lit(fill).cast(mosaic.schema["value"].dataType))
     return inner.unionByName(missing), grids
 
 

@@ -139,7 +139,7 @@ def mosaic_files(spark, d):
     merged = mosaic.merged(mosaic.global_pixels(A.tile_pixels(spark, d), mosaic.placed(meta)))
     inner, grids = mosaic.blocks(merged, mosaic.extent(meta).first(), "m", 16, 0)
     scratch.written(tiff.write(inner, grids, folder), "paths")
-    back = tiff.metadata(spark, folder)
+    back, _ = scratch.written(tiff.metadata(spark, folder), "headers")
     whole = back.withColumns({"left": F.col("x0"), "top": F.col("y1"), "right": F.col("x0") + F.col("a") * F.col("width"), "bottom": F.col("y1") + F.col("e") * F.col("height")})
     return mosaic.global_pixels(tiff.read(spark, folder), mosaic.placed(whole)).select("grow", "gcol", F.col("value").cast("smallint").alias("value"))
 

@@ -323,3 +323,23 @@ def test_model_interface(spark):
     out = blend.infer(cut, ["y", "x"], ["v"], "half", lambda: (lambda cube: np.repeat(cube[::2, ::2], 2, axis=2)), 2)
     assert out.count() == 16 and all(len(r.logits) == 2 for r in out.collect())
     assert blend.segmented(px.withColumn("logits", F.array("v")), 4, 4, lambda w: w, 1, 4, 0, modes=("rot90", "rot270")).count() == 16
+
+
+def test_mosaics_do_not_broadcast_pixels(spark, small):
+    """Exploded pixels are estimated as small as the table they are made from."""
+    from rasterloom.plans import adapters as A
+    from rasterloom.sources import tiff
+
+    meta = A.tile_meta(spark, small)
+    merged = mosaic.merged(mosaic.global_pixels(A.tile_pixels(spark, small), mosaic.placed(meta)))
+    inner, grids = mosaic.blocks(merged, mosaic.extent(meta).first(), "m", 16, 0)
+    plan = tiff.write(inner, grids, "/tmp/never")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_blocks_without_their_corner(spark):
+    """A block whose corner has a pixel gets no second one; one without gets the fill there."""
+    row = spark.createDataFrame([(0.0, 4.0, 1.0, -1.0, "EPSG:2154", 4, 4)], "left double, top double, ref_a double, ref_e double, ref_crs string, width int, height int").first()
+    px = spark.createDataFrame([(0, 0, 3), (1, 3, 2)], "grow int, gcol int, value smallint")
+    inner, _ = mosaic.blocks(px, row, "m", 2, 7)
+    assert sorted(tuple(r) for r in inner.collect()) == [("m_0_0", 0, 0, 3), ("m_0_1", 0, 0, 7), ("m_0_1", 1, 1, 2), ("m_1_0", 0, 0, 7), ("m_1_1", 0, 0, 7)]
