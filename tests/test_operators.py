@@ -343,3 +343,30 @@ def test_blocks_without_their_corner(spark):
     px = spark.createDataFrame([(0, 0, 3), (1, 3, 2)], "grow int, gcol int, value smallint")
     inner, _ = mosaic.blocks(px, row, "m", 2, 7)
     assert sorted(tuple(r) for r in inner.collect()) == [("m_0_0", 0, 0, 3), ("m_0_1", 0, 0, 7), ("m_0_1", 1, 1, 2), ("m_1_0", 0, 0, 7), ("m_1_1", 0, 0, 7)]
+
+
+def test_filled_by_segment(spark, monkeypatch):
+    """Gaps, ends, runs over several segments and what lies outside, against cells one by one; no join of cells."""
+    monkeypatch.setattr(grid, "SEGMENT", 4)
+    dims = {"a": (3, 11), "b": (1, 4), "c": (2, 1)}
+    runs = [("a", 0, 0, 1, 5), ("a", 0, 3, 9, 6), ("a", 1, 10, 14, 7), ("a", 2, -2, 2, 8), ("a", 3, 0, 3, 9), ("a", -1, 0, 3, 9), ("b", 0, 4, 6, 9), ("c", 1, 0, 1, 4), ("d", 0, 0, 1, 9), (None, 0, 0, 1, 9)]
+    want = {(t, r, c): 2 for t, (h, w) in dims.items() for r in range(h) for c in range(w)}
+    for t, r, c0, c1, v in runs:
+        want.update({(t, r, c): v for c in range(c0, c1) if (t, r, c) in want})
+    out = grid.filled(spark.createDataFrame(runs, "tile_id string, row int, c0 int, c1 int, value smallint"), spark.createDataFrame([(t, *s) for t, s in dims.items()], "tile_id string, rows int, cols int"), 2)
+    assert sorted(tuple(r) for r in out.collect()) == sorted((*k, v) for k, v in want.items())
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("a, e", [(0.5, -0.5), (3.0, -2.0), (0.7, -1.3), (-0.5, 0.5)])
+def test_nearest_cell_by_cell(spark, a, e):
+    """Finer, coarser, odd and turned grids that begin elsewhere; cells are not joined."""
+    values = {(r, c): 1 + (3 * r + c) % 4 for r in range(4) for c in range(6) if (r + c) % 3}
+    h, w, x0, y1 = 9, 14, 0.9, 21.3
+    want = {(r, c): values.get((math.floor((y1 + (r + 0.5) * e - 20.0) / -1.0), math.floor((x0 + (c + 0.5) * a - 0.0) / 1.0)), 0) for r in range(h) for c in range(w)}
+    meta = "tile_id string, x0 double, y1 double, a double, e double, width int, height int"
+    source = spark.createDataFrame([("t", r, c, v) for (r, c), v in values.items()], "tile_id string, row int, col int, value smallint")
+    out = fuse.resampled_to(source, spark.createDataFrame([("t", 0.0, 20.0, 1.0, -1.0, 6, 4)], meta), spark.createDataFrame([("t", x0, y1, a, e, w, h)], meta))
+    assert {(r.row, r.col): r.value for r in out.collect()} == want
+    assert out.count() == h * w
+    assert "scol" not in out._jdf.queryExecution().optimizedPlan().toString()
