@@ -370,3 +370,10 @@ def test_nearest_cell_by_cell(spark, a, e):
     assert {(r.row, r.col): r.value for r in out.collect()} == want
     assert out.count() == h * w
     assert "scol" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_densify_joins_no_cells(spark):
+    raster = spark.createDataFrame([("a", 1, 2, 3), ("b", 0, 9, 1)], "tile_id string, row int, col int, value smallint")
+    out = points.densified(raster, spark.createDataFrame([("a", 2, 3), ("b", 1, 1)], "tile_id string, rows int, cols int"), 7)
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 0, 0, 7), ("a", 0, 1, 7), ("a", 0, 2, 7), ("a", 1, 0, 7), ("a", 1, 1, 7), ("a", 1, 2, 3), ("b", 0, 0, 7)]
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
