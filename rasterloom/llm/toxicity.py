@@ -10,8 +10,8 @@ Votes are summed by pattern in Spark first; there are at most 3 * 2 ** len(VOTER
 
 Besides the lexicon that is given, one is mined: words and word beginnings that go with label 1 much more often than
 with label 0, counted over all labelled training rows. It gives voters of its own. Every key that passes the tests is
-kept. A key must occur in LEAST_TEXTS texts of label 1, and in one in MOST_KEYS of all occurrences of keys in these, so
-there are never more than MOST_KEYS of them, which a task can hold.
+kept, whatever the input's size. Up to MOST_KEYS of them go to the tasks with the code; more are written as files, which
+a task reads one after another for each block of texts: slower, with the same votes and features.
 
 A logistic classifier over counts and ratios is then fitted to the posterior labels of a bounded sample of at most
 about SAMPLE training rows, chosen by hash. Votes and features cover all rows and whole texts.
@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ from rasterloom.llm import textblocks as tb
 SAMPLE = 20_000
 #: Labels that may be broadcast, about 20 MB; more of them are joined by a shuffle.
 MARK_ROWS = 500_000
-#: Keys that a mined lexicon can have at most, 16 bytes each.
+#: Keys of a mined lexicon that a task holds at once, 16 bytes each.
 MOST_KEYS = 8_000_000
 #: What a mined word or beginning needs: texts with label 1, times the rate of label 0, standard errors above it.
 LEAST_TEXTS, LEAST_RATIO, LEAST_ERRORS = 4, 5.0, 4.0
@@ -104,8 +106,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ones), pa.array(every - ones)], ["key", "n1", "n0"])
 
 
-def mined(docs: DataFrame, marks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of mined words and beginnings, and their weights (log odds, at most 5). marks: labelled, label."""
+def _lookup(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their weights."""
+    keys = np.asarray(table.column("key")).astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.minimum(np.asarray(table.column("w")).astype(np.float64), 5.0)[order]
+
+
+def _slices(lexicon: tuple[np.ndarray, np.ndarray] | list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The lexicon's keys and weights, file by file where it is in files."""
+    if isinstance(lexicon, tuple):
+        yield lexicon
+        return
+    for uri in lexicon:
+        fs, path = pafs.FileSystem.from_uri(uri)
+        with fs.open_input_file(path) as f:
+            yield _lookup(pq.read_table(f))
+
+
+def mined(docs: DataFrame, marks: DataFrame) -> tuple[np.ndarray, np.ndarray] | list[str]:
+    """Sorted hashes of mined words and beginnings, and their weights (log odds, at most 5); more than MOST_KEYS of them
+    as Parquet files in the shared folder. marks: labelled, label."""
     sizes = {r.label: r.n for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return np.zeros(0, np.uint64), np.zeros(0)
@@ -113,17 +134,18 @@ def mined(docs: DataFrame, marks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = docs.select("doc_id", "text").join(F.broadcast(marks) if few else marks, F.col("doc_id") == F.col("labelled")).select("label", "text")
     odds = F.log((F.col("n1") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("n0") + 0.5) / (sizes[0] + 1.0))
     errors = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
-    with scratch.swept(docs.sparkSession):
+    with scratch.swept(docs.sparkSession) as keep:
         summed, _ = scratch.written(rows.mapInArrow(_counted, "key long, n1 long, n0 long").groupBy("key").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 > 0"), "words")
-        least = max(LEAST_TEXTS, summed.agg(F.coalesce(F.sum("n1"), F.lit(0))).first()[0] / MOST_KEYS)
-        good = summed.where(F.col("n1") >= least).select("key", odds.alias("w"), errors.alias("z")).where((F.col("w") >= np.log(LEAST_RATIO)) & (F.col("z") >= LEAST_ERRORS))
-        top = good.select("key", "w").toArrow()
-    keys = np.asarray(top.column("key")).astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.minimum(np.asarray(top.column("w")).astype(np.float64), 5.0)[order]
+        good = summed.where(F.col("n1") >= LEAST_TEXTS).select("key", odds.alias("w"), errors.alias("z")).where((F.col("w") >= np.log(LEAST_RATIO)) & (F.col("z") >= LEAST_ERRORS)).select("key", "w")
+        n = good.count()
+        if n <= MOST_KEYS:
+            return _lookup(good.toArrow())
+        sliced, path = scratch.written(good.repartitionByRange(-(-2 * n // MOST_KEYS), "key"), "lexicon")  # files of about half of what a task holds
+        keep(path)
+        return sorted(sliced.inputFiles())
 
 
-def _looked_at(batches: Iterator[pa.RecordBatch], lexicon: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _looked_at(batches: Iterator[pa.RecordBatch], lexicon: tuple[np.ndarray, np.ndarray] | list[str]) -> Iterator[pa.RecordBatch]:
     keys, family, you = _tables()
     upper = np.zeros(256, bool)
     upper[0x41:0x5B] = True
@@ -147,11 +169,13 @@ def _looked_at(batches: Iterator[pa.RecordBatch], lexicon: tuple[np.ndarray, np.
             beside = np.bincount(of[hit[near]], minlength=docs)
             # each distinct word counts once, by the best of what is mined of it
             weight = np.zeros(len(h))
-            if len(lexicon[0]):
+            for held, weights in _slices(lexicon):
+                if not len(held):
+                    continue
                 for place, key in parts:
-                    j = np.minimum(np.searchsorted(lexicon[0], key), len(lexicon[0]) - 1)
-                    found = lexicon[0][j] == key
-                    np.maximum.at(weight, place[found], lexicon[1][j[found]])
+                    j = np.minimum(np.searchsorted(held, key), len(held) - 1)
+                    found = held[j] == key
+                    np.maximum.at(weight, place[found], weights[j[found]])
             some = np.flatnonzero(weight)
             order = some[np.lexsort((h[some], of[some]))]
             new = np.ones(len(order), bool)
@@ -180,7 +204,7 @@ def _looked_at(batches: Iterator[pa.RecordBatch], lexicon: tuple[np.ndarray, np.
             )
 
 
-def looked_at(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def looked_at(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray] | list[str]) -> DataFrame:
     """doc_id, votes (a bit for each voter) and features x of every text. lexicon: what `mined` gave."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(lambda batches: _looked_at(batches, lexicon), f"doc_id {kind}, votes long, x array<double>")

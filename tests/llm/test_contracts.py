@@ -1065,3 +1065,20 @@ def test_pipeline_against_brute_force(spark, small, odd, where):
     assert rows and sorted(tuple(r) for r in docs.collect() if r.doc_id is not None) == sorted(w for w in want if w[0] is not None)
     if where == "odd":
         assert Counter(tuple(r) for r in corpus_pipeline.run(spark, d).collect()) == Counter(tuple(r) for r in docs.collect())
+
+
+def test_toxicity_keeps_every_mined_key(spark, monkeypatch):
+    """The lexicon is the same where it is larger than a task holds, and so are votes and features."""
+    texts = [f"common words here {w}{'x' * (k % 3)} and {w}" for w in ("grobnik", "zultrat", "plemvor") for k in range(40)] + [f"common words here number{k} plain" for k in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = docs.select(F.col("doc_id").alias("labelled"), (F.col("doc_id") < 120).cast("int").alias("label"))
+    seen = lambda lexicon: sorted((r.doc_id, r.votes, tuple(r.x)) for r in toxicity.looked_at(docs, lexicon).collect())
+    whole = toxicity.mined(docs, marks)
+    assert len(whole[0]) > 10
+    want = seen(whole)
+    monkeypatch.setattr(toxicity, "MOST_KEYS", 4)
+    files = toxicity.mined(docs, marks)
+    assert isinstance(files, list) and len(files) > 2
+    parts = [part for part in toxicity._slices(files) if len(part[0])]
+    assert sorted(k for keys, _ in parts for k in keys) == list(whole[0])
+    assert seen(files) == want
