@@ -377,3 +377,39 @@ def test_densify_joins_no_cells(spark):
     out = points.densified(raster, spark.createDataFrame([("a", 2, 3), ("b", 1, 1)], "tile_id string, rows int, cols int"), 7)
     assert sorted(tuple(r) for r in out.collect()) == [("a", 0, 0, 7), ("a", 0, 1, 7), ("a", 0, 2, 7), ("a", 1, 0, 7), ("a", 1, 1, 7), ("a", 1, 2, 3), ("b", 0, 0, 7)]
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_at_whatever_the_guess(spark):
+    """Right, off by one, far off and no guess, against a search one by one."""
+    rows = [(v, low, low + n, near) for v in range(-1, 9) for low in (0, 3) for n in (0, 1, 7) for near in (None, -900, 0, 2, 5, 9, 900)]
+    of = lambda k: k * k // 5
+    df = spark.createDataFrame(rows, "v int, low int, stop int, near int")
+    out = df.withColumn("k", grid.first_at(lambda k: F.floor(k * k / 5), F.col("v"), F.col("low"), F.col("stop"), F.col("near")))
+    assert all(r.k == next((k for k in range(r.low, r.stop) if of(k) >= r.v), r.stop) for r in out.collect())
+
+
+@pytest.mark.parametrize("a", [0.3, 7.0, -0.3, -7.0])
+def test_nearest_by_part(spark, monkeypatch, a):
+    """Columns over several parts, outside the source on both sides, a null value; pixels are shuffled once, not joined."""
+    monkeypatch.setattr(fuse, "PART", 4)
+    values = {("t", r, c): 1 + (r + c) % 3 for r in range(2) for c in range(40) if (r * c) % 5 != 1} | {("t", 0, 7): None}
+    x0, w = (-3.0, 160) if a == 0.3 else (47.0, 170) if a == -0.3 else (-10.0, 9) if a > 0 else (50.0, 9)
+    want = {(r, c): values.get(("t", r, math.floor(x0 + (c + 0.5) * a)), 0) or 0 for r in range(2) for c in range(w)}
+    meta = "tile_id string, x0 double, y1 double, a double, e double, width int, height int"
+    source = spark.createDataFrame([(*k, v) for k, v in values.items()], "tile_id string, row int, col int, value smallint").repartition(3)
+    out = fuse.resampled_to(source, spark.createDataFrame([("t", 0.0, 0.0, 1.0, -1.0, 40, 2)], meta), spark.createDataFrame([("t", x0, 0.0, a, -1.0, w, 2), ("u", 0.0, 0.0, a, -1.0, w, 2)], meta))
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(want) and {(r, c): v for _, r, c, v in got} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") < plan.index("Join")  # only the metas below the union are joined
+
+
+def test_nearest_comes_by_part(spark, monkeypatch):
+    """Each task's cells come part by part, so that the same columns follow one another and take few bytes in a file."""
+    monkeypatch.setattr(fuse, "PART", 4)
+    meta = "tile_id string, x0 double, y1 double, a double, e double, width int, height int"
+    source = spark.createDataFrame([("t", 1, 5, 2)], "tile_id string, row int, col int, value smallint")
+    out = fuse.resampled_to(source, spark.createDataFrame([("t", 0.0, 0.0, 1.0, -1.0, 32, 9)], meta), spark.createDataFrame([("t", 0.0, 0.0, 0.5, -0.5, 64, 18)], meta))
+    for cols in out.select(F.spark_partition_id().alias("p"), "col").groupBy("p").agg(F.collect_list("col").alias("cols")).collect():
+        parts = [c // 8 for c in cols.cols]
+        assert parts == sorted(parts)
